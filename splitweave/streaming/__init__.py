@@ -1,0 +1 @@
+"""Intentionally empty: snapshots arrive as monthly batches and no operator works on a stream."""
