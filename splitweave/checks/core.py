@@ -15,7 +15,7 @@ from splitweave.operators.columns import (
 )
 from splitweave.operators.joins import reassemble
 from splitweave.operators.quality import (
-    bucket_balance, bucket_histogram, check_split, distinct_users, duplicate_rows, key_quality, row_counts,
+    bucket_balance, bucket_histogram, check_split, distinct_users, duplicate_rows, key_quality, row_counts, union_all,
 )
 from splitweave.sources.catalog import describe_schema
 from splitweave.sources.mapping import field_counts, mapping_columns, mapping_errors, mapping_groups
@@ -89,9 +89,15 @@ def registered_columns_query(spark, sf):
     return rows.select(*registered_columns(rows, 3)[0])
 
 
-@query("schema_rows")
+DESCRIBED = """SELECT '{t}' AS table_name, row_number() OVER ()::INTEGER AS pos, column_name, CASE column_type WHEN 'BIGINT' THEN 'bigint'
+  WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'FLOAT[]' THEN 'array<float>' ELSE 'string' END AS type_name
+  FROM (DESCRIBE {t})"""
+DESCRIBED_TABLES = ("customer", "orders", "lineitem", "events", "embeddings", "documents")
+
+
+@query("schema_rows", " UNION ALL ".join(DESCRIBED.format(t=t) for t in DESCRIBED_TABLES))
 def schema_rows_query(spark, sf):
-    return describe_schema(wide(spark, sf), "wide").unionByName(describe_schema(read(spark, sf, "embeddings"), "embeddings"))
+    return union_all([describe_schema(read(spark, sf, t), t) for t in DESCRIBED_TABLES])
 
 
 @query("id_bucket", f"WITH {WIDE}, {bucket_ctes('w', 'b', n=256)} SELECT customer_user_id, id_bucket FROM b")

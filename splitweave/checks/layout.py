@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from splitweave.checks.registered import query
 from splitweave.checks.views import (
     DATED, IDS, MAPPING_ROWS, N, WIDE, bucket_ctes, id_list, id_snapshots, mapping, narrow_sql, once, order_snapshots, read,
-    shown, wide, wide_snapshots,
+    shown, stored_wide, wide_snapshots,
 )
 from splitweave.functions.keys import BUCKET
 from splitweave.functions.text import join_path
@@ -41,7 +41,7 @@ def fresh_db(spark):
 
 
 def narrow(spark, sf, table):
-    return vertical_split(wide(spark, sf), mapping(spark))[table]
+    return vertical_split(stored_wide(spark, sf), mapping(spark))[table]
 
 
 # -- snapshots -------------------------------------------------------------------------------------------------------
@@ -115,16 +115,20 @@ def discover_tables_query(spark, sf):
     return spark.createDataFrame([(n,) for n in found], "table_name string")
 
 
-@query("file_inventory")
+@query("file_inventory", "SELECT DISTINCT replace(p_brand, '#', '%23') AS brand, 1 AS files, true AS filled FROM part")
 def file_inventory_query(spark, sf):
     files = file_inventory(spark, brand_tables(spark, sf), "*.parquet")
-    return files.select(F.regexp_extract("path", "p_brand=([^/]*)", 1).alias("brand"), "bytes", BUCKET)
+    brand = F.replace(F.regexp_extract("path", "p_brand=([^/]*)", 1), F.lit("%2523"), F.lit("%23")).alias("brand")
+    return files.groupBy(brand).agg(F.count("*").alias("files"), (F.min("bytes") > 0).alias("filled"))
 
 
-@query("table_sizes")
+GIVEN = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
+@query("table_sizes", " UNION ALL ".join(f"SELECT '{t}' AS table_name, 1 AS files, count(*) > 0 AS filled FROM {t}" for t in GIVEN))
 def table_sizes_query(spark, sf):
-    files = file_inventory(spark, sf).withColumn("table_name", F.regexp_extract("path", r"([^/]+)\.parquet$", 1))
-    return size_by(files, "table_name")
+    files = file_inventory(spark, sf, "*.parquet").withColumn("table_name", F.regexp_extract("path", r"([^/]+)\.parquet$", 1))
+    return size_by(files, "table_name").select("table_name", "files", (F.col("bytes") > 0).alias("filled"))
 
 
 @query("storage_partitions", f"WITH {WIDE}, {bucket_ctes('w', 'b')} SELECT DISTINCT id_bucket FROM b")
@@ -291,7 +295,8 @@ def add_missing_query(spark, sf):
     return catalog_partitions(spark, table)
 
 
-@query("strip_properties")
+@query("strip_properties", """SELECT * FROM (VALUES ('projection.enabled', 'removed'), ('storage.location.template', 'removed'),
+  ('team', 'kept'), ('snapshot_dt', 'kept'), ('classification', 'kept')) v(property, state) WHERE (SELECT count(*) FROM customer) > 0""")
 def strip_properties_query(spark, sf):
     db = fresh_db(spark)
     register_external(spark, db, split_root(spark, sf), "part_")
@@ -302,7 +307,7 @@ def strip_properties_query(spark, sf):
     return spark.createDataFrame([(k, "removed") for k in gone] + [(k, "kept") for k in left], "property string, state string")
 
 
-@query("catalog_scan")
+@query("catalog_scan", """SELECT * FROM (VALUES ('part_geo_01'), ('part_ord_01')) v(table_name) WHERE (SELECT count(*) FROM customer) > 0""")
 def catalog_scan_query(spark, sf):
     return list_tables(spark, registered(spark, sf), "part_", not_suffix="_er", exclude=["part_seg_01"], limit=5)
 
@@ -347,6 +352,15 @@ def bucketed_build_query(spark, sf):
     return done.join(counts, "table_name")
 
 
-@query("identity_build")
+@query("identity_build", """SELECT 'part_' || t || '_er' AS table_name, 'created' AS status, 'ACX_SCHEMA_' || upper(t) AS schema_name,
+    (SELECT count(*) FROM customer) AS rows, '{"schemaName":"ACX_SCHEMA_' || upper(t) || '","description":"ER schema for part_' || t ||
+    '_er with AXM identity and attributes","mappedInputFields":[{"fieldName":"row_id","type":"ATTRIBUTE"},' ||
+    '{"fieldName":"customer_user_id","type":"ID","matchingKey":"AXM","idNamespaceArn":"ns-1"}' || a || ']}' AS document
+  FROM (VALUES ('seg_01', ',{"fieldName":"c_name","type":"ATTRIBUTE"},{"fieldName":"c_mktsegment","type":"ATTRIBUTE"},{"fieldName":"c_acctbal","type":"ATTRIBUTE"}'),
+    ('geo_01', ',{"fieldName":"n_name","type":"ATTRIBUTE"},{"fieldName":"r_name","type":"ATTRIBUTE"}'),
+    ('ord_01', ',{"fieldName":"order_cnt","type":"ATTRIBUTE"},{"fieldName":"order_total","type":"ATTRIBUTE"},{"fieldName":"first_order","type":"ATTRIBUTE"},{"fieldName":"last_order","type":"ATTRIBUTE"}')) v(t, a)""")
 def identity_build_query(spark, sf):
-    return identity_build(spark, registered(spark, sf), shared_scratch(spark, "identity"), namespace="ns-1")
+    db = registered(spark, sf)
+    built = identity_build(spark, db, shared_scratch(spark, "identity"), namespace="ns-1")
+    names = [f"part_{t}_er" for t in ("seg_01", "geo_01", "ord_01")]
+    return built.join(row_counts({n: spark.table(f"{db}.{n}") for n in names}), "table_name")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from splitweave.checks.layout import fresh_db, geo_parts, registered, split_root
 from splitweave.checks.registered import query
 from splitweave.checks.views import (
-    AS_OF, CHECKED_AT, N, WIDE, bucket_ctes, id_snapshots, mapping, read, wide, wide_snapshots,
+    AS_OF, CHECKED_AT, N, WIDE, bucket_ctes, id_snapshots, mapping, once, read, stored_wide, wide_snapshots,
 )
 from splitweave.functions.keys import BUCKET
 from splitweave.functions.text import join_path
@@ -23,22 +23,30 @@ from splitweave.sources.paths import shared_scratch
 from splitweave.sources.snapshots import write_marker
 
 
+def defective(spark, sf):
+    """A clean table, one that lacks bucket 3 and has no source, one with repeated and NULL keys."""
+
+    def write(root):
+        tables = vertical_split(stored_wide(spark, sf), mapping(spark))
+        big = read(spark, sf, "orders").where("o_totalprice > 450000").select(F.col("o_custkey").alias("customer_user_id"))
+        orders = tables["ORD_01"]
+        twice = orders.join(big, "customer_user_id", "left_semi").select(*orders.columns)
+        unknown = twice.withColumn("customer_user_id", F.lit(None).cast("bigint"))
+        parts, ext = join_path(root, "parts"), join_path(root, "ext")
+        write_parts(tables["SEG_01"], join_path(parts, "seg_01"), n=N)
+        write_parts(with_id_bucket(tables["GEO_01"], n=N).where("id_bucket <> 3"), join_path(parts, "geo_01"), n=N)
+        write_parts(orders.unionByName(twice).unionByName(unknown), join_path(parts, "ord_01"), n=N)
+        for t in ("SEG_01", "ORD_01"):
+            write_parquet(tables[t], join_path(ext, t.lower()))
+        write_marker(spark, parts, "2001-05-01")
+
+    return once(spark, sf, "defective", write)
+
+
 def monitored(spark, sf):
-    """part_seg_01 is clean; part_geo_01 lacks bucket 3 and has no source; part_ord_01 has repeated and NULL keys."""
-    db, parts, ext = fresh_db(spark), shared_scratch(spark, "parts"), shared_scratch(spark, "ext")
-    tables = vertical_split(wide(spark, sf), mapping(spark))
-    big = read(spark, sf, "orders").where("o_totalprice > 450000").select(F.col("o_custkey").alias("customer_user_id"))
-    orders = tables["ORD_01"]
-    twice = orders.join(big, "customer_user_id", "left_semi").select(*orders.columns)
-    unknown = twice.withColumn("customer_user_id", F.lit(None).cast("bigint"))
-    write_parts(tables["SEG_01"], join_path(parts, "seg_01"), n=N)
-    write_parts(with_id_bucket(tables["GEO_01"], n=N).where("id_bucket <> 3"), join_path(parts, "geo_01"), n=N)
-    write_parts(orders.unionByName(twice).unionByName(unknown), join_path(parts, "ord_01"), n=N)
-    for t in ("SEG_01", "ORD_01"):
-        write_parquet(tables[t], join_path(ext, t.lower()))
-    write_marker(spark, parts, "2001-05-01")
-    register_and_prepare(spark, db, parts, "part_")
-    register_external(spark, db, ext, "ext_")
+    db, root = fresh_db(spark), defective(spark, sf)
+    register_and_prepare(spark, db, join_path(root, "parts"), "part_")
+    register_external(spark, db, join_path(root, "ext"), "ext_")
     return db
 
 

@@ -239,12 +239,17 @@ def wide_snapshots(spark: SparkSession, sf: str) -> str:
     def write(path: str) -> None:
         rows = wide(spark, sf)
         rows.write.parquet(join_path(path, "snapshot_dt=2001-06-01"))
+        rows = spark.read.parquet(join_path(path, "snapshot_dt=2001-06-01"))
         rows.select("Customer_User_id").write.parquet(join_path(path, "snapshot_dt=2001-05-01"))
         rows.select("Customer_User_id").write.parquet(join_path(path, "snapshot_old"))
 
     return once(spark, sf, "wide-snapshots", write)
 
 
+def stored_wide(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(join_path(wide_snapshots(spark, sf), "snapshot_dt=2001-06-01"))
+
+
 def id_snapshots(spark: SparkSession, sf: str) -> str:
     def write(path: str) -> None:
         id_list(spark, sf).withColumnRenamed("customer_user_id", "Customer_User_id").write.parquet(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from splitweave.functions.keys import BUCKET, BUCKETS, KEY
 from splitweave.functions.sizes import size_out_of_range
 from splitweave.functions.text import (
-    SOURCE_PREFIX, TABLE_PREFIX, base_name, is_stale, source_name, utc_text,
+    SOURCE_PREFIX, TABLE_PREFIX, base_name, is_stale, join_path, normalize_path, source_name, utc_text,
 )
 from splitweave.operators.columns import with_input_source
 from splitweave.operators.joins import count_match, pair_counts
@@ -22,10 +22,12 @@ from splitweave.operators.quality import key_quality, row_counts, union_all
 from splitweave.operators.ranking import cap_per_group, first_per_group
 from splitweave.operators.tables import add_missing, repair_partitions
 from splitweave.sources.catalog import (
-    catalog_partitions, data_columns, location, partition_columns, properties, table_details, table_names,
+    catalog_partitions, data_columns, location, partition_columns, partition_names, properties, table_details, table_names,
 )
-from splitweave.sources.inventory import file_inventory, storage_partitions
-from splitweave.sources.snapshots import read_marker
+from splitweave.sources.inventory import bucket_rows, file_inventory, storage_partitions
+from splitweave.sources.local import rows_frame
+from splitweave.sources.paths import child_names
+from splitweave.sources.snapshots import read_marker_under
 
 # The report's columns, in order.
 REPORT_COLUMNS = [
@@ -46,26 +48,31 @@ def partition_integrity(tables: DataFrame, stored: DataFrame, registered: DataFr
 
     tables(table_name, virtual), stored and registered (table_name, id_bucket). Virtual partitions count as complete.
     """
-    want = tables.where("not virtual").select("table_name", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(BUCKET))
-    gone = want.join(registered, ["table_name", BUCKET], "left_anti")
-    first = cap_per_group(gone, ["table_name"], [BUCKET], 5).groupBy("table_name").agg(
-        F.array_sort(F.collect_list(BUCKET)).alias("missing_sample")
-    )
-    per_table = [
-        stored.groupBy("table_name").agg(F.count_distinct(BUCKET).alias("storage_partitions")),
-        registered.groupBy("table_name").agg(F.count_distinct(BUCKET).alias("_registered")),
-        gone.groupBy("table_name").agg(F.count("*").alias("missing_count")),
-        first,
+    every = F.explode(F.when(F.col("virtual"), F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), F.lit(n - 1))))
+    named = tables.select("table_name", F.lit(None).cast("int").alias(BUCKET), F.lit("named").alias("kind"), "virtual")
+    parts = [(tables.select("table_name", every.alias(BUCKET)), "wanted"), (stored, "stored"), (registered, "registered")]
+    rows = [named] + [
+        df.select("table_name", BUCKET, F.lit(kind).alias("kind"), F.lit(None).cast("boolean").alias("virtual")) for df, kind in parts
     ]
-    out = tables
-    for side in per_table:
-        out = out.join(side, "table_name", "left")
-    return out.na.fill(0, ["storage_partitions", "_registered", "missing_count"]).select(
-        "table_name",
-        "storage_partitions",
-        F.when(F.col("virtual"), F.lit(n).cast("bigint")).otherwise(F.col("_registered")).alias("catalog_partitions"),
-        "missing_count",
-        F.coalesce("missing_sample", F.array().cast("array<int>")).alias("missing_sample"),
+
+    def has(kind: str) -> Column:
+        return F.bool_or(F.col("kind") == kind).alias(kind)
+
+    per_bucket = union_all(rows).groupBy("table_name", BUCKET).agg(
+        has("wanted"), has("stored"), has("registered"), F.bool_or("virtual").alias("virtual")
+    )
+    gone = F.col("wanted") & ~F.col("registered")
+    # A table's missing list is at most n numbers long.
+    per_table = per_bucket.groupBy("table_name").agg(
+        F.count_if("stored").alias("storage_partitions"),
+        F.count_if("registered").alias("_registered"),
+        F.count_if(gone).alias("missing_count"),
+        F.slice(F.array_sort(F.collect_list(F.when(gone, F.col(BUCKET)))), 1, 5).alias("missing_sample"),
+        F.bool_or("virtual").alias("virtual"),
+    )
+    complete = F.when(F.col("virtual"), F.lit(n).cast("bigint")).otherwise(F.col("_registered"))
+    return per_table.select(
+        "table_name", "storage_partitions", complete.alias("catalog_partitions"), "missing_count", "missing_sample"
     )
 
 
@@ -89,8 +96,8 @@ def check_contract(spark: SparkSession, tables: list[str], key: str = KEY, is_pa
         problems = contract_problems(data_columns(spark, table), partition_columns(spark, table), key, is_part)
         virtual = properties(spark, table).get("projection.enabled", "false").lower() == "true"
         rows.append((table.split(".")[-1], details["Location"], virtual, external_parquet, problems))
-    return spark.createDataFrame(
-        rows,
+    return rows_frame(
+        spark, rows,
         "table_name string, location string, virtual boolean, table_type_ok boolean, contract_problems array<string>",
     )
 
@@ -177,12 +184,11 @@ def monitor(
     contract = check_contract(spark, full, key)
     where = {t: location(spark, f"{db}.{t}") for t in names}
 
-    def labelled(frames: list[tuple[str, DataFrame]]) -> DataFrame:
-        return union_all([f.select(F.lit(t).alias("table_name"), BUCKET) for t, f in frames])
-
-    stored = labelled([(t, storage_partitions(spark, where[t])) for t in names])
-    registered = labelled([(t, catalog_partitions(spark, f"{db}.{t}")) for t in names])
-    markers = spark.createDataFrame([(t, read_marker(spark, where[t])) for t in names], "table_name string, snapshot_dt string")
+    stored = bucket_rows(spark, {t: child_names(spark, where[t]) for t in names})
+    registered = bucket_rows(spark, {t: partition_names(spark, f"{db}.{t}") for t in names})
+    roots = {where[t]: normalize_path(join_path(where[t], "..")) for t in names}
+    dates = {root: read_marker_under(spark, root) for root in set(roots.values())}
+    markers = rows_frame(spark, [(t, dates[roots[where[t]]]) for t in names], "table_name string, snapshot_dt string")
     detail = (
         contract.join(partition_integrity(contract.select("table_name", "virtual"), stored, registered, n), "table_name")
         .join(check_freshness(markers, window_days, as_of), "table_name")
@@ -196,7 +202,7 @@ def monitor(
         counts = quality.select("table_name", base_name("table_name").alias("base_name"), "rows")
         source_counts = (
             row_counts(sources).withColumnRenamed("table_name", "base_name") if sources
-            else spark.createDataFrame([], "base_name string, rows bigint")
+            else rows_frame(spark, [], "base_name string, rows bigint")
         )
         matched = count_match(pair_counts(counts, source_counts), tolerance_pct).drop("base_name")
         keys = quality.select("table_name", F.col("null_keys").alias("pk_nulls"), F.col("duplicate_rows").alias("pk_dupes"))

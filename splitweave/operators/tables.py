@@ -16,6 +16,7 @@ from splitweave.sources.catalog import (
     catalog_partitions, location, partition_columns, properties, registered_type, table_details, table_exists,
 )
 from splitweave.sources.inventory import discover_tables
+from splitweave.sources.local import rows_frame
 from splitweave.sources.snapshots import read_marker_under
 
 # Properties that describe virtual partitions.
@@ -74,7 +75,7 @@ def register_external(
             done.append((table, "registered", dropped))
         except Exception as e:  # one broken directory must not stop the others
             done.append((table, f"failed: {str(e).splitlines()[0][:200]}", []))
-    return spark.createDataFrame(done, "table_name string, status string, dropped_columns array<string>")
+    return rows_frame(spark, done, "table_name string, status string, dropped_columns array<string>")
 
 
 def ensure_partitioned(spark: SparkSession, table: str) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
+from math import ceil
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -24,11 +25,13 @@ from splitweave.operators.tables import (
 )
 from splitweave.sources.catalog import describe_schema, table_names
 from splitweave.sources.inventory import file_inventory, size_by
+from splitweave.sources.local import rows_frame
 from splitweave.sources.mapping import mapping_columns, mapping_errors
 from splitweave.sources.paths import remove
 from splitweave.sources.snapshots import read_snapshot, resolve_snapshot, write_marker
 
 JOBS_AT_ONCE = 4
+PLAN_DDL = "table_name string, bytes bigint, size_gb double, target_mb int, raw_files int, planned_files int"
 
 
 def _at_once(spark: SparkSession, work: Callable[[str], object], names: Iterable[str]) -> dict[str, object]:
@@ -52,7 +55,7 @@ def split_status(wide: DataFrame, mapping: DataFrame | None, done: dict[str, Dat
     """(table_name, status, columns, problems) of every table of the mapping."""
     spark = wide.sparkSession
     rows = [(n, "written", len(df.columns)) for n, df in done.items()]
-    written = spark.createDataFrame(rows, "table_name string, status string, columns int")
+    written = rows_frame(spark, rows, "table_name string, status string, columns int")
     none = F.array().cast("array<string>").alias("problems")
     if mapping is None:
         return written.select("*", none)
@@ -114,19 +117,22 @@ def split_and_bucket(
     sizes = size_by(file_inventory(spark, list(staged.values())), "directory")
     table = F.element_at(F.split("directory", "/"), -1).alias("table_name")
     plan = file_plan(sizes.select(table, "bytes"), target_file_mb)
-    # One number per table decides how its job is planned.
-    files = {r["table_name"]: r["planned_files"] for r in plan.select("table_name", "planned_files").collect()}
+    # A few numbers per table decide how its job is planned.
+    planned = {r["table_name"]: r for r in plan.collect()}
+    rows = sum(counts.values())
 
     def write(t: str) -> None:
-        write_clustered(spark.read.parquet(staged[t]), join_path(target, t), key, n, files[t], counts)
+        p = planned[t]
+        # The file counts end at 128; beyond that, and for a hot key, files of twice the target size are cut.
+        max_rows = ceil(rows * 2 * p["target_mb"] * 1024 * 1024 / p["bytes"])
+        write_clustered(spark.read.parquet(staged[t]), join_path(target, t), key, n, p["planned_files"], counts, max_rows)
 
     _at_once(spark, write, tables)
     write_marker(spark, target, dt)
     written = size_by(file_inventory(spark, [join_path(target, t) for t in tables]), "directory").select(
         table, F.col("bytes").alias("written_bytes"), F.col("files").alias("written_files")
     )
-    rows = [tuple(r) for r in plan.collect()]
-    result = spark.createDataFrame(rows, plan.schema).join(written, "table_name", "left")
+    result = rows_frame(spark, [tuple(r) for r in planned.values()], PLAN_DDL).join(written, "table_name", "left")
     for path in staged.values():
         remove(spark, path)
     return result
@@ -146,9 +152,9 @@ def register_and_prepare(
         status = ensure_partitioned(spark, table)
         strip_properties(spark, table)
         done.append((r.table_name, status, repair_partitions(spark, table), r.dropped_columns))
-    state = spark.createDataFrame(done, "table_name string, status string, partitions int, dropped_columns array<string>")
+    state = rows_frame(spark, done, "table_name string, status string, partitions int, dropped_columns array<string>")
     ok = [t for t, status, _, _ in done if not status.startswith("failed")]
-    counts = row_counts({t: spark.table(f"{db}.{t}") for t in ok}) if ok else spark.createDataFrame([], "table_name string, rows bigint")
+    counts = row_counts({t: spark.table(f"{db}.{t}") for t in ok}) if ok else rows_frame(spark, [], "table_name string, rows bigint")
     return state.join(counts, "table_name", "left")
 
 
@@ -182,7 +188,7 @@ def bucketed_build(
 
     done = _at_once(spark, build, bases)
     rows = [(target_prefix + b, str(s)) for b, s in done.items()]
-    return spark.createDataFrame(rows, "table_name string, status string")
+    return rows_frame(spark, rows, "table_name string, status string")
 
 
 def identity_build(
@@ -204,7 +210,7 @@ def identity_build(
         )
 
     done = _at_once(spark, copy, names)
-    state = spark.createDataFrame([(t + IDENTITY_SUFFIX, str(s)) for t, s in done.items()], "table_name string, status string")
+    state = rows_frame(spark, [(t + IDENTITY_SUFFIX, str(s)) for t, s in done.items()], "table_name string, status string")
     ready = [t + IDENTITY_SUFFIX for t in names if spark.catalog.tableExists(f"{db}.{t}{IDENTITY_SUFFIX}")]
     if not ready:
         return state.select("*", F.lit(None).cast("string").alias("schema_name"), F.lit(None).cast("string").alias("document"))

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from splitweave.functions.keys import BUCKET
-from splitweave.functions.text import bucket_in_path
+from splitweave.sources.inventory import bucket_rows
+from splitweave.sources.local import rows_frame
 
 # Scalar type names a table may be registered with; decimals and nested types are built from them.
 PLAIN_TYPES = {
@@ -31,7 +32,7 @@ def registered_type(kind: T.DataType) -> str:
 def describe_schema(df: DataFrame, table: str, max_cols: int | None = None) -> DataFrame:
     """(table_name, pos, column_name, type_name) from the schema alone, no rows are read."""
     rows = [(table, i, f.name, registered_type(f.dataType)) for i, f in enumerate(df.schema.fields[:max_cols], 1)]
-    return df.sparkSession.createDataFrame(rows, "table_name string, pos int, column_name string, type_name string")
+    return rows_frame(df.sparkSession, rows, "table_name string, pos int, column_name string, type_name string")
 
 
 def list_tables(
@@ -83,10 +84,14 @@ def data_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if not c.isPartition]
 
 
-def catalog_partitions(spark: SparkSession, table: str) -> DataFrame:
-    """Bucket numbers registered for a table; none for a table that is not partitioned."""
+def partition_names(spark: SparkSession, table: str) -> list[str]:
+    """Registered partitions of a table; none for a table that is not partitioned."""
     try:
-        shown = spark.sql(f"SHOW PARTITIONS {table}")
+        return [r.partition for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
     except AnalysisException:
-        return spark.createDataFrame([], f"{BUCKET} int")
-    return shown.select(bucket_in_path("partition").alias(BUCKET)).where(F.col(BUCKET).isNotNull()).distinct()
+        return []
+
+
+def catalog_partitions(spark: SparkSession, table: str) -> DataFrame:
+    """Bucket numbers registered for a table."""
+    return bucket_rows(spark, {table: partition_names(spark, table)}).select(BUCKET)

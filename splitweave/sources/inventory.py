@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from splitweave.functions.keys import BUCKET
 from splitweave.functions.text import bucket_in_path, join_path
+from splitweave.sources.local import rows_frame
 from splitweave.sources.paths import child_names
 
 # Child directories that are not tables.
@@ -56,6 +57,10 @@ def discover_tables(spark: SparkSession, root: str) -> dict[str, str]:
 
 def storage_partitions(spark: SparkSession, path: str) -> DataFrame:
     """Bucket numbers that have a directory; directories whose value is not a number are ignored."""
-    names = child_names(spark, path)
-    found = spark.createDataFrame([(n,) for n in names], "name string")
-    return found.select(bucket_in_path("name").alias(BUCKET)).where(F.col(BUCKET).isNotNull()).distinct()
+    return bucket_rows(spark, {"": child_names(spark, path)}).select(BUCKET)
+
+
+def bucket_rows(spark: SparkSession, names: dict[str, list[str]]) -> DataFrame:
+    """(table_name, id_bucket) from partition names such as ``id_bucket=7``, listed per table."""
+    found = rows_frame(spark, [(t, n) for t, listed in names.items() for n in listed], "table_name string, name string")
+    return found.select("table_name", bucket_in_path("name").alias(BUCKET)).where(F.col(BUCKET).isNotNull()).distinct()

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from splitweave.functions.keys import KEY
+from splitweave.sources.local import rows_frame
 
 MAX_MAPPING_ROWS = 200_000
 
@@ -57,9 +58,9 @@ def mapping_columns(mapping: DataFrame) -> dict[str, list[str]]:
 
 def mapping_errors(wide: DataFrame, mapping: DataFrame, key: str = KEY) -> DataFrame:
     """(table_name, column_name, problem) for names the source lacks and names listed twice in one table."""
-    known = mapping.sparkSession.createDataFrame([(c.lower(),) for c in wide.columns] + [(key.lower(),)], "name string")
+    known = rows_frame(mapping.sparkSession, [(n,) for n in {c.lower() for c in [*wide.columns, key]}], "name string")
     named = mapping.withColumn("name", F.lower("column_name"))
-    missing = named.join(known.distinct(), "name", "left_anti").select("table_name", "column_name").distinct()
+    missing = named.join(known, "name", "left_anti").select("table_name", "column_name").distinct()
     repeated = (
         named.groupBy("table_name", "name").agg(F.count("*").alias("times"), F.min("column_name").alias("column_name"))
         .where("times > 1")
