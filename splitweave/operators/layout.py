@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from splitweave.functions.keys import BUCKET, BUCKETS, KEY, bucket_of
 from splitweave.functions.sizes import gigabytes, planned_file_count, raw_file_count, rows_per_file, target_mb
 from splitweave.operators.columns import with_id_bucket
+from splitweave.operators.skew import hot_keys, is_hot
 
 TARGET_MB = 400
 
@@ -20,11 +21,19 @@ def slot_counts(df: DataFrame, slot: Column) -> dict[int, int]:
     return {r["s"]: r["c"] for r in df.groupBy(slot.alias("s")).agg(F.count("*").alias("c")).collect()}
 
 
-def spread(df: DataFrame, slot: Column, n: int, max_rows: int, counts: dict[int, int] | None = None) -> DataFrame:
+def spread(
+    df: DataFrame,
+    slot: Column,
+    n: int,
+    max_rows: int,
+    counts: dict[int, int] | None = None,
+    together: str | None = None,
+) -> DataFrame:
     """Shuffle so that a task holds rows of one slot only and no more than about ``max_rows`` of them.
 
     A slot that is larger, because the data is large or one key fills it, gets as many tasks as it needs. Its
     rows are dealt out by the number of the input split they came from, which is the same when a task is rerun.
+    With ``together`` they are dealt out by that column instead, but for values too frequent for one task.
     """
     counts = slot_counts(df, slot) if counts is None else counts
     tasks = [max(1, ceil(counts.get(s, 0) / max_rows)) for s in range(n)]
@@ -32,7 +41,11 @@ def spread(df: DataFrame, slot: Column, n: int, max_rows: int, counts: dict[int,
         return df.repartitionById(n, slot)
     first = [0, *accumulate(tasks)][:n]
     at = slot + F.lit(1)
-    share = F.pmod(F.spark_partition_id(), F.element_at(F.lit(tasks), at))
+    deal = F.spark_partition_id()
+    if together is not None:
+        hot = hot_keys(df, together, min_rows=max_rows)
+        deal = F.when(is_hot(together, hot), deal).otherwise(F.hash(together)) if hot else F.hash(together)
+    share = F.pmod(deal, F.element_at(F.lit(tasks), at))
     return (
         df.withColumn("_task", (F.element_at(F.lit(first), at) + share).cast("int"))
         .repartitionById(sum(tasks), "_task")
@@ -56,7 +69,8 @@ def write_clustered(
     """``files`` files (at most ``n``), all rows of a key in one of them.
 
     A file whose bucket range outgrows ``max_rows`` (four times the average, and at least one full file) is cut
-    into several. ``counts`` are rows per bucket, when the caller knows them already.
+    into several, still between keys; only a key that outgrows a file by itself is cut too. ``counts`` are rows
+    per bucket, when the caller knows them already.
     """
     files = min(files, n)
     slot = F.floor(bucket_of(key, n) * files / n).cast("int")
@@ -65,7 +79,7 @@ def write_clustered(
     for bucket, rows in buckets.items():
         per_slot[bucket * files // n] += rows
     limit = max_rows or max(rows_per_file(df.schema, TARGET_MB), 4 * sum(per_slot) // files)
-    write_parquet(spread(df, slot, files, limit, dict(enumerate(per_slot))), path)
+    write_parquet(spread(df, slot, files, limit, dict(enumerate(per_slot)), together=key), path)
 
 
 def write_parts(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 SALTS = 64
 MIN_HOT_ROWS = 1_000_000
-HOT_SHARE = 0.002
+HOT_SHARE = 0.001
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS, share: float = HOT_SHARE) -> list:
