@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from splitweave.checks.registered import query
 from splitweave.checks.views import (
-    DIRTY, IDS, MAPPING, N, WIDE, bucket_ctes, dirty, id_list, mapping, narrow_sql, read, shown, wide,
+    DIRTY, IDS, MAPPING, N, WIDE, bucket_ctes, dirty, id_list, mapping, narrow_sql, read, shown, stored_wide, wide,
 )
 from splitweave.functions.keys import BUCKET
 from splitweave.operators.columns import (
@@ -220,7 +220,7 @@ def bucket_balance_query(spark, sf):
   UNION ALL SELECT 'ORD_01', c, c + twice, 0, twice, 4, 4, false FROM n""")
 def split_check_query(spark, sf):
     """A good table, one that lost keys and one that has some keys twice."""
-    source, groups = canonical_key(wide(spark, sf)), mapping_columns(mapping(spark))
+    source, groups = canonical_key(stored_wide(spark, sf)), mapping_columns(mapping(spark))
     tables = vertical_split(source, groups)
     geo, orders = tables["GEO_01"], tables["ORD_01"]
     tables["GEO_01"] = geo.where("n_name <> 'NATION_3'")
@@ -232,5 +232,5 @@ def split_check_query(spark, sf):
 @query("reassemble", f"""WITH {WIDE} SELECT {ATTRIBUTES}, customer_user_id, CAST(order_total AS DOUBLE) AS order_total,
   CAST(first_order AS VARCHAR) AS first_order, CAST(last_order AS VARCHAR) AS last_order FROM w""")
 def reassemble_query(spark, sf):
-    tables = vertical_split(wide(spark, sf), mapping(spark))
+    tables = vertical_split(stored_wide(spark, sf), mapping(spark))
     return shown(reassemble([tables[t] for t in MAPPING if t in tables]))

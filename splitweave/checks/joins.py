@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from splitweave.checks.registered import query
 from splitweave.checks.views import (
     ACCOUNT_A, COPIES, DATED, IDS, N, REGISTRY, WIDE, bucket_ctes, copies, id_list, order_snapshots, mapping, read,
-    registry, shown, wide,
+    registry, stored_wide,
 )
 from splitweave.functions.keys import BUCKET
 from splitweave.functions.text import receiver_account
@@ -26,7 +26,7 @@ from splitweave.sources.snapshots import latest_snapshot_rows
 
 
 def _narrow(spark, sf):
-    return vertical_split(wide(spark, sf), mapping(spark))
+    return vertical_split(stored_wide(spark, sf), mapping(spark))
 
 
 @query("attribute_join", f"""WITH {WIDE}, {DATED}

@@ -224,11 +224,21 @@ def versioned_table_query(spark, sf):
     return spark.table(f"{db}.geo")
 
 
+def bucketed_db(spark, sf):
+    """Two narrow tables bucketed alike; the directory's name is that of the database."""
+
+    def write(path):
+        db = path.split("/")[-1].replace("-", "_")
+        spark.sql(f"CREATE DATABASE {db} LOCATION '{path}'")
+        for t in ("SEG_01", "GEO_01"):
+            write_bucketed(narrow(spark, sf, t), f"{db}.{t.lower()}", join_path(path, t), n=N)
+
+    return once(spark, sf, "bucketed", write).split("/")[-1].replace("-", "_")
+
+
 @query("bucketed_join", f"WITH {WIDE} SELECT customer_user_id, c_name, c_mktsegment, c_acctbal, n_name, r_name FROM w")
 def bucketed_join_query(spark, sf):
-    db = fresh_db(spark)
-    for t in ("SEG_01", "GEO_01"):
-        write_bucketed(narrow(spark, sf, t), f"{db}.{t.lower()}", shared_scratch(spark, t), n=N)
+    db = bucketed_db(spark, sf)
     return join_bucketed(spark, f"{db}.seg_01", f"{db}.geo_01")
 
 

@@ -22,7 +22,7 @@ from splitweave.operators.quality import key_quality, row_counts, union_all
 from splitweave.operators.ranking import cap_per_group, first_per_group
 from splitweave.operators.tables import add_missing, repair_partitions
 from splitweave.sources.catalog import (
-    catalog_partitions, data_columns, location, partition_columns, partition_names, properties, table_details, table_names,
+    catalog_partitions, describe_table, location, partition_names, properties, table_names,
 )
 from splitweave.sources.inventory import bucket_rows, file_inventory, storage_partitions
 from splitweave.sources.local import rows_frame
@@ -91,9 +91,9 @@ def check_contract(spark: SparkSession, tables: list[str], key: str = KEY, is_pa
     """(table_name, location, virtual, table_type_ok, contract_problems) from the catalog alone."""
     rows = []
     for table in tables:
-        details = table_details(spark, table)
+        columns, partitions, details = describe_table(spark, table)
         external_parquet = details.get("Type") == "EXTERNAL" and details.get("Provider", "").lower() == "parquet"
-        problems = contract_problems(data_columns(spark, table), partition_columns(spark, table), key, is_part)
+        problems = contract_problems(columns, partitions, key, is_part)
         virtual = properties(spark, table).get("projection.enabled", "false").lower() == "true"
         rows.append((table.split(".")[-1], details["Location"], virtual, external_parquet, problems))
     return rows_frame(
@@ -182,7 +182,7 @@ def monitor(
     names = table_names(spark, db, prefix, not_suffix="_er", limit=max_tables)
     full = [f"{db}.{t}" for t in names]
     contract = check_contract(spark, full, key)
-    where = {t: location(spark, f"{db}.{t}") for t in names}
+    where = {r["table_name"]: r["location"] for r in contract.select("table_name", "location").collect()}
 
     stored = bucket_rows(spark, {t: child_names(spark, where[t]) for t in names})
     registered = bucket_rows(spark, {t: partition_names(spark, f"{db}.{t}") for t in names})

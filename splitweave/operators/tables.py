@@ -12,9 +12,8 @@ from splitweave.functions.keys import BUCKET, BUCKETS, KEY
 from splitweave.functions.text import join_path
 from splitweave.operators.columns import MAX_COLUMNS, capped_projection, identity_projection, registered_columns
 from splitweave.operators.layout import write_bucketed
-from splitweave.sources.catalog import (
-    catalog_partitions, location, partition_columns, properties, registered_type, table_details, table_exists,
-)
+from splitweave.operators.parallel import at_once
+from splitweave.sources.catalog import describe_table, location, partition_names, properties, registered_type, table_exists
 from splitweave.sources.inventory import discover_tables
 from splitweave.sources.local import rows_frame
 from splitweave.sources.snapshots import read_marker_under
@@ -62,27 +61,31 @@ def register_external(
 ) -> DataFrame:
     """Register every table directory under ``root``; (table_name, status, dropped_columns) per table."""
     dt = read_marker_under(spark, root)
-    done = []
-    for name, path in discover_tables(spark, root).items():
+    found = discover_tables(spark, root)
+
+    def register(name: str) -> tuple:
         table = prefix + name.lower()
         try:
-            df = spark.read.parquet(path)
+            df = spark.read.parquet(found[name])
             kept, dropped = registered_columns(df, max_cols, key)
             # Directory columns are not file columns: Spark finds them itself until the table is partitioned.
             fields = [df.schema[c] for c in kept if c != BUCKET]
             props = {"classification": "parquet", **({"snapshot_dt": dt} if dt else {})}
-            define_table(spark, f"{db}.{table}", path, fields, snapshot_comment(dt), props)
-            done.append((table, "registered", dropped))
+            define_table(spark, f"{db}.{table}", found[name], fields, snapshot_comment(dt), props)
+            return table, "registered", dropped
         except Exception as e:  # one broken directory must not stop the others
-            done.append((table, f"failed: {str(e).splitlines()[0][:200]}", []))
+            return table, f"failed: {str(e).splitlines()[0][:200]}", []
+
+    done = list(at_once(spark, register, found).values())
     return rows_frame(spark, done, "table_name string, status string, dropped_columns array<string>")
 
 
 def ensure_partitioned(spark: SparkSession, table: str) -> str:
     """Partition an unpartitioned registration by bucket over the same files; no data moves."""
-    if [c for c, _ in partition_columns(spark, table)] == [BUCKET]:
+    info = describe_table(spark, table)
+    if [c for c, _ in info.partitions] == [BUCKET]:
         return "already_partitioned"
-    details = table_details(spark, table)
+    details = info.details
     fields = [f for f in spark.table(table).schema.fields if f.name != BUCKET]
     define_table(
         spark, table, details["Location"], fields, details.get("Comment", ""), _own_properties(spark, table),
@@ -99,7 +102,7 @@ def repair_partitions(spark: SparkSession, table: str) -> int:
     """Register every partition found in storage; how many the table has now."""
     spark.sql(f"MSCK REPAIR TABLE {table}")
     spark.catalog.refreshTable(table)
-    return catalog_partitions(spark, table).count()
+    return len(partition_names(spark, table))
 
 
 def add_missing(spark: SparkSession, table: str, missing: list[int], batch: int = MAX_PARTITIONS_PER_STATEMENT) -> int:

@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from math import ceil
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +15,7 @@ from splitweave.operators.columns import (
 )
 from splitweave.operators.layout import file_plan, slot_counts, write_clustered, write_parts
 from splitweave.operators.monitor import REPORT_COLUMNS, alert_rows, monitor, report_rows
+from splitweave.operators.parallel import at_once
 from splitweave.operators.quality import row_counts, union_all
 from splitweave.operators.reports import write_report_csv, write_report_json
 from splitweave.operators.tables import (
@@ -30,18 +28,9 @@ from splitweave.sources.mapping import mapping_columns, mapping_errors
 from splitweave.sources.paths import remove
 from splitweave.sources.snapshots import read_snapshot, resolve_snapshot, write_marker
 
-JOBS_AT_ONCE = 4
 PLAN_DDL = "table_name string, bytes bigint, size_gb double, target_mb int, raw_files int, planned_files int"
 
 
-def _at_once(spark: SparkSession, work: Callable[[str], object], names: Iterable[str]) -> dict[str, object]:
-    """Submit independent tables together, so that one table's last tasks do not leave the cluster idle."""
-    names = list(names)
-    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
-        jobs = {n: pool.submit(inheritable_thread_target(spark)(work), n) for n in names}
-        return {n: j.result() for n, j in jobs.items()}
-
-
 def _snapshot(spark: SparkSession, source: str, snapshot_dt: str | None, key: str) -> tuple[DataFrame, str]:
     dt = resolve_snapshot(spark, source, snapshot_dt)
     return canonical_key(read_snapshot(spark, source, dt), key), dt
@@ -84,7 +73,7 @@ def split_and_part(
     wide, dt = _snapshot(spark, source, snapshot_dt, key)
     tables = vertical_split(wide, _groups(wide, mapping, id_table, key), key)
     counts = slot_counts(wide, bucket_of(key, n))
-    _at_once(
+    at_once(
         spark, lambda t: write_parts(tables[t], join_path(target, t), key, n, replace="all", counts=counts), tables
     )
     if marker:
@@ -113,7 +102,7 @@ def split_and_bucket(
     tables = vertical_split(wide, _groups(wide, mapping, id_table, key), key)
     counts = slot_counts(wide, bucket_of(key, n))
     staged = {t: join_path(staging, t) for t in tables}
-    _at_once(spark, lambda t: tables[t].write.mode("overwrite").parquet(staged[t]), tables)
+    at_once(spark, lambda t: tables[t].write.mode("overwrite").parquet(staged[t]), tables)
     sizes = size_by(file_inventory(spark, list(staged.values())), "directory")
     table = F.element_at(F.split("directory", "/"), -1).alias("table_name")
     plan = file_plan(sizes.select(table, "bytes"), target_file_mb)
@@ -127,7 +116,7 @@ def split_and_bucket(
         max_rows = ceil(rows * 2 * p["target_mb"] * 1024 * 1024 / p["bytes"])
         write_clustered(spark.read.parquet(staged[t]), join_path(target, t), key, n, p["planned_files"], counts, max_rows)
 
-    _at_once(spark, write, tables)
+    at_once(spark, write, tables)
     write_marker(spark, target, dt)
     written = size_by(file_inventory(spark, [join_path(target, t) for t in tables]), "directory").select(
         table, F.col("bytes").alias("written_bytes"), F.col("files").alias("written_files")
@@ -142,16 +131,17 @@ def register_and_prepare(
     spark: SparkSession, db: str, root: str, prefix: str = TABLE_PREFIX, max_cols: int = MAX_COLUMNS, key: str = KEY
 ) -> DataFrame:
     """Register the tables under ``root``, partition and repair them: status, partitions and rows per table."""
-    registered = register_external(spark, db, root, prefix, max_cols, key)
-    done = []
-    for r in registered.collect():
-        table = f"{db}.{r.table_name}"
+    registered = {r.table_name: r for r in register_external(spark, db, root, prefix, max_cols, key).collect()}
+
+    def prepare(name: str) -> tuple:
+        r, table = registered[name], f"{db}.{name}"
         if r.status != "registered":
-            done.append((r.table_name, r.status, 0, r.dropped_columns))
-            continue
+            return name, r.status, 0, r.dropped_columns
         status = ensure_partitioned(spark, table)
         strip_properties(spark, table)
-        done.append((r.table_name, status, repair_partitions(spark, table), r.dropped_columns))
+        return name, status, repair_partitions(spark, table), r.dropped_columns
+
+    done = list(at_once(spark, prepare, registered).values())
     state = rows_frame(spark, done, "table_name string, status string, partitions int, dropped_columns array<string>")
     ok = [t for t, status, _, _ in done if not status.startswith("failed")]
     counts = row_counts({t: spark.table(f"{db}.{t}") for t in ok}) if ok else rows_frame(spark, [], "table_name string, rows bigint")
@@ -186,7 +176,7 @@ def bucketed_build(
         except Exception as e:
             return f"failed: {str(e).splitlines()[0][:200]}"
 
-    done = _at_once(spark, build, bases)
+    done = at_once(spark, build, bases)
     rows = [(target_prefix + b, str(s)) for b, s in done.items()]
     return rows_frame(spark, rows, "table_name string, status string")
 
@@ -209,7 +199,7 @@ def identity_build(
             spark, f"{db}.{t}", f"{db}.{t}{IDENTITY_SUFFIX}", join_path(base, t + IDENTITY_SUFFIX), force, key
         )
 
-    done = _at_once(spark, copy, names)
+    done = at_once(spark, copy, names)
     state = rows_frame(spark, [(t + IDENTITY_SUFFIX, str(s)) for t, s in done.items()], "table_name string, status string")
     ready = [t + IDENTITY_SUFFIX for t in names if spark.catalog.tableExists(f"{db}.{t}{IDENTITY_SUFFIX}")]
     if not ready:
@@ -282,7 +272,7 @@ def refresh(
         return split_and_part(spark, source, parts, columns, snapshot_dt, key, n, marker=False)
 
     splits = [s for s in ("ids", "attributes") if s not in skip]
-    for step, df in _at_once(spark, split, splits).items():
+    for step, df in at_once(spark, split, splits).items():
         note(step, df)
     if splits:
         write_marker(spark, parts, resolve_snapshot(spark, id_source if splits == ["ids"] else attribute_source, snapshot_dt))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,23 +67,34 @@ def properties(spark: SparkSession, table: str) -> dict[str, str]:
     return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
 
 
-def table_details(spark: SparkSession, table: str) -> dict[str, str]:
-    """Entries such as Type, Provider and Location of a table's description."""
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-    start = next((i for i, r in enumerate(rows) if r.col_name == "# Detailed Table Information"), len(rows))
-    return {r.col_name: r.data_type for r in rows[start + 1:] if r.col_name}
+class TableInfo(NamedTuple):
+    columns: list[str]
+    partitions: list[tuple[str, str]]
+    details: dict[str, str]
 
 
-def location(spark: SparkSession, table: str) -> str:
-    return table_details(spark, table)["Location"]
+def describe_table(spark: SparkSession, table: str) -> TableInfo:
+    """Data columns, (name, type) of partition columns, and entries such as Type, Provider and Location."""
+    rows = [(r.col_name, r.data_type) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()]
+    names = [n for n, _ in rows]
 
+    def section(title: str) -> list[tuple[str, str]]:
+        if title not in names:
+            return []
+        rest = rows[names.index(title) + 1:]
+        stop = next((i for i, (n, _) in enumerate(rest) if n == "" or (n.startswith("# ") and n != "# col_name")), len(rest))
+        return [r for r in rest[:stop] if r[0] != "# col_name"]
 
-def partition_columns(spark: SparkSession, table: str) -> list[tuple[str, str]]:
-    return [(c.name, c.dataType) for c in spark.catalog.listColumns(table) if c.isPartition]
+    first_section = next((i for i, n in enumerate(names) if n == "" or n.startswith("# ")), len(names))
+    partitions = section("# Partition Information")
+    by = {n for n, _ in partitions}
+    return TableInfo(
+        [n for n in names[:first_section] if n not in by], partitions, dict(section("# Detailed Table Information"))
+    )
 
 
-def data_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if not c.isPartition]
+def location(spark: SparkSession, table: str) -> str:
+    return describe_table(spark, table).details["Location"]
 
 
 def partition_names(spark: SparkSession, table: str) -> list[str]:
