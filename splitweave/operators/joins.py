@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from splitweave.functions.keys import BUCKET, KEY, require_same_key_type
-from splitweave.functions.text import SNAPSHOT_COLUMN
+from splitweave.functions.text import ASSOCIATION_PREFIX, SNAPSHOT_COLUMN
 from splitweave.operators.filters import at_snapshot
 from splitweave.operators.quality import key_quality
 from splitweave.operators.skew import hot_keys, is_hot, salted_join
@@ -101,7 +101,7 @@ def registry_join(tables: DataFrame, configured: DataFrame, rules: DataFrame, as
     conf = configured.select(F.col("name").alias("table_name"), F.col("id").alias("configured_id"))
     rule = rules.select(F.col("id").alias("configured_id"), F.col("document").alias("rule"))
     return (
-        tables.withColumn("_assoc", F.concat(F.lit("acx_"), "table_name"))
+        tables.withColumn("_assoc", F.concat(F.lit(ASSOCIATION_PREFIX), "table_name"))
         .join(conf, "table_name", "left")
         .join(rule, "configured_id", "left")
         .join(associations.withColumn("_assoc", F.col("association_name")), "_assoc", "left")

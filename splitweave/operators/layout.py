@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from splitweave.functions.keys import BUCKET, BUCKETS, KEY, bucket_of
 from splitweave.functions.sizes import gigabytes, planned_file_count, raw_file_count, rows_per_file, target_mb
 from splitweave.operators.columns import with_id_bucket
-from splitweave.operators.skew import hot_keys, is_hot
+from splitweave.operators.skew import dealt, hot_keys, is_hot
 
 TARGET_MB = 400
 
@@ -31,9 +31,9 @@ def spread(
 ) -> DataFrame:
     """Shuffle so that a task holds rows of one slot only and no more than about ``max_rows`` of them.
 
-    A slot that is larger, because the data is large or one key fills it, gets as many tasks as it needs. Its
-    rows are dealt out by the number of the input split they came from, which is the same when a task is rerun.
-    With ``together`` they are dealt out by that column instead, but for values too frequent for one task.
+    A slot that is larger, because the data is large or one key fills it, gets as many tasks as it needs, and its
+    rows are dealt out evenly. With ``together`` they are dealt out by that column instead, but for values too
+    frequent for one task.
     """
     counts = slot_counts(df, slot) if counts is None else counts
     tasks = [max(1, ceil(counts.get(s, 0) / max_rows)) for s in range(n)]
@@ -41,11 +41,12 @@ def spread(
         return df.repartitionById(n, slot)
     first = [0, *accumulate(tasks)][:n]
     at = slot + F.lit(1)
-    deal = F.spark_partition_id()
+    deal = dealt(df)
     if together is not None:
         hot = hot_keys(df, together, min_rows=max_rows)
-        deal = F.when(is_hot(together, hot), deal).otherwise(F.hash(together)) if hot else F.hash(together)
-    share = F.pmod(deal, F.element_at(F.lit(tasks), at))
+        deal = F.when(is_hot(together, hot), deal).otherwise(F.xxhash64(F.lit(1), together)) if hot else F.xxhash64(F.lit(1), together)
+    parts = F.element_at(F.lit(tasks), at)
+    share = F.when(parts > 1, F.pmod(deal, parts)).otherwise(F.lit(0))
     return (
         df.withColumn("_task", (F.element_at(F.lit(first), at) + share).cast("int"))
         .repartitionById(sum(tasks), "_task")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from splitweave.functions.keys import BUCKET, BUCKETS, KEY
 from splitweave.functions.sizes import size_out_of_range
 from splitweave.functions.text import (
-    SOURCE_PREFIX, TABLE_PREFIX, base_name, is_stale, join_path, normalize_path, source_name, utc_text,
+    SOURCE_PREFIX, TABLE_PREFIX, base_name, is_stale, join_path, normalize_path, utc_text,
 )
 from splitweave.operators.columns import with_input_source
 from splitweave.operators.joins import count_match, pair_counts
@@ -122,6 +122,7 @@ def alert_rows(
     source_db: str = "",
     window_days: int = 45,
     strict_snapshot: bool = False,
+    source_prefix: str = SOURCE_PREFIX,
 ) -> DataFrame:
     """(table_name, position, alert): one row per problem of each table of ``monitor``."""
     name = F.col("table_name")
@@ -131,7 +132,7 @@ def alert_rows(
 
     sample = F.array_join(F.col("missing_sample"), ", ")
     mine = said(db + "." if db else "", name)
-    theirs = said(source_db + "." if source_db else "", source_name(name))
+    theirs = said(source_db + "." if source_db else "", source_prefix, base_name(name))
     percent = F.format_string("%.3f", F.col("count_diff_pct").try_cast("double"))
     checks = [
         F.when(F.col("storage_partitions") != n, said(name, ": storage has ", F.col("storage_partitions"), f"/{n} id_bucket partitions")),
@@ -195,7 +196,10 @@ def monitor(
     )
     if count_check:
         keyed = [t for t in names if key in spark.table(f"{db}.{t}").columns]
-        quality = key_quality({t: spark.table(f"{db}.{t}") for t in keyed}, key)
+        quality = (
+            key_quality({t: spark.table(f"{db}.{t}") for t in keyed}, key) if keyed
+            else rows_frame(spark, [], "table_name string, rows bigint, null_keys bigint, duplicate_rows bigint")
+        )
         base = {t: t[len(prefix):] for t in names}
         have = set(table_names(spark, source_db, source_prefix))
         sources = {base[t]: spark.table(f"{source_db}.{source_prefix}{base[t]}") for t in names if source_prefix + base[t] in have}

@@ -107,8 +107,8 @@ def overlap_list(
 ) -> DataFrame:
     """Distinct ``list_cols`` of the rows of ``a`` that have a partner in ``b`` on any of ``join_cols``.
 
-    Several join columns combine with OR, as a union of equi-joins. Columns of ``b`` may be listed too. Both
-    sides are made distinct before they meet, and keys frequent on the left are salted.
+    Several join columns combine with OR, as a union of equi-joins. Columns of ``b`` may be listed too. A side that
+    could multiply rows is made distinct before they meet, and keys frequent on the left are salted.
     """
     refused = sorted(set(join_cols) - set(allowed_join)) + sorted(set(list_cols) - set(allowed_list))
     if refused:
@@ -117,8 +117,10 @@ def overlap_list(
     ours = [c for c in list_cols if c in a.columns]
 
     def on(j: str) -> DataFrame:
-        left = a.where(F.col(j).isNotNull()).select(*dict.fromkeys([j, *ours])).distinct()
+        left = a.where(F.col(j).isNotNull()).select(*dict.fromkeys([j, *ours]))
         right = b.where(F.col(j).isNotNull()).select(*dict.fromkeys([j, *theirs])).distinct()
-        return salted_join(left, right, j, "inner" if theirs else "left_semi").select(*list_cols)
+        if not theirs:
+            return salted_join(left, right, j, "left_semi").select(*list_cols)
+        return salted_join(left.distinct(), right, j, "inner").select(*list_cols)
 
     return union_all([on(j) for j in join_cols]).distinct()

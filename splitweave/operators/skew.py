@@ -9,10 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SALTS = 64
 MIN_HOT_ROWS = 1_000_000
 HOT_SHARE = 0.001
+# Key types the frequent-items sketch accepts; keys of other types are left to adaptive execution.
+SKETCHED = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.BooleanType)
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS, share: float = HOT_SHARE) -> list:
@@ -21,6 +24,8 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS, share: float
     A mergeable frequent-items sketch counts on the map side, so no row is shuffled. At most 1/share values can
     qualify, which bounds what reaches the driver. The sketch tracks many more items than that, so it misses none.
     """
+    if not isinstance(df.schema[key].dataType, SKETCHED):
+        return []
     limit = int(1 / share)
     top = df.select(F.col(key).alias("k")).where("k is not null").agg(
         F.count("*").alias("n"), F.expr(f"approx_top_k(k, {limit}, {limit * 20})").alias("top")
@@ -33,11 +38,19 @@ def is_hot(key: str, hot: list) -> Column:
     return F.col(key).isin(hot)
 
 
+def dealt(df: DataFrame) -> Column:
+    """A number that spreads rows evenly: a hash of the row and of its input split.
+
+    It depends on nothing else, so a task that runs again after a lost executor deals its rows the same way. Equal
+    rows of one split stay together, equal rows of different splits do not.
+    """
+    simple = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    return F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in simple])
+
+
 def spread_left(df: DataFrame, key: str, hot: list, salts: int = SALTS) -> DataFrame:
-    """Hot rows get the number of their input split as salt: repeatable when a task runs again."""
-    return df.withColumn("_split", F.spark_partition_id()).withColumn(
-        "_salt", F.when(is_hot(key, hot), F.pmod("_split", F.lit(salts))).otherwise(F.lit(0))
-    ).drop("_split")
+    salt = F.when(is_hot(key, hot), F.pmod(dealt(df), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    return df.withColumn("_salt", salt)
 
 
 def repeat_right(df: DataFrame, key: str, hot: list, salts: int = SALTS) -> DataFrame:

@@ -13,7 +13,7 @@ from splitweave.functions.text import IDENTITY_SUFFIX, SOURCE_PREFIX, TABLE_PREF
 from splitweave.operators.columns import (
     MAX_COLUMNS, canonical_key, mapped_fields, schema_documents, versioned_path, vertical_split,
 )
-from splitweave.operators.layout import file_plan, slot_counts, write_clustered, write_parts
+from splitweave.operators.layout import TARGET_MB, file_plan, slot_counts, write_clustered, write_parts
 from splitweave.operators.monitor import REPORT_COLUMNS, alert_rows, monitor, report_rows
 from splitweave.operators.parallel import at_once
 from splitweave.operators.quality import row_counts, union_all
@@ -64,6 +64,7 @@ def split_and_part(
     n: int = BUCKETS,
     id_table: str = "addressable_ids",
     marker: bool = True,
+    target_file_mb: int = TARGET_MB,
 ) -> DataFrame:
     """Newest (or given) snapshot → narrow tables → one directory per bucket → marker.
 
@@ -74,7 +75,8 @@ def split_and_part(
     tables = vertical_split(wide, _groups(wide, mapping, id_table, key), key)
     counts = slot_counts(wide, bucket_of(key, n))
     at_once(
-        spark, lambda t: write_parts(tables[t], join_path(target, t), key, n, replace="all", counts=counts), tables
+        spark, lambda t: write_parts(tables[t], join_path(target, t), key, n, replace="all", mb=target_file_mb, counts=counts),
+        tables,
     )
     if marker:
         write_marker(spark, target, dt)
@@ -113,7 +115,7 @@ def split_and_bucket(
     def write(t: str) -> None:
         p = planned[t]
         # The file counts end at 128; beyond that, and for a hot key, files of twice the target size are cut.
-        max_rows = ceil(rows * 2 * p["target_mb"] * 1024 * 1024 / p["bytes"])
+        max_rows = max(1, ceil(rows * 2 * p["target_mb"] * 1024 * 1024 / p["bytes"]))
         write_clustered(spark.read.parquet(staged[t]), join_path(target, t), key, n, p["planned_files"], counts, max_rows)
 
     at_once(spark, write, tables)
@@ -224,7 +226,7 @@ def monitor_and_report(
     monitor(spark, db, n=n, as_of=as_of, **options).write.mode("overwrite").parquet(kept)
     detail = spark.read.parquet(kept)
     report = report_rows(detail, checked_at)
-    alerts = alert_rows(detail, n, key, db, source_db, window, strict_snapshot)
+    alerts = alert_rows(detail, n, key, db, source_db, window, strict_snapshot, options.get("source_prefix", SOURCE_PREFIX))
     header = spark.range(1).select(
         F.lit(db).alias("database"), F.lit(prefix).alias("prefix"), F.lit(n).alias("bucket_count"),
         utc_text(F.lit(checked_at).cast("timestamp_ntz")).alias("generated_at"),
@@ -285,4 +287,4 @@ def refresh(
         report, _ = monitor_and_report(spark, db, join_path(base, "monitor"), as_of, checked_at, n, key=key, **monitor_options)
         good = F.col("table_type_ok") & F.col("contract_ok") & (F.col("missing_glue_count") == 0)
         note("monitor", report.select(F.col("table").alias("table_name"), F.when(good, "ok").otherwise("alert").alias("status")))
-    return union_all(steps)
+    return union_all(steps) if steps else rows_frame(spark, [], "step string, table_name string, status string")
