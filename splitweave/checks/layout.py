@@ -115,7 +115,7 @@ def discover_tables_query(spark, sf):
     return spark.createDataFrame([(n,) for n in found], "table_name string")
 
 
-@query("file_inventory", "SELECT DISTINCT replace(p_brand, '#', '%23') AS brand, 1 AS files, true AS filled FROM part")
+@query("file_inventory", "SELECT DISTINCT replace(p_brand, '#', '%23') AS brand, 1::BIGINT AS files, true AS filled FROM part")
 def file_inventory_query(spark, sf):
     files = file_inventory(spark, brand_tables(spark, sf), "*.parquet")
     brand = F.replace(F.regexp_extract("path", "p_brand=([^/]*)", 1), F.lit("%2523"), F.lit("%23")).alias("brand")
@@ -125,7 +125,7 @@ def file_inventory_query(spark, sf):
 GIVEN = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
-@query("table_sizes", " UNION ALL ".join(f"SELECT '{t}' AS table_name, 1 AS files, count(*) > 0 AS filled FROM {t}" for t in GIVEN))
+@query("table_sizes", " UNION ALL ".join(f"SELECT '{t}' AS table_name, 1::BIGINT AS files, count(*) > 0 AS filled FROM {t}" for t in GIVEN))
 def table_sizes_query(spark, sf):
     files = file_inventory(spark, sf, "*.parquet").withColumn("table_name", F.regexp_extract("path", r"([^/]+)\.parquet$", 1))
     return size_by(files, "table_name").select("table_name", "files", (F.col("bytes") > 0).alias("filled"))
@@ -156,7 +156,7 @@ def layout_bucketed_query(spark, sf):
     return spark.read.parquet(path)
 
 
-@query("layout_clustered", f"WITH {WIDE} SELECT *, 1 AS files_of_key FROM ({narrow_sql('SEG_01')})")
+@query("layout_clustered", f"WITH {WIDE} SELECT *, 1::BIGINT AS files_of_key FROM ({narrow_sql('SEG_01')})")
 def layout_clustered_query(spark, sf):
     """Read back with the number of files each key is found in."""
     path = shared_scratch(spark, "clustered")
@@ -179,9 +179,10 @@ def layout_parts_query(spark, sf):
 
 @query("layout_parts_split", GEO_PARTS)
 def layout_parts_split_query(spark, sf):
-    """As above with so low a limit that every bucket is written by several tasks."""
+    """As above with so low a limit that every bucket is written by about four tasks."""
     path = shared_scratch(spark, "split-parts")
-    write_parts(narrow(spark, sf, "GEO_01").repartition(8), path, n=N, max_rows=10)
+    geo = narrow(spark, sf, "GEO_01")
+    write_parts(geo, path, n=N, max_rows=max(1, geo.count() // (4 * N)))
     return spark.read.parquet(path)
 
 

@@ -130,14 +130,14 @@ def schema_contract_query(spark, sf):
     return check_contract(spark, names).select("table_name", "table_type_ok", F.array_join("contract_problems", "; ").alias("problems"))
 
 
-@query("file_size_issues", f"WITH {WIDE}, {bucket_ctes('w', 'b')} SELECT DISTINCT id_bucket, 1 AS issues FROM b ORDER BY 1 LIMIT 5")
+@query("file_size_issues", f"WITH {WIDE}, {bucket_ctes('w', 'b')} SELECT DISTINCT id_bucket, 1::BIGINT AS issues FROM b ORDER BY 1 LIMIT 5")
 def file_size_issues_query(spark, sf):
     issues = file_size_issues(file_inventory(spark, geo_parts(spark, sf)))
     return issues.groupBy(BUCKET).agg(F.count("*").alias("issues"))
 
 
 @query("auto_repair", f"""WITH {WIDE}, {bucket_ctes('w', 'b')}, c AS (SELECT count(DISTINCT id_bucket) AS n FROM b)
-  SELECT 'part_' || t AS table_name, n AS stored, 2 AS registered_before, CASE t WHEN 'seg_01' THEN 2 ELSE n END AS registered_after
+  SELECT 'part_' || t AS table_name, n AS stored, 2::BIGINT AS registered_before, CASE t WHEN 'seg_01' THEN 2 ELSE n END AS registered_after
   FROM c, unnest(['seg_01', 'geo_01', 'ord_01']) u(t)""")
 def auto_repair_query(spark, sf):
     db = fresh_db(spark)

@@ -108,7 +108,7 @@ def snapshot_freshness_query(spark, sf):
 
 
 @query("policy_lists", f"""WITH {REGISTRY} SELECT table_name, array_to_string(providers, ',') AS providers, array_to_string(receivers, ',') AS receivers,
-  len(providers) AS provider_count FROM policy""")
+  len(providers)::INTEGER AS provider_count FROM policy""")
 def policy_lists_query(spark, sf):
     return joined(spark, sf).select(
         "table_name",
@@ -152,7 +152,7 @@ def not_ready_query(spark, sf):
     return not_ready(readiness(joined(spark, sf)))
 
 
-@query("query_ready", f"""WITH {REGISTRY} SELECT table_name, len(providers) AS provider_count, len(receivers) AS receiver_count,
+@query("query_ready", f"""WITH {REGISTRY} SELECT table_name, len(providers)::INTEGER AS provider_count, len(receivers)::INTEGER AS receiver_count,
   (rule IS NOT NULL AND result_rule IS NOT NULL AND len(providers) > 0 AND len(receivers) > 0) AS query_ready FROM policy""")
 def query_ready_query(spark, sf):
     return query_ready(joined(spark, sf))

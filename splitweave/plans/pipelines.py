@@ -13,15 +13,17 @@ from splitweave.functions.text import IDENTITY_SUFFIX, SOURCE_PREFIX, TABLE_PREF
 from splitweave.operators.columns import (
     MAX_COLUMNS, canonical_key, mapped_fields, schema_documents, versioned_path, vertical_split,
 )
+from splitweave.operators.joins import registry_join
 from splitweave.operators.layout import TARGET_MB, file_plan, slot_counts, write_clustered, write_parts
-from splitweave.operators.monitor import REPORT_COLUMNS, alert_rows, monitor, report_rows
+from splitweave.operators.monitor import REPORT_COLUMNS, alert_rows, auto_repair, monitor, report_rows
 from splitweave.operators.parallel import at_once
 from splitweave.operators.quality import row_counts, union_all
+from splitweave.operators.registry import not_ready, readiness, readiness_report, readiness_summary
 from splitweave.operators.reports import write_report_csv, write_report_json
 from splitweave.operators.tables import (
     create_bucketed, create_identity_table, ensure_partitioned, register_external, repair_partitions, strip_properties,
 )
-from splitweave.sources.catalog import describe_schema, table_names
+from splitweave.sources.catalog import describe_schema, registered_tables, table_names
 from splitweave.sources.inventory import file_inventory, size_by
 from splitweave.sources.local import rows_frame
 from splitweave.sources.mapping import mapping_columns, mapping_errors
@@ -212,11 +214,12 @@ def identity_build(
 
 def monitor_and_report(
     spark: SparkSession, db: str, path: str, as_of: date | datetime | str, checked_at: str, n: int = BUCKETS,
-    strict_snapshot: bool = False, **options
+    strict_snapshot: bool = False, repair: str = "off", **options
 ) -> tuple[DataFrame, DataFrame]:
     """(report, alerts), also written below ``path`` as JSON lines and CSV.
 
-    The checks run once: the result is written, and report and alerts read it back.
+    The checks run once: the result is written, and report and alerts read it back. With ``repair`` all or targeted
+    the tables that miss partitions are repaired afterwards; ``path/json/repairs`` tells what that changed.
     """
     prefix = options.get("prefix", TABLE_PREFIX)
     key = options.get("key", KEY)
@@ -225,6 +228,11 @@ def monitor_and_report(
     kept = join_path(path, "detail")
     monitor(spark, db, n=n, as_of=as_of, **options).write.mode("overwrite").parquet(kept)
     detail = spark.read.parquet(kept)
+    if repair != "off":
+        broken = [r["table_name"] for r in detail.where("missing_count > 0").select("table_name").collect()]
+        done = at_once(spark, lambda t: auto_repair(spark, f"{db}.{t}", repair, n), broken)
+        if done:
+            union_all(list(done.values())).write.mode("overwrite").json(join_path(path, "json", "repairs"))
     report = report_rows(detail, checked_at)
     alerts = alert_rows(detail, n, key, db, source_db, window, strict_snapshot, options.get("source_prefix", SOURCE_PREFIX))
     header = spark.range(1).select(
@@ -244,6 +252,29 @@ def monitor_and_report(
     return report, alerts
 
 
+def readiness_and_report(
+    spark: SparkSession,
+    db: str,
+    path: str,
+    configured: DataFrame,
+    rules: DataFrame,
+    associations: DataFrame,
+    account_labels: dict[str, str] | None = None,
+    prefix: str = TABLE_PREFIX,
+    exclude: tuple[str, ...] = ("part_addressable_ids", "part_addressable_ids_er"),
+    formats: tuple[str, ...] = ("json", "csv"),
+) -> DataFrame:
+    """Readiness of the registered tables against the registry, written as JSON lines and CSV below ``path``."""
+    joined = registry_join(registered_tables(spark, db, prefix, list(exclude)), configured, rules, associations)
+    report = readiness_report(joined, account_labels)
+    ready = readiness(joined)
+    if "json" in formats:
+        write_report_json(readiness_summary(ready), report, not_ready(ready), join_path(path, "json"))
+    if "csv" in formats:
+        write_report_csv(report, join_path(path, "csv"))
+    return report
+
+
 def refresh(
     spark: SparkSession,
     db: str,
@@ -257,11 +288,13 @@ def refresh(
     skip: tuple[str, ...] = (),
     key: str = KEY,
     n: int = BUCKETS,
+    registry: dict[str, DataFrame] | None = None,
     **monitor_options,
 ) -> DataFrame:
     """Ids and attributes split, registered, prepared, copied for identity, monitored: (step, table_name, status).
 
-    ``skip`` names steps to leave out: ids, attributes, register, identity, monitor.
+    ``skip`` names steps to leave out: ids, attributes, register, identity, monitor. With a ``registry`` (configured,
+    rules, associations) the readiness report is written too.
     """
     parts = join_path(base, "parts")
     steps: list[DataFrame] = []
@@ -287,4 +320,7 @@ def refresh(
         report, _ = monitor_and_report(spark, db, join_path(base, "monitor"), as_of, checked_at, n, key=key, **monitor_options)
         good = F.col("table_type_ok") & F.col("contract_ok") & (F.col("missing_glue_count") == 0)
         note("monitor", report.select(F.col("table").alias("table_name"), F.when(good, "ok").otherwise("alert").alias("status")))
+    if registry is not None:
+        ready = readiness_and_report(spark, db, join_path(base, "readiness"), **registry)
+        note("readiness", ready.select("table_name", F.when(F.col("ready_for_analysis") == "Yes", "ready").otherwise("not_ready").alias("status")))
     return union_all(steps) if steps else rows_frame(spark, [], "step string, table_name string, status string")

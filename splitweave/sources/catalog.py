@@ -97,6 +97,16 @@ def location(spark: SparkSession, table: str) -> str:
     return describe_table(spark, table).details["Location"]
 
 
+def registered_tables(spark: SparkSession, db: str, prefix: str = "", exclude: list[str] | None = None) -> DataFrame:
+    """(table_name, location, column_count, partition_keys) of a database's tables."""
+    rows = []
+    for name in table_names(spark, db, prefix, exclude=exclude):
+        info = describe_table(spark, f"{db}.{name}")
+        keys = ", ".join(c for c, _ in info.partitions)
+        rows.append((name, info.details.get("Location"), len(info.columns), keys))
+    return rows_frame(spark, rows, "table_name string, location string, column_count int, partition_keys string")
+
+
 def partition_names(spark: SparkSession, table: str) -> list[str]:
     """Registered partitions of a table; none for a table that is not partitioned."""
     try:

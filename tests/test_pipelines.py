@@ -10,8 +10,9 @@ from splitweave.operators.joins import reassemble
 from splitweave.operators.layout import write_parts
 from splitweave.operators.monitor import monitor
 from splitweave.operators.quality import duplicate_rows
-from splitweave.operators.tables import create_identity_table, register_external
-from splitweave.plans.pipelines import bucketed_build, refresh, split_and_bucket, split_and_part
+from splitweave.operators.tables import create_identity_table, ensure_partitioned, register_external
+from splitweave.plans.pipelines import bucketed_build, monitor_and_report, refresh, split_and_bucket, split_and_part
+from splitweave.plans.submit import _parser, run
 from splitweave.sources.catalog import properties, registered_type, table_names
 from splitweave.sources.inventory import discover_tables, storage_partitions
 from splitweave.sources.mapping import mapping_columns, mapping_errors, read_mapping
@@ -177,3 +178,49 @@ def test_file_size_check_in_monitor(spark, sf, db):
     assert {r["table_name"]: len(r["file_issues"]) for r in detail.collect()} == {
         f"part_{t}": 2 for t in ("addressable_ids", "seg_01", "geo_01", "ord_01")
     }
+
+
+def test_readiness_of_the_catalog(spark, sf, db):
+    base = shared_scratch(spark, "ready")
+    configured = spark.createDataFrame([("part_seg_01", "c1"), ("part_geo_01", "c2"), ("part_other", "c3")], "name string, id string")
+    rules = spark.createDataFrame([("c1", '{"v1":{"custom":{"allowedAnalysisProviders":["9"]}}}'), ("c2", "{}")], "id string, document string")
+    associations = spark.createDataFrame([("acx_part_seg_01",), ("acx_part_geo_01",)], "association_name string")
+    report = refresh(
+        spark, db, id_snapshots(spark, sf), wide_snapshots(spark, sf), mapping(spark), base, AS_OF, CHECKED_AT, n=2, skip=("identity", "monitor"),
+        registry={"configured": configured, "rules": rules, "associations": associations},
+    )
+    assert {(r["table_name"], r["status"]) for r in report.where("step = 'readiness'").collect()} == {
+        ("part_seg_01", "ready"), ("part_geo_01", "not_ready"), ("part_ord_01", "not_ready"),
+    }
+    written = spark.read.option("header", True).csv(join_path(base, "readiness", "csv"))
+    assert {r["table_name"]: r["partition_keys"] for r in written.collect()}["part_seg_01"] == "id_bucket"
+    assert spark.read.json(join_path(base, "readiness", "json", "summary")).first()["ready"] == 1
+
+
+def test_monitor_repairs_after_reporting(spark, sf, db):
+    root = shared_scratch(spark, "repair")
+    write_parts(vertical_split(stored_wide(spark, sf), mapping(spark))["SEG_01"], join_path(root, "seg_01"), n=4)
+    register_external(spark, db, root, "part_")
+    ensure_partitioned(spark, f"{db}.part_seg_01")
+    out = shared_scratch(spark, "repaired")
+    report, alerts = monitor_and_report(spark, db, out, AS_OF, CHECKED_AT, 4, repair="targeted")
+    assert report.first()["missing_glue_count"] == 4 and spark.table(f"{db}.part_seg_01").count() > 0
+    row = spark.read.json(join_path(out, "json", "repairs")).first()
+    assert (row["registered_before"], row["registered_after"], row["stored"]) == (0, 4, 4)
+    assert monitor_and_report(spark, db, out, AS_OF, CHECKED_AT, 4)[0].first()["missing_glue_count"] == 0
+
+
+def test_command_line(spark, sf, db):
+    target = shared_scratch(spark, "cli")
+    for line in (
+        f"split-and-part --source {id_snapshots(spark, sf)} --target {target} --bucket-count 2",
+        f"prepare --database {db} --root {target}",
+        f"register --database {db} --root {target}",
+        f"bucketed --database {db} --target {target}_b --bucket-count 2 --version v1",
+        f"identity --database {db} --target {target}_i",
+        f"monitor --database {db} --target {target}_m --bucket-count 2 --strict-snapshot",
+    ):
+        run(spark, _parser().parse_args(line.split()))
+    assert table_names(spark, db) == ["bucketed_addressable_ids", "ext_addressable_ids", "part_addressable_ids", "part_addressable_ids_er"]
+    bucket = f"split-and-bucket --source {id_snapshots(spark, sf)} --target {target}_f --bucket-count 4 --target-file-mb 100"
+    assert run(spark, _parser().parse_args(bucket.split())).first()["written_files"] <= 4
