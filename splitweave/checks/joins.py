@@ -10,6 +10,7 @@ from splitweave.checks.views import (
     registry, stored_wide,
 )
 from splitweave.functions.keys import BUCKET
+from splitweave.functions.policy import analysis_rule
 from splitweave.functions.text import receiver_account
 from splitweave.operators.columns import vertical_split, with_id_bucket
 from splitweave.operators.filters import filter_names, null_keys, registry_filter
@@ -18,7 +19,7 @@ from splitweave.operators.joins import (
     count_match, expected_partitions, first_match, join_attributes, join_parts, missing_partitions, pair_counts,
     registry_join, valid_receivers,
 )
-from splitweave.operators.privacy import overlap_list, private_aggregate, private_overlap
+from splitweave.operators.privacy import aggregate_by_rule, list_by_rule, overlap_list, private_aggregate, private_overlap
 from splitweave.operators.ranking import (
     cap_per_group, dedupe_keep, joined_issues, latest_per_key, quota, report_order, sample_partitions,
 )
@@ -185,6 +186,21 @@ def private_aggregate_small_groups_query(spark, sf):
     return private_aggregate(orders, ["day"], {"orders": ("count", "o_orderkey")}, "o_custkey", minimum=6)
 
 
+@query("aggregate_by_rule", """SELECT event_type, count(user_id) AS events, count(DISTINCT user_id) AS people FROM events
+  GROUP BY event_type HAVING count(DISTINCT user_id) >= 2""")
+def aggregate_by_rule_query(spark, sf):
+    rule = analysis_rule("aggregation", columns=["user_id", "event_type"])
+    aggs = {"events": ("count", "user_id"), "people": ("count_distinct", "user_id")}
+    return aggregate_by_rule(read(spark, sf, "events"), rule, ["event_type"], aggs)
+
+
+@query("list_by_rule", "SELECT DISTINCT c_name, c_mktsegment FROM customer WHERE c_custkey IN (SELECT user_id FROM events)")
+def list_by_rule_query(spark, sf):
+    rule = analysis_rule("list", columns=["c_name", "c_mktsegment"], joins=["user_id"])
+    customer = read(spark, sf, "customer").withColumnRenamed("c_custkey", "user_id")
+    return list_by_rule(customer, read(spark, sf, "events"), rule, ["user_id"], ["c_name", "c_mktsegment"])
+
+
 @query("private_overlap", """SELECT c_mktsegment, event_type, count(*) AS pairs, count(DISTINCT c_custkey) AS people,
     CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, min(value) AS least,
     round(CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / count(*), 4) AS mean_balance

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +16,32 @@ POLICY_SCHEMA = (
 )
 PROVIDERS = "allowedAnalysisProviders"
 RECEIVERS = "allowedResultReceivers"
+MINIMUM_PEOPLE = 2
+
+
+def analysis_rule(
+    kind: str,
+    providers: list[str] = (),
+    columns: list[str] = (),
+    joins: list[str] = (),
+    functions: list[str] = ("ALL",),
+) -> str:
+    """Rule document of a table: custom (who may query), aggregation or list (what a query may do)."""
+    if kind == "custom":
+        body = {"allowedAnalyses": ["ANY_QUERY"], PROVIDERS: list(providers)}
+    elif kind == "aggregation":
+        body = {
+            "aggregateColumns": [{"columnNames": list(columns), "function": "ALLOWED"}],
+            "dimensionColumns": list(columns),
+            "joinColumns": list(joins),
+            "outputConstraints": [{"column": c, "minimum": MINIMUM_PEOPLE, "type": "COUNT_DISTINCT"} for c in columns[:1]],
+            "scalarFunctions": list(functions),
+        }
+    elif kind == "list":
+        body = {"joinColumns": list(joins), "listColumns": list(columns), "allowedJoinOperators": ["OR"]}
+    else:
+        raise ValueError(f"unknown rule kind {kind}")
+    return json.dumps({"v1": {kind: body}})
 
 
 def policy_list(document: Column | str, field: str) -> Column:

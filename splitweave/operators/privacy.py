@@ -5,6 +5,9 @@ The minimum counts distinct persons on the joined rows. It does not protect agai
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +42,31 @@ def private_aggregate(
     )
 
 
+def _outside(named: Iterable[str], allowed: list[str], what: str) -> None:
+    refused = sorted(set(named) - set(allowed))
+    if refused:
+        raise ValueError(f"{what} not allowed: {refused}")
+
+
+def aggregate_by_rule(df: DataFrame, rule: str, dims: list[str], aggs: Aggs) -> DataFrame:
+    """``private_aggregate`` under an aggregation rule document: its columns, its minimum."""
+    body = json.loads(rule)["v1"]["aggregation"]
+    _outside(dims, body["dimensionColumns"], "dimensions")
+    _outside({c for _, c in aggs.values()}, [c for g in body["aggregateColumns"] for c in g["columnNames"]], "columns")
+    limits = body["outputConstraints"]
+    hidden = {f"_limit{i}": ("count_distinct", c["column"]) for i, c in enumerate(limits[1:])}
+    out = private_aggregate(df, dims, {**aggs, **hidden}, limits[0]["column"], limits[0]["minimum"])
+    for name, c in zip(hidden, limits[1:]):
+        out = out.where(F.col(name) >= c["minimum"])
+    return out.drop(*hidden)
+
+
+def list_by_rule(a: DataFrame, b: DataFrame, rule: str, join_cols: list[str], list_cols: list[str]) -> DataFrame:
+    """``overlap_list`` under a list rule document."""
+    body = json.loads(rule)["v1"]["list"]
+    return overlap_list(a, b, join_cols, list_cols, body["joinColumns"], body["listColumns"])
+
+
 def _collapse(df: DataFrame, on: list[str], dims: list[str], aggs: Aggs, constraint: str, tag: str) -> DataFrame:
     """One side with one row per join key, own dimensions and own distinct-counted columns."""
     own = [c for c in df.columns if c not in on]
@@ -84,6 +112,8 @@ def private_overlap(
 
     def output(name: str, f: str, c: str) -> Column:
         other = F.col("_n_b") if c in a.columns and c not in on else F.col("_n_a")
+        if c == "*":
+            return F.sum(pairs)
         collapsed = c in left.columns or c in right.columns
         if f == "count_distinct":
             return F.count_distinct(c)
@@ -110,9 +140,8 @@ def overlap_list(
     Several join columns combine with OR, as a union of equi-joins. Columns of ``b`` may be listed too. A side that
     could multiply rows is made distinct before they meet, and keys frequent on the left are salted.
     """
-    refused = sorted(set(join_cols) - set(allowed_join)) + sorted(set(list_cols) - set(allowed_list))
-    if refused:
-        raise ValueError(f"columns not allowed: {refused}")
+    _outside(join_cols, allowed_join, "join columns")
+    _outside(list_cols, allowed_list, "list columns")
     theirs = [c for c in list_cols if c not in a.columns]
     ours = [c for c in list_cols if c in a.columns]
 

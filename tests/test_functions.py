@@ -1,14 +1,17 @@
+import json
+
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from splitweave.functions.keys import bucket_of, find_column, require_same_key_type
-from splitweave.functions.policy import lists_equal, receivers
+from splitweave.functions.policy import analysis_rule, lists_equal, receivers
 from splitweave.functions.sizes import size_out_of_range
 from splitweave.functions.text import association_name, bucket_in_path, is_stale, join_path, normalize_path, receiver_account
 from splitweave.operators.joins import count_match
 from splitweave.operators.layout import file_plan
+from splitweave.operators.privacy import aggregate_by_rule, list_by_rule, private_overlap
 
 
 def values(df, column):
@@ -111,3 +114,24 @@ def test_normalize_path(parts):
 def test_marker_path():
     assert normalize_path(join_path("s3a://b/x/table/", "..", "metadata")) == "s3a://b/x/metadata"
     assert normalize_path("file:/tmp/a/../b") == "file:/tmp/b"
+
+
+def test_rules(spark):
+    assert json.loads(analysis_rule("custom", ["1"]))["v1"]["custom"] == {"allowedAnalyses": ["ANY_QUERY"], "allowedAnalysisProviders": ["1"]}
+    people = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id int, g string")
+    rule = analysis_rule("aggregation", columns=["id", "g"])
+    assert [r["n"] for r in aggregate_by_rule(people, rule, ["g"], {"n": ("count", "id")}).collect()] == [2]
+    for dims, aggs in ((["x"], {}), (["g"], {"n": ("count", "x")}), (["g"], {"n": ("median", "id")})):
+        with pytest.raises(ValueError):
+            aggregate_by_rule(people, rule, dims, aggs)
+    with pytest.raises(ValueError):
+        list_by_rule(people, people, analysis_rule("list", columns=["g"], joins=["id"]), ["g"], ["g"])
+    with pytest.raises(ValueError):
+        analysis_rule("other")
+
+
+def test_count_of_pairs(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "y"), (2, "x")], "k int, d string")
+    b = spark.createDataFrame([(1,), (1,), (2,)], "k int")
+    got = private_overlap(a, b, ["k"], ["d"], {"n": ("count", "*")}, "k", minimum=1)
+    assert {r["d"]: r["n"] for r in got.collect()} == {"x": 3, "y": 2}
