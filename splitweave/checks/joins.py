@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from splitweave.checks.registered import query
 from splitweave.checks.views import (
-    ACCOUNT_A, COPIES, DATED, IDS, N, REGISTRY, WIDE, bucket_ctes, copies, id_list, order_snapshots, mapping, read,
+    COPIES, DATED, N, REGISTRY, WIDE, bucket_ctes, copies, order_snapshots, mapping, read,
     registry, stored_wide,
 )
 from splitweave.functions.keys import BUCKET

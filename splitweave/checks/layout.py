@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from splitweave.checks.registered import query
 from splitweave.checks.views import (
-    DATED, IDS, MAPPING_ROWS, N, WIDE, bucket_ctes, id_list, id_snapshots, mapping, narrow_sql, once, order_snapshots, read,
+    DATED, IDS, N, WIDE, bucket_ctes, id_snapshots, mapping, narrow_sql, once, order_snapshots, read,
     shown, stored_wide, wide_snapshots,
 )
 from splitweave.functions.keys import BUCKET
 from splitweave.functions.text import join_path
-from splitweave.operators.columns import canonical_key, vertical_split, versioned_path, with_id_bucket
+from splitweave.operators.columns import vertical_split, versioned_path, with_id_bucket
 from splitweave.operators.filters import at_snapshot, lookup_key
 from splitweave.operators.joins import join_bucketed
 from splitweave.operators.layout import file_plan, refresh_parts, write_bucketed, write_clustered, write_parquet, write_parts
@@ -25,7 +25,7 @@ from splitweave.operators.tables import (
 from splitweave.plans.pipelines import bucketed_build, identity_build, register_and_prepare, split_and_bucket, split_and_part
 from splitweave.sources.catalog import catalog_partitions, list_tables, location, properties
 from splitweave.sources.inventory import discover_tables, file_inventory, size_by, storage_partitions
-from splitweave.sources.mapping import mapping_columns, read_mapping
+from splitweave.sources.mapping import read_mapping
 from splitweave.sources.paths import shared_scratch
 from splitweave.sources.snapshots import read_marker_under, read_snapshot, resolve_snapshot, write_marker
 

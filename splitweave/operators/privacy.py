@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from splitweave.operators.quality import union_all
-from splitweave.operators.skew import salted_join
+from splitweave.operators.skew import hot_keys, salted_join
 
 ALLOWED = ("count", "count_distinct", "sum", "avg", "min", "max")
 Aggs = dict[str, tuple[str, str]]
@@ -83,6 +83,9 @@ def _collapse(df: DataFrame, on: list[str], dims: list[str], aggs: Aggs, constra
         if f in ("min", "max"):
             measures.append((F.min if f == "min" else F.max)(c).alias(f"_val_{name}"))
     known = df.where(" and ".join(f"`{c}` is not null" for c in on))
+    if len(keys) > len(on) and not hot_keys(known, on[0]):
+        # Without a frequent key, rows shuffled by the join key serve both this grouping and the join.
+        known = known.repartition(*on)
     return known.groupBy(*keys).agg(*measures)
 
 
@@ -98,9 +101,9 @@ def private_overlap(
 ) -> DataFrame:
     """Minimum-population aggregate over ``a`` joined with ``b``.
 
-    The pairs of a key are never formed: each side is collapsed first (partial counts and sums, map side before
-    the shuffle), and a row of one side then weighs as many times as the other side has rows. Column names
-    other than ``on`` must differ between the sides.
+    The pairs of a key are never formed: each side is collapsed first to partial counts and sums, and a row of one
+    side then weighs as many times as the other side has rows. A frequent key is collapsed on the map side before
+    any shuffle. Column names other than ``on`` must differ between the sides.
     """
     _check(aggs, allowed)
     shared = sorted((set(a.columns) & set(b.columns)) - set(on))

@@ -30,6 +30,7 @@ from splitweave.sources.mapping import mapping_columns, mapping_errors
 from splitweave.sources.paths import remove
 from splitweave.sources.snapshots import read_snapshot, resolve_snapshot, write_marker
 
+SHARE_STEPS = 10_000
 PLAN_DDL = "table_name string, bytes bigint, size_gb double, target_mb int, raw_files int, planned_files int"
 
 
@@ -96,20 +97,27 @@ def split_and_bucket(
     n: int = BUCKETS,
     target_file_mb: int | None = None,
     id_table: str = "addressable_ids",
+    measured_share: float = 1.0,
 ) -> DataFrame:
     """As above, but each table becomes a planned number of files clustered by key.
 
     Every narrow table is staged once; its size decides the file count, and the staged copy, not the wide
     source, feeds the final write. Returns the file plan. ``staging`` must be a folder all executors reach.
+
+    With ``measured_share`` below 1 only that share of the keys, chosen by hash, is staged and the sizes are scaled
+    up; the final write then reads the source. That saves a write of the whole data and plans from an estimate.
     """
     wide, dt = _snapshot(spark, source, snapshot_dt, key)
     tables = vertical_split(wide, _groups(wide, mapping, id_table, key), key)
     counts = slot_counts(wide, bucket_of(key, n))
     staged = {t: join_path(staging, t) for t in tables}
-    at_once(spark, lambda t: tables[t].write.mode("overwrite").parquet(staged[t]), tables)
+    whole = measured_share >= 1
+    measured = F.lit(True) if whole else bucket_of(key, SHARE_STEPS) < int(measured_share * SHARE_STEPS)
+    at_once(spark, lambda t: tables[t].where(measured).write.mode("overwrite").parquet(staged[t]), tables)
     sizes = size_by(file_inventory(spark, list(staged.values())), "directory")
     table = F.element_at(F.split("directory", "/"), -1).alias("table_name")
-    plan = file_plan(sizes.select(table, "bytes"), target_file_mb)
+    scaled = F.col("bytes") if whole else F.ceil(F.col("bytes") / measured_share)
+    plan = file_plan(sizes.select(table, scaled.alias("bytes")), target_file_mb)
     # A few numbers per table decide how its job is planned.
     planned = {r["table_name"]: r for r in plan.collect()}
     rows = sum(counts.values())
@@ -118,7 +126,8 @@ def split_and_bucket(
         p = planned[t]
         # The file counts end at 128; beyond that, and for a hot key, files of twice the target size are cut.
         max_rows = max(1, ceil(rows * 2 * p["target_mb"] * 1024 * 1024 / p["bytes"]))
-        write_clustered(spark.read.parquet(staged[t]), join_path(target, t), key, n, p["planned_files"], counts, max_rows)
+        source_rows = spark.read.parquet(staged[t]) if whole else tables[t]
+        write_clustered(source_rows, join_path(target, t), key, n, p["planned_files"], counts, max_rows)
 
     at_once(spark, write, tables)
     write_marker(spark, target, dt)

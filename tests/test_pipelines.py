@@ -14,7 +14,7 @@ from splitweave.operators.tables import create_identity_table, ensure_partitione
 from splitweave.plans.pipelines import bucketed_build, monitor_and_report, refresh, split_and_bucket, split_and_part
 from splitweave.plans.submit import _parser, run
 from splitweave.sources.catalog import properties, registered_type, table_names
-from splitweave.sources.inventory import discover_tables, storage_partitions
+from splitweave.sources.inventory import dir_bytes, discover_tables, file_inventory, storage_partitions
 from splitweave.sources.mapping import mapping_columns, mapping_errors, read_mapping
 from splitweave.sources.paths import child_names, shared_scratch
 from splitweave.sources.snapshots import latest_snapshot, read_marker, read_marker_under, resolve_snapshot
@@ -74,6 +74,21 @@ def test_split_and_bucket_plan(spark, sf):
     assert child_names(spark, staging) == []
 
 
+def test_split_and_bucket_from_a_measured_share(spark, sf):
+    target, staging = shared_scratch(spark, "target"), shared_scratch(spark, "staging")
+    plan = split_and_bucket(spark, wide_snapshots(spark, sf), target, staging, mapping(spark), n=8, measured_share=0.5)
+    assert {r["written_files"] for r in plan.collect()} <= {7, 8}
+    source = vertical_split(stored_wide(spark, sf), mapping(spark))
+    for t, df in source.items():
+        assert rows(spark.read.parquet(join_path(target, t))) == rows(df)
+
+
+def test_directory_size(spark, sf):
+    path = shared_scratch(spark, "size")
+    spark.range(1000).coalesce(1).write.parquet(path)
+    assert dir_bytes(spark, path) == file_inventory(spark, path).first()["bytes"] > 1000
+
+
 def test_reassemble_refuses_repeated_keys(spark):
     users = spark.createDataFrame([(1, "a"), (1, "b")], "customer_user_id bigint, x string")
     with pytest.raises(ValueError):

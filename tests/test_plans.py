@@ -9,6 +9,7 @@ from splitweave.operators.columns import vertical_split, with_id_bucket
 from splitweave.operators.filters import at_snapshot, lookup_key
 from splitweave.operators.joins import join_bucketed, join_parts, reassemble
 from splitweave.operators.layout import write_bucketed
+from splitweave.operators.privacy import private_overlap
 from splitweave.operators.quality import key_quality, row_count
 from splitweave.operators.ranking import dedupe_keep, latest_per_key, quota
 from splitweave.sources.inventory import file_inventory
@@ -93,3 +94,15 @@ def test_inventory_reads_no_contents(spark, sf):
 
 def test_bucket_column_stays_in_codegen(spark, sf):
     assert "Python" not in plan(with_id_bucket(stored_wide(spark, sf), "Customer_User_id"), "simple")
+
+
+def test_overlap_shuffles_each_side_once(spark, sf):
+    a = read(spark, sf, "customer").select(F.col("c_custkey").alias("k"), "c_mktsegment")
+    b = read(spark, sf, "orders").select(F.col("o_custkey").alias("k"), "o_orderstatus", "o_orderkey")
+    no_broadcast(spark)
+    try:
+        out = private_overlap(a, b, ["k"], ["c_mktsegment", "o_orderstatus"], {"n": ("count", "o_orderkey")}, "k")
+        # one per side, one for the groups
+        assert plan(out, "simple").count("Exchange hashpartitioning") == 3
+    finally:
+        usual(spark)

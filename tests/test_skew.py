@@ -116,8 +116,10 @@ def test_identities_hot_on_both_sides(spark, skewed):
     assert unmatched(out, "customer_user_id").count() == out.count() - ROWS // 3 - 1
 
 
-def test_overlap_does_not_form_pairs(spark, skewed):
-    """10,001 x 10,001 pairs of the hot key are counted without being formed."""
+@pytest.mark.parametrize("hot", [[], [7]])
+def test_overlap_does_not_form_pairs(spark, skewed, hot, monkeypatch):
+    """10,001 x 10,001 pairs of the hot key are counted without being formed, on either path."""
+    monkeypatch.setattr("splitweave.operators.privacy.hot_keys", lambda df, key: hot)
     a = skewed.select("customer_user_id", (F.col("v") % 5).alias("dim"), F.col("v").alias("x"))
     b = skewed.where("customer_user_id = 7").select("customer_user_id", F.col("v").alias("y"), (F.col("v") % 2).alias("flag"))
     aggs = {
