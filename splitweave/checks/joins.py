@@ -54,7 +54,7 @@ def missing_partitions_query(spark, sf):
     return missing_partitions(expected_partitions(spark, 256), with_id_bucket(some).select(BUCKET).distinct())
 
 
-@query("registry_join", f"WITH {REGISTRY} SELECT table_name, column_count, configured_id, rule, association_name, result_rule FROM joined")
+@query("registry_join", f"WITH {REGISTRY} SELECT table_name, column_count, configured_id, allowed_columns_count, analysis_method, rule, association_name, result_rule FROM joined")
 def registry_join_query(spark, sf):
     r = registry(spark, sf)
     return registry_join(r["tables"].drop("partition_keys"), r["configured"], r["rules"], r["associations"])

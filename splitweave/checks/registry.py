@@ -133,7 +133,7 @@ def list_add_query(spark, sf):
   CASE len(providers) WHEN 0 THEN 'N/A' WHEN 1 THEN '1111-2222-3333 (Query runner)' ELSE '1111-2222-3333 (Query runner), {ACCOUNT_B}' END AS allowed_analyses,
   CASE WHEN associated THEN 'Yes' ELSE 'No' END AS association_exists, coalesce(association_name, 'N/A') AS association_name,
   CASE WHEN associated THEN 'Yes' ELSE 'No' END AS in_collaboration, CASE WHEN ready THEN 'Yes' ELSE 'No' END AS ready_for_analysis,
-  column_count, 'id_bucket' AS partition_keys, 0 AS allowed_columns_count, 'N/A' AS analysis_method,
+  column_count, 'id_bucket' AS partition_keys, coalesce(allowed_columns_count, 0) AS allowed_columns_count, coalesce(analysis_method, 'N/A') AS analysis_method,
   CASE WHEN result_rule IS NOT NULL THEN 'Yes' ELSE 'No' END AS result_rule_exists FROM ready""")
 def readiness_report_query(spark, sf):
     return readiness_report(joined(spark, sf), LABELS)

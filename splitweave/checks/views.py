@@ -179,7 +179,10 @@ def registry(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     table = F.concat(F.lit("part_t_"), key)
     return {
         "tables": part.select(table.alias("table_name"), F.col("p_size").alias("column_count"), F.lit("id_bucket").alias("partition_keys")),
-        "configured": part.where(_k(7) != 0).select(table.alias("name"), F.concat(F.lit("ct-"), key).alias("id")),
+        "configured": part.where(_k(7) != 0).select(
+            table.alias("name"), F.concat(F.lit("ct-"), key).alias("id"), (F.col("p_size") - 1).alias("allowed_columns_count"),
+            F.lit("DIRECT_QUERY").alias("analysis_method"),
+        ),
         "rules": part.where(_k(5) != 0).select(
             F.concat(F.lit("ct-"), key).alias("id"), _policy("allowedAnalysisProviders", 0).alias("document")
         ),
@@ -191,11 +194,11 @@ def registry(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 REGISTRY = f"""t AS (SELECT p_partkey, 'part_t_' || p_partkey AS table_name, p_size AS column_count FROM part),
-conf AS (SELECT 'part_t_' || p_partkey AS name, 'ct-' || p_partkey AS id FROM part WHERE p_partkey % 7 <> 0),
+conf AS (SELECT 'part_t_' || p_partkey AS name, 'ct-' || p_partkey AS id, p_size - 1 AS allowed_columns_count, 'DIRECT_QUERY' AS analysis_method FROM part WHERE p_partkey % 7 <> 0),
 rules AS (SELECT 'ct-' || p_partkey AS id, {_policy_sql('allowedAnalysisProviders', 0)} AS document FROM part WHERE p_partkey % 5 <> 0),
 assoc AS (SELECT 'acx_part_t_' || p_partkey AS association_name,
   CASE WHEN p_partkey % 13 <> 0 THEN {_policy_sql('allowedResultReceivers', 1)} END AS result_rule FROM part WHERE p_partkey % 4 <> 0),
-joined AS (SELECT p_partkey, table_name, column_count, conf.id AS configured_id, document AS rule, association_name, result_rule
+joined AS (SELECT p_partkey, table_name, column_count, conf.id AS configured_id, allowed_columns_count, analysis_method, document AS rule, association_name, result_rule
   FROM t LEFT JOIN conf ON conf.name = table_name LEFT JOIN rules ON rules.id = conf.id
   LEFT JOIN assoc ON association_name = 'acx_' || table_name),
 policy AS (SELECT *, coalesce(from_json(json_extract(rule, '$.v1.custom.allowedAnalysisProviders'), '["VARCHAR"]'), []) AS providers,
@@ -261,6 +264,6 @@ def id_snapshots(spark: SparkSession, sf: str) -> str:
 
 def order_snapshots(spark: SparkSession, sf: str) -> str:
     def write(path: str) -> None:
-        dated_orders(spark, sf).repartition("snapshot_dt").write.partitionBy("snapshot_dt").parquet(path)
+        dated_orders(spark, sf).write.partitionBy("snapshot_dt").parquet(path)
 
     return once(spark, sf, "order-snapshots", write)

@@ -96,9 +96,10 @@ def valid_receivers(wanted: DataFrame, members: DataFrame, own: str, account: st
 def registry_join(tables: DataFrame, configured: DataFrame, rules: DataFrame, associations: DataFrame) -> DataFrame:
     """tables(table_name) ⟕ configured(name, id) ⟕ rules(id, document) ⟕ associations(association_name).
 
-    An absent side stays NULL. Small sides are broadcast by Spark when their measured size allows it.
+    An absent side stays NULL; further columns of tables, configured and associations are kept. Small sides are
+    broadcast by Spark when their measured size allows it.
     """
-    conf = configured.select(F.col("name").alias("table_name"), F.col("id").alias("configured_id"))
+    conf = configured.withColumnsRenamed({"name": "table_name", "id": "configured_id"})
     rule = rules.select(F.col("id").alias("configured_id"), F.col("document").alias("rule"))
     return (
         tables.withColumn("_assoc", F.concat(F.lit(ASSOCIATION_PREFIX), "table_name"))

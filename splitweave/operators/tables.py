@@ -42,7 +42,10 @@ def define_table(
     props: dict[str, str],
     partition: T.StructField | None = None,
 ) -> None:
-    """Drop the definition (files stay: the table is external) and define it again over the same files."""
+    """Drop the definition and define it again over the same files. Only external tables: dropping a managed one
+    would delete its files."""
+    if table_exists(spark, table) and describe_table(spark, table).details.get("Type") == "MANAGED":
+        raise ValueError(f"{table} is a managed table")
     cols = ", ".join(_column(f) for f in [*fields, *([partition] if partition else [])])
     by = f"PARTITIONED BY (`{partition.name}`)" if partition else ""
     extra = f"TBLPROPERTIES ({', '.join(f'{_quoted(k)} = {_quoted(v)}' for k, v in props.items())})" if props else ""

@@ -4,14 +4,17 @@ import pytest
 from pyspark.sql import functions as F
 
 from splitweave.checks.views import AS_OF, CHECKED_AT, N, id_snapshots, mapping, stored_wide, wide_snapshots
+from splitweave.functions.keys import bucket_of
 from splitweave.functions.text import join_path
 from splitweave.operators.columns import canonical_key, registered_columns, vertical_split, versioned_path
+from splitweave.operators.identity import map_identities
 from splitweave.operators.joins import reassemble
 from splitweave.operators.layout import write_parts
 from splitweave.operators.monitor import monitor
 from splitweave.operators.quality import duplicate_rows
+from splitweave.operators.skew import hot_keys
 from splitweave.operators.tables import create_identity_table, ensure_partitioned, register_external
-from splitweave.plans.pipelines import bucketed_build, monitor_and_report, refresh, split_and_bucket, split_and_part
+from splitweave.plans.pipelines import bucketed_build, monitor_and_report, refresh, register_and_prepare, split_and_bucket, split_and_part
 from splitweave.plans.submit import _parser, run
 from splitweave.sources.catalog import properties, registered_type, table_names
 from splitweave.sources.inventory import dir_bytes, discover_tables, file_inventory, storage_partitions
@@ -239,3 +242,38 @@ def test_command_line(spark, sf, db):
     assert table_names(spark, db) == ["bucketed_addressable_ids", "ext_addressable_ids", "part_addressable_ids", "part_addressable_ids_er"]
     bucket = f"split-and-bucket --source {id_snapshots(spark, sf)} --target {target}_f --bucket-count 4 --target-file-mb 100"
     assert run(spark, _parser().parse_args(bucket.split())).first()["written_files"] <= 4
+
+
+def test_managed_tables_are_not_redefined(spark, db):
+    spark.range(3).write.saveAsTable(f"{db}.part_m")
+    with pytest.raises(ValueError):
+        ensure_partitioned(spark, f"{db}.part_m")
+    assert spark.table(f"{db}.part_m").count() == 3
+
+
+def test_monitor_without_counts_and_with_few_tables(spark, sf, db):
+    root = shared_scratch(spark, "nocount")
+    for t in ("a", "b"):
+        write_parts(spark.range(50).select(F.col("id").alias("customer_user_id")), join_path(root, t), n=2)
+    register_and_prepare(spark, db, root)
+    report, alerts = monitor_and_report(spark, db, shared_scratch(spark, "out"), AS_OF, CHECKED_AT, 2, count_check=False, max_tables=1)
+    assert [(r["table"], r["count_part"], r["pk_nulls"]) for r in report.collect()] == [("part_a", "", "")]
+    assert alerts.isEmpty()
+
+
+def test_string_keys(spark, db):
+    """Keys are text in many snapshots: same bucket everywhere, same rows back, matches by text."""
+    users = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("u"), F.col("id").cast("string"))).alias("CUSTOMER_USER_ID"),
+        F.col("id").alias("v"),
+    )
+    source, target = shared_scratch(spark, "text"), shared_scratch(spark, "text-parts")
+    users.write.parquet(join_path(source, "snapshot_dt=2024-01-01"))
+    m = spark.createDataFrame([(0, "T", "v")], "pos bigint, table_name string, column_name string")
+    split_and_part(spark, source, target, m, n=8)
+    back = spark.read.parquet(join_path(target, "T"))
+    assert back.count() == 3000 and back.where(F.col("id_bucket") != bucket_of("customer_user_id", 8)).isEmpty()
+    ids = back.select("customer_user_id", F.col("customer_user_id").alias("row_id"))
+    found = map_identities(ids, ids.select("customer_user_id", F.col("row_id").alias("target_id")), "customer_user_id")
+    assert {r["status"]: r["count"] for r in found.groupBy("status").count().collect()} == {"matched": 2000, "ambiguous": 1}
+    assert hot_keys(back, "customer_user_id", min_rows=100, share=0.01) == ["hot"]

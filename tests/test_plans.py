@@ -7,7 +7,7 @@ from splitweave.checks.layout import geo_parts, narrow
 from splitweave.checks.views import N, order_snapshots, read, stored_wide, mapping
 from splitweave.operators.columns import vertical_split, with_id_bucket
 from splitweave.operators.filters import at_snapshot, lookup_key
-from splitweave.operators.joins import join_bucketed, join_parts, reassemble
+from splitweave.operators.joins import join_attributes, join_bucketed, join_parts, reassemble
 from splitweave.operators.layout import write_bucketed
 from splitweave.operators.privacy import private_overlap
 from splitweave.operators.quality import key_quality, row_count
@@ -106,3 +106,25 @@ def test_overlap_shuffles_each_side_once(spark, sf):
         assert plan(out, "simple").count("Exchange hashpartitioning") == 3
     finally:
         usual(spark)
+
+
+def test_skewed_partition_of_an_attribute_join_is_split(spark):
+    """Plain inputs: adaptive execution cuts the partition of a key with a third of the rows."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        key = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).cast("bigint")
+        many = spark.range(0, 200_000, 1, 8).select(key.alias("customer_user_id"), F.rand(1).alias("v"))
+        one = spark.range(200_000).select(F.col("id").alias("customer_user_id"), F.rand(2).alias("w"))
+        joined = join_attributes(many, one)
+        assert len(joined.collect()) == 200_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
