@@ -85,37 +85,28 @@ def check_split(
 ) -> DataFrame:
     """Per narrow table: row counts, keys missing from it, keys it has too many of, attribute columns.
 
-    All key columns go through one shuffle: per key, how often it occurs in the source and in each table.
+    Per key, how often it occurs in the source and in the table. Only the key and two counts are shuffled.
     """
-    names = list(tables)
-    labelled = [wide.select(F.col(key).alias("k"), F.lit(-1).alias("t"))]
-    labelled += [tables[n].select(F.col(key).alias("k"), F.lit(i).alias("t")) for i, n in enumerate(names)]
-    counts = [F.count_if(F.col("t") == i).alias(f"n{i}") for i in range(len(names))]
-    per_key = union_all(labelled).groupBy("k").agg(F.count_if(F.col("t") == -1).alias("src"), *counts)
+    source = wide.select(F.col(key).alias("k"), F.lit(1).alias("s"), F.lit(0).alias("t"))
 
     def total(c: Column) -> Column:
-        return F.coalesce(F.sum(c), F.lit(0))
-
-    zero = F.lit(0).cast("bigint")
-    sums = [total("src").alias("src")]
-    for i in range(len(names)):
-        n = F.col(f"n{i}")
-        sums += [
-            total(n).alias(f"rows{i}"),
-            total(F.greatest(F.col("src") - n, zero)).alias(f"missing{i}"),
-            total(F.greatest(n - F.col("src"), zero)).alias(f"extra{i}"),
-        ]
-    per_table = [
-        F.struct(
+        return F.coalesce(F.sum(c), F.lit(0).cast("bigint"))
+
+    def one(name: str, df: DataFrame) -> DataFrame:
+        mine = df.select(F.col(key).alias("k"), F.lit(0).alias("s"), F.lit(1).alias("t"))
+        per_key = source.unionByName(mine).groupBy("k").agg(F.sum("s").alias("s"), F.sum("t").alias("t"))
+        ahead, zero = F.col("s") - F.col("t"), F.lit(0).cast("bigint")
+        return per_key.agg(
+            total(F.col("s")).alias("source_rows"),
+            total(F.col("t")).alias("rows"),
+            total(F.greatest(ahead, zero)).alias("missing_keys"),
+            total(F.greatest(-ahead, zero)).alias("extra_keys"),
+        ).select(
             F.lit(name).alias("table_name"),
-            F.col("src").alias("source_rows"),
-            F.col(f"rows{i}").alias("rows"),
-            F.col(f"missing{i}").alias("missing_keys"),
-            F.col(f"extra{i}").alias("extra_keys"),
+            "*",
             F.lit(len(narrow_columns(groups[name], key)) - 1).alias("mapped_columns"),
-            F.lit(len([c for c in tables[name].columns if c not in (key, BUCKET)])).alias("found_columns"),
+            F.lit(len([c for c in df.columns if c not in (key, BUCKET)])).alias("found_columns"),
         )
-        for i, name in enumerate(names)
-    ]
+
     ok = (F.col("missing_keys") == 0) & (F.col("extra_keys") == 0) & (F.col("mapped_columns") == F.col("found_columns"))
-    return per_key.agg(*sums).select(F.inline(F.array(*per_table))).withColumn("ok", ok)
+    return union_all([one(n, df) for n, df in tables.items()]).withColumn("ok", ok)

@@ -1,4 +1,4 @@
-"""Pipelines from the command line: ``spark-submit submit.py <pipeline> --option value``; this file as the script."""
+"""Pipelines from the command line; ``run_job.py`` at the root is the script to submit."""
 
 from __future__ import annotations
 
@@ -95,7 +95,3 @@ def main(arguments: list[str] | None = None) -> None:
     options = _parser().parse_args(arguments)
     spark = SparkSession.builder.appName(f"splitweave {options.command}").getOrCreate()
     run(spark, options).show(200, truncate=False)
-
-
-if __name__ == "__main__":
-    main()
