@@ -151,8 +151,9 @@ def overlap_list(
     def on(j: str) -> DataFrame:
         left = a.where(F.col(j).isNotNull()).select(*dict.fromkeys([j, *ours]))
         right = b.where(F.col(j).isNotNull()).select(*dict.fromkeys([j, *theirs])).distinct()
+        hot = hot_keys(a, j)
         if not theirs:
-            return salted_join(left, right, j, "left_semi").select(*list_cols)
-        return salted_join(left.distinct(), right, j, "inner").select(*list_cols)
+            return salted_join(left, right, j, "left_semi", hot).select(*list_cols)
+        return salted_join(left.distinct(), right, j, "inner", hot).select(*list_cols)
 
     return union_all([on(j) for j in join_cols]).distinct()

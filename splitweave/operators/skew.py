@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 SALTS = 64
 MIN_HOT_ROWS = 1_000_000
 HOT_SHARE = 0.001
+TRACKED = 8
+SKETCH_GROUPS = 256
 # Key types the frequent-items sketch accepts; keys of other types are left to adaptive execution.
 SKETCHED = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.BooleanType)
 
@@ -21,17 +23,26 @@ SKETCHED = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.BooleanT
 def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS, share: float = HOT_SHARE) -> list:
     """Values of ``key`` with at least ``share`` of the rows and ``min_rows`` rows.
 
-    A mergeable frequent-items sketch counts on the map side, so no row is shuffled. At most 1/share values can
-    qualify, which bounds what reaches the driver. The sketch tracks many more items than that, so it misses none.
+    A mergeable frequent-items sketch counts on the map side, so no row is shuffled; the sketches of the input
+    splits are merged in two steps, so no task gets them all. At most 1/share values can qualify, which bounds what
+    reaches the driver. The sketch tracks several times as many, so it misses none of them.
     """
     if not isinstance(df.schema[key].dataType, SKETCHED):
         return []
     limit = int(1 / share)
-    top = df.select(F.col(key).alias("k")).where("k is not null").agg(
-        F.count("*").alias("n"), F.expr(f"approx_top_k(k, {limit}, {limit * 20})").alias("top")
-    ).first()
+    tracked = limit * TRACKED
+    per_group = df.select(F.col(key).alias("k")).where("k is not null").groupBy(
+        F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g")
+    ).agg(F.count("*").alias("n"), F.expr(f"approx_top_k_accumulate(k, {tracked})").alias("sketch"))
+    # One group for all, and not no group: an empty partition then has no sketch to merge.
+    merged = per_group.groupBy((F.col("g") * 0).alias("all")).agg(
+        F.sum("n").alias("n"), F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch")
+    )
+    top = merged.select("n", F.expr(f"approx_top_k_estimate(sketch, {limit})").alias("top")).first()
+    if top is None:
+        return []
     floor = max(min_rows, int(top["n"] * share))
-    return [t["item"] for t in (top["top"] or []) if t["count"] >= floor]
+    return [t["item"] for t in top["top"] if t["count"] >= floor]
 
 
 def is_hot(key: str, hot: list) -> Column:
@@ -49,7 +60,7 @@ def dealt(df: DataFrame) -> Column:
 
 
 def spread_left(df: DataFrame, key: str, hot: list, salts: int = SALTS) -> DataFrame:
-    salt = F.when(is_hot(key, hot), F.pmod(dealt(df), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    salt = F.when(F.col(key).isNull() | is_hot(key, hot), F.pmod(dealt(df), F.lit(salts)).cast("int")).otherwise(F.lit(0))
     return df.withColumn("_salt", salt)
 
 
@@ -59,7 +70,10 @@ def repeat_right(df: DataFrame, key: str, hot: list, salts: int = SALTS) -> Data
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, how: str, hot: list | None = None) -> DataFrame:
-    """Join whose left side may hold hot keys and whose right side has few rows per key."""
+    """Join whose left side may hold hot keys and whose right side has few rows per key.
+
+    Pass ``hot`` when the left side is the result of a shuffle: measuring it here would run that shuffle twice.
+    """
     hot = hot_keys(left, key) if hot is None else hot
     if not hot:
         return left.join(right, key, how)

@@ -67,6 +67,18 @@ def test_bucketed_file_sizes(spark, skewed, db):
 def test_hot_keys(skewed):
     assert hot_keys(skewed, "customer_user_id", min_rows=1_000, share=0.01) == [7]
     assert hot_keys(skewed, "v", min_rows=1_000, share=0.01) == []
+    assert hot_keys(skewed.where("v < 0"), "customer_user_id", min_rows=1) == []
+    assert hot_keys(skewed.select(F.array("v").alias("a")), "a") == []
+
+
+def test_hot_keys_finds_all_among_many(spark):
+    """Forty keys of 1 % each among 300,000 single ones."""
+    many = spark.range(0, 500_000, 1, 32).select(
+        F.when(F.col("id") < 200_000, -(F.col("id") % 40) - 1).otherwise(F.col("id")).alias("k")
+    )
+    assert sorted(hot_keys(many, "k", min_rows=1_000)) == list(range(-40, 0))
+    assert sorted(hot_keys(many.coalesce(2), "k", min_rows=1_000)) == list(range(-40, 0))
+    assert sorted(hot_keys(many.where("k < 0").repartition(3, "k").unionByName(many.where("k = 0")), "k", min_rows=1_000)) == list(range(-40, 0))
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
