@@ -36,6 +36,8 @@ def test_bucketed_join_has_no_shuffle(spark, sf, db):
     try:
         joined = join_bucketed(spark, f"{db}.seg_01", f"{db}.geo_01")
         assert count(joined, "Exchange") == 0 and "SortMergeJoin" in plan(joined)
+        # Only the rows of frequent keys are shuffled.
+        assert count(join_bucketed(spark, f"{db}.seg_01", f"{db}.geo_01", hot=[7]), "Exchange") == 2
     finally:
         usual(spark)
 
