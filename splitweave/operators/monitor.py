@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from splitweave.functions.keys import BUCKET, BUCKETS, KEY
 from splitweave.functions.sizes import size_out_of_range
 from splitweave.functions.text import (
-    SOURCE_PREFIX, TABLE_PREFIX, base_name, is_stale, join_path, normalize_path, utc_text,
+    IDENTITY_SUFFIX, SOURCE_PREFIX, TABLE_PREFIX, base_name, is_stale, join_path, normalize_path, utc_text,
 )
 from splitweave.operators.columns import with_input_source
 from splitweave.operators.joins import count_match, pair_counts
@@ -134,19 +134,27 @@ def alert_rows(
     mine = said(db + "." if db else "", name)
     theirs = said(source_db + "." if source_db else "", source_prefix, base_name(name))
     percent = F.format_string("%.3f", F.col("count_diff_pct").try_cast("double"))
+    problems = F.array_join("contract_problems", ", ")
+    files = F.array_join(F.slice("file_issues", 1, 3), ", ")
+    stale = F.lit(strict_snapshot) & F.col("stale")
+    no_source = F.col("count_checked") & F.col("count_src").isNull()
     checks = [
-        F.when(F.col("storage_partitions") != n, said(name, ": storage has ", F.col("storage_partitions"), f"/{n} id_bucket partitions")),
-        F.when(F.col("missing_count") > 0, said(name, ": catalog misses ", F.col("missing_count"), " partitions (e.g., [", sample, "])")),
-        F.when(~F.col("table_type_ok"), said(name, ": schema mismatch (external/Parquet)")),
-        F.when(F.size("contract_problems") > 0, said(name, ": schema contract issues: ", F.array_join("contract_problems", ", "))),
-        F.when(F.lit(strict_snapshot) & F.col("stale"), said(name, ": processed snapshot too old/missing (snap=", F.coalesce("snapshot_dt", F.lit("None")), ")")),
-        F.when(F.col("count_checked") & F.col("count_src").isNull(), said(name, ": source table not found ", theirs, "; count match skipped")),
-        F.when(F.col("count_mismatch"), said("[COUNT_MISMATCH] ", name, ": ", mine, "=", F.col("count_part"), " vs ", theirs, "=", F.col("count_src"), " (Δ=", percent, "%)")),
-        F.when(F.col("pk_nulls") > 0, said("[PK_NULL] ", name, f": {key} NULL rows=", F.col("pk_nulls"))),
-        F.when(F.col("pk_dupes") > 0, said("[PK_DUPES] ", name, f": {key} duplicate rows=", F.col("pk_dupes"))),
-        F.when(F.size("file_issues") > 0, said(name, ": file-size issues (sample): [", F.array_join(F.slice("file_issues", 1, 3), ", "), "]...")),
+        (F.col("storage_partitions") != n, [name, ": storage has ", F.col("storage_partitions"), f"/{n} id_bucket partitions"]),
+        (F.col("missing_count") > 0, [name, ": catalog misses ", F.col("missing_count"), " partitions (e.g., [", sample, "])"]),
+        (~F.col("table_type_ok"), [name, ": schema mismatch (external/Parquet)"]),
+        (F.size("contract_problems") > 0, [name, ": schema contract issues: ", problems]),
+        (stale, [name, ": processed snapshot too old/missing (snap=", F.coalesce("snapshot_dt", F.lit("None")), ")"]),
+        (no_source, [name, ": source table not found ", theirs, "; count match skipped"]),
+        (
+            F.col("count_mismatch"),
+            ["[COUNT_MISMATCH] ", name, ": ", mine, "=", F.col("count_part"), " vs ", theirs, "=", F.col("count_src"), " (Δ=", percent, "%)"],
+        ),
+        (F.col("pk_nulls") > 0, ["[PK_NULL] ", name, f": {key} NULL rows=", F.col("pk_nulls")]),
+        (F.col("pk_dupes") > 0, ["[PK_DUPES] ", name, f": {key} duplicate rows=", F.col("pk_dupes")]),
+        (F.size("file_issues") > 0, [name, ": file-size issues (sample): [", files, "]..."]),
     ]
-    return detail.select("table_name", F.posexplode(F.array_compact(F.array(*checks))).alias("position", "alert"))
+    texts = F.array_compact(F.array(*[F.when(hit, said(*parts)) for hit, parts in checks]))
+    return detail.select("table_name", F.posexplode(texts).alias("position", "alert"))
 
 
 def alert_message(alerts: DataFrame, limit: int = MAX_ALERTS_IN_MESSAGE) -> DataFrame:
@@ -159,6 +167,44 @@ def alert_message(alerts: DataFrame, limit: int = MAX_ALERTS_IN_MESSAGE) -> Data
     )
 
 
+def _counted(
+    spark: SparkSession, db: str, names: list[str], prefix: str, source_db: str, source_prefix: str, key: str, tolerance_pct: float
+) -> DataFrame:
+    """(table_name, counts, difference, key quality) of the tables that have the key column."""
+    tables = {t: spark.table(f"{db}.{t}") for t in names}
+    keyed = {t: df for t, df in tables.items() if key in df.columns}
+    quality = (
+        key_quality(keyed, key) if keyed
+        else rows_frame(spark, [], "table_name string, rows bigint, null_keys bigint, duplicate_rows bigint")
+    )
+    known = set(table_names(spark, source_db, source_prefix))
+    bases = [t[len(prefix):] for t in names]
+    sources = {b: spark.table(f"{source_db}.{source_prefix}{b}") for b in bases if source_prefix + b in known}
+    source_counts = (
+        row_counts(sources).withColumnRenamed("table_name", "base_name") if sources
+        else rows_frame(spark, [], "base_name string, rows bigint")
+    )
+    counts = quality.select(
+        "table_name",
+        F.substring("table_name", len(prefix) + 1, 1000).alias("base_name"),
+        "rows",
+        F.col("null_keys").alias("pk_nulls"),
+        F.col("duplicate_rows").alias("pk_dupes"),
+    )
+    return count_match(pair_counts(counts, source_counts), tolerance_pct).drop("base_name")
+
+
+def _with_file_issues(spark: SparkSession, detail: DataFrame, places: list[str], size_mb: tuple[float, float]) -> DataFrame:
+    def bare(path: str) -> Column:
+        return F.regexp_replace(path, r"^file:/+|/+$", "")
+
+    ordered = F.array_sort(F.collect_list(F.struct(BUCKET, "path", "issue")))
+    issues = file_size_issues(file_inventory(spark, places), *size_mb).groupBy(bare("directory").alias("_place")).agg(
+        F.transform(ordered, lambda x: x["issue"]).alias("file_issues")
+    )
+    return detail.join(issues, bare("location") == F.col("_place"), "left").drop("_place")
+
+
 def monitor(
     spark: SparkSession,
     db: str,
@@ -179,50 +225,29 @@ def monitor(
     """One row per monitored table with every check's result; see ``report_rows`` and ``alert_rows``."""
     if source_prefix == prefix and source_db in (None, db):
         raise ValueError("a table would be compared with itself")
-    source_db = source_db or db
-    names = table_names(spark, db, prefix, not_suffix="_er", limit=max_tables)
-    full = [f"{db}.{t}" for t in names]
-    contract = check_contract(spark, full, key)
+    names = table_names(spark, db, prefix, not_suffix=IDENTITY_SUFFIX, limit=max_tables)
+    contract = check_contract(spark, [f"{db}.{t}" for t in names], key)
     where = {r["table_name"]: r["location"] for r in contract.select("table_name", "location").collect()}
 
     stored = bucket_rows(spark, {t: child_names(spark, where[t]) for t in names})
     registered = bucket_rows(spark, {t: partition_names(spark, f"{db}.{t}") for t in names})
-    roots = {where[t]: normalize_path(join_path(where[t], "..")) for t in names}
+    roots = {t: normalize_path(join_path(where[t], "..")) for t in names}
     dates = {root: read_marker_under(spark, root) for root in set(roots.values())}
-    markers = rows_frame(spark, [(t, dates[roots[where[t]]]) for t in names], "table_name string, snapshot_dt string")
-    detail = (
-        contract.join(partition_integrity(contract.select("table_name", "virtual"), stored, registered, n), "table_name")
-        .join(check_freshness(markers, window_days, as_of), "table_name")
-    )
+    markers = rows_frame(spark, [(t, dates[roots[t]]) for t in names], "table_name string, snapshot_dt string")
+    detail = contract.join(
+        partition_integrity(contract.select("table_name", "virtual"), stored, registered, n), "table_name"
+    ).join(check_freshness(markers, window_days, as_of), "table_name")
+
     if count_check:
-        keyed = [t for t in names if key in spark.table(f"{db}.{t}").columns]
-        quality = (
-            key_quality({t: spark.table(f"{db}.{t}") for t in keyed}, key) if keyed
-            else rows_frame(spark, [], "table_name string, rows bigint, null_keys bigint, duplicate_rows bigint")
-        )
-        base = {t: t[len(prefix):] for t in names}
-        have = set(table_names(spark, source_db, source_prefix))
-        sources = {base[t]: spark.table(f"{source_db}.{source_prefix}{base[t]}") for t in names if source_prefix + base[t] in have}
-        counts = quality.select("table_name", base_name("table_name").alias("base_name"), "rows")
-        source_counts = (
-            row_counts(sources).withColumnRenamed("table_name", "base_name") if sources
-            else rows_frame(spark, [], "base_name string, rows bigint")
-        )
-        matched = count_match(pair_counts(counts, source_counts), tolerance_pct).drop("base_name")
-        keys = quality.select("table_name", F.col("null_keys").alias("pk_nulls"), F.col("duplicate_rows").alias("pk_dupes"))
-        detail = detail.join(matched, "table_name", "left").join(keys, "table_name", "left")
+        counted = _counted(spark, db, names, prefix, source_db or db, source_prefix, key, tolerance_pct)
+        detail = detail.join(counted, "table_name", "left").na.fill(False, ["count_mismatch"])
     else:
-        for c in ("count_part", "count_src", "pk_nulls", "pk_dupes"):
-            detail = detail.withColumn(c, F.lit(None).cast("bigint"))
-        detail = detail.withColumn("count_diff_pct", F.lit("")).withColumn("count_mismatch", F.lit(False))
-    detail = detail.withColumn("count_checked", F.lit(count_check)).na.fill(False, ["count_mismatch"])
+        absent = {c: F.lit(None).cast("bigint") for c in ("count_part", "count_src", "pk_nulls", "pk_dupes")}
+        detail = detail.withColumns({**absent, "count_diff_pct": F.lit(""), "count_mismatch": F.lit(False)})
+    detail = detail.withColumn("count_checked", F.lit(count_check))
+
     if file_size_check:
-        files = file_inventory(spark, list(where.values())).withColumn("directory", F.regexp_replace("directory", "/+$", ""))
-        issues = file_size_issues(files, *file_size_mb).groupBy("directory").agg(
-            F.transform(F.array_sort(F.collect_list(F.struct(BUCKET, "path", "issue"))), lambda x: x["issue"]).alias("file_issues")
-        )
-        joined = F.regexp_replace("location", r"^file:/+|/+$", "") == F.regexp_replace("directory", r"^file:/+|/+$", "")
-        detail = detail.join(issues, joined, "left").drop("directory")
+        detail = _with_file_issues(spark, detail, list(where.values()), file_size_mb)
     else:
         detail = detail.withColumn("file_issues", F.lit(None).cast("array<string>"))
     detail = detail.withColumn("file_issues", F.coalesce("file_issues", F.array().cast("array<string>")))

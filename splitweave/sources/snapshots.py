@@ -36,7 +36,11 @@ def read_snapshot(spark: SparkSession, base: str, dt: str, keep_dt: bool = False
 
 
 def latest_snapshot_rows(df: DataFrame, column: str = SNAPSHOT_COLUMN) -> DataFrame:
-    """Rows of the greatest snapshot. On a partition column the subquery prunes the scan."""
+    """Rows of the greatest snapshot. On a partition column the subquery prunes the scan.
+
+    The subquery itself opens every file's footer; of a directory of snapshots, ``read_snapshot`` of
+    ``latest_snapshot`` only lists the directories.
+    """
     newest = df.select(F.max(column).alias("newest")).scalar()
     return df.where(F.col(column) == newest)
 
