@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 import __spark_entry__ as entry
 from tools.compare import compare, database
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from splitweave.checks.registered import ORACLES, QUERIES  # noqa: E402  after the entry, which registers them
 
 
 @pytest.fixture(scope="module")
