@@ -218,6 +218,7 @@ def test_ids_do_not_depend_on_pieces(path, layout, texts):
     r = random.Random(2)
     parts = [" ", "  ", "\n", "\n\n", " \n", "\t", "\r\n", "\xa0", "\u2003", "\x1c", "\x85", "a", "B", "it's", "'ll", "9", "12", "é", "e\u0301", "\u0301", "Σ", "ΑΣ", "<|endoftext|>", "!", "…", "中文", "🙂", "\u200d", "_", "ß", "İ"]
     made = ["".join(r.choice(parts) for _ in range(r.randint(0, 12))) for _ in range(4000)]
+    made += [" ".join(r.choice(parts) + r.choice(parts) for _ in range(200)) for _ in range(60)]
     for t, got in zip([*made, *texts.values()], enc.encode([*made, *texts.values()]), strict=True):
         assert np.frombuffer(got, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
 
