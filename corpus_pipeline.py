@@ -23,10 +23,14 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of every group of near duplicates (sets of five words, 0.8 or more alike)."""
+    """Keep the document with the smallest id of every group of near duplicates (sets of five words, 0.8 or more alike).
+
+    Of rows that repeat an id one stays; rows without an id are not compared and stay.
+    """
     groups = similar(docs).select(F.col("doc_id").alias("_id"), "component_id").distinct()
     keep = groups.where("_id = component_id").select("_id")
-    return docs.join(keep, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
+    kept = docs.join(keep, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id is null"))
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
