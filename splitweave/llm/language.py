@@ -47,7 +47,7 @@ BUCKET_BITS = 17
 PENALTY = 6.0
 SMOOTHING = 0.1
 SCRIPT_SHARE = 0.01
-SLAB = 4 << 20
+SLAB = 2 << 20
 UNKNOWN = "und"
 _tables: list[np.ndarray] = []
 

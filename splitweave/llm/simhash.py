@@ -19,12 +19,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from splitweave.llm.common import small_batches, utf8, written
+from splitweave.llm.common import small_batches, utf8, with_small, written
 from splitweave.llm.components import components
 
 SEED = 42
 PART = 8192  # shingles whose bits are counted at once
-FEW = 64  # largest group of one key that is joined pair by pair
+FEW = 16  # largest group of one key that is compared beside others
 TILE = 2048  # rows of a larger group that meet in one task
 
 
@@ -100,13 +100,13 @@ def signed(x: int) -> int:
 
 
 def exact_keys(rows: int, distance: int) -> Column:
-    """Array of (table, key) of the column fp, 64 bits."""
+    """Array of the keys of the column fp, 64 bits: a hash of the table's number and the bits of its blocks."""
     masks = block_masks(planned_blocks(rows, distance), distance)
-    return F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp")[0].bitwiseAND(F.lit(signed(m))).alias("key")) for t, m in enumerate(masks)])
+    return F.array(*[F.xxhash64(F.lit(t), F.col("fp")[0].bitwiseAND(F.lit(signed(m)))) for t, m in enumerate(masks)])
 
 
 def chosen_keys(rows: int, words: int, distance: float, recall: float, least_bits: int = 16) -> Column:
-    """Array of (table, key): each key is a fixed choice of bits of fp.
+    """Array of keys: each is a hash of its table's number and of a fixed choice of bits of fp.
 
     A pair at ``distance`` of all bits agrees in one key of b bits with probability (1 − distance/bits)^b; there are as many
     tables as make the stated recall. b grows with the logarithm of the rows.
@@ -121,51 +121,77 @@ def chosen_keys(rows: int, words: int, distance: float, recall: float, least_bit
         at = order.permutation(total)[:bits].tolist()
         by_word = [(w, sum(1 << (i % 64) for i in at if i // 64 == w)) for w in range(words)]
         picked = [F.col("fp")[w].bitwiseAND(F.lit(signed(m))) for w, m in by_word if m]
-        keys.append(F.struct(F.lit(t).alias("t"), F.xxhash64(*picked).alias("key")))
+        keys.append(F.xxhash64(F.lit(t), *picked))
     return F.array(*keys)
 
 
-def far(a: Column, b: Column, words: int) -> Column:
-    return sum((F.bit_count(a[w].bitwiseXOR(b[w])) for w in range(1, words)), F.bit_count(a[0].bitwiseXOR(b[0])))
-
-
 def links(prints: DataFrame, keys: Column, words: int, distance: int) -> DataFrame:
-    """Links (a, b) between ids of distinct fingerprints that share a key and differ in at most ``distance`` bits.
+    """Links (a, b) that connect the ids of all fingerprints which pairs sharing a key and differing in at most ``distance`` bits connect.
 
-    ``prints``: id and fp, each fp once. Every pair of a key with at most FEW members is compared. A larger group is dealt into
-    tiles; each pair of tiles is one task's work, compared in full there, and gives only enough links to connect what it
-    connects. So no link between components is lost, no task gets a whole group, and rows out don't grow with its square.
+    ``prints``: id and fp, each fp once. Groups of a key with at most FEW members are compared side by side in key order. A larger
+    group is dealt into tiles, each pair of tiles is one task's work and is compared in full there. Either way only enough links
+    are returned to connect what is connected, at most one for each row. So no link between components is lost, no task gets a
+    whole large group, and rows out don't grow with its square.
     """
-    keyed = written(prints.select("id", "fp", F.explode(keys).alias("k")).select("id", "fp", "k.t", "k.key"), "keyed")
-    sizes = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = written(keyed.join(sizes, ["t", "key"]), "shared")
-    a, b = (shared.where(F.col("n") <= FEW).select("t", "key", F.col("id").alias(x), F.col("fp").alias(f"f{x}")) for x in "ab")
-    near = a.join(b, ["t", "key"]).where((F.col("a") > F.col("b")) & (far(F.col("fa"), F.col("fb"), words) <= distance)).select("a", "b")
+    flat = prints.select("id", *[F.col("fp")[w].alias(f"f{w}") for w in range(words)], F.explode(keys).alias("key"))
+    columns = ["key", "id", *[f"f{w}" for w in range(words)]]
+    large = written(flat.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > FEW), "large")
+    few = with_small(flat, large.select("key"), "key", "left_anti").select(*columns)
+
+    def side_by_side(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: np.ndarray | None = None
+        for b in batches:
+            rows = np.stack([c.to_numpy() for c in b.columns], axis=1)
+            rows = rows if held is None else np.concatenate([held, rows])
+            last = int(np.searchsorted(rows[:, 0], rows[-1, 0], "left")) if len(rows) else 0  # its group may go on
+            held = rows[last:]
+            yield small_groups(rows[:last], distance)
+        if held is not None:
+            yield small_groups(held, distance)
+
+    near = few.repartition("key").sortWithinPartitions("key", "id").mapInArrow(side_by_side, "a long, b long")
     tiles = F.ceil(F.col("n") / TILE).cast("int")
-    own = F.pmod(F.xxhash64("id"), tiles).cast("int")
-    large = shared.where(F.col("n") > FEW).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
-    large = large.select("t", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "fp")
+    dense = with_small(flat, large, "key", "inner").withColumn("own", F.pmod(F.xxhash64("id"), tiles).cast("int"))
+    dense = dense.withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1))).select(F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), *columns)
 
     def connect(rows: pd.DataFrame) -> pd.DataFrame:
-        return spanning(rows["id"].to_numpy(np.int64), np.array(list(rows["fp"]), np.int64).view(np.uint64).reshape(len(rows), -1), distance)
-
-    dense = large.groupBy("t", "key", "i", "j").applyInPandas(connect, "a long, b long")
-    return near.union(dense).distinct()
+        rows = rows.sort_values("id")
+        return spanning(rows["id"].to_numpy(np.int64), np.ascontiguousarray(rows[columns[2:]].to_numpy(np.int64)).view(np.uint64), distance)
+
+    return near.union(dense.groupBy("key", "i", "j").applyInPandas(connect, "a long, b long")).distinct()
+
+
+def small_groups(rows: np.ndarray, distance: int) -> pa.RecordBatch:
+    """Links of each row to the smallest id that its group connects it with; rows (key, id, fingerprint) in order of key and id."""
+    key, prints = rows[:, 0], rows[:, 2:].view(np.uint64)
+    near: list[tuple[np.ndarray, np.ndarray]] = []
+    for o in range(1, FEW):
+        at = np.flatnonzero(key[o:] == key[:-o])
+        if not len(at):
+            break
+        close = np.bitwise_count(prints[at] ^ prints[at + o]).sum(axis=1) <= distance
+        near.append((at[close], at[close] + o))
+    low, high = (np.concatenate([np.empty(0, np.int64), *(n[i] for n in near)]) for i in (0, 1))
+    label = np.arange(len(rows))
+    while (label[low] != label[high]).any():
+        least = np.minimum(label[low], label[high])
+        np.minimum.at(label, low, least)
+        np.minimum.at(label, high, least)
+    moved = np.flatnonzero(label != np.arange(len(rows)))
+    return pa.RecordBatch.from_arrays([pa.array(rows[moved, 1]), pa.array(rows[label[moved], 1])], ["a", "b"])
 
 
 def spanning(ids: np.ndarray, prints: np.ndarray, distance: int) -> pd.DataFrame:
     """Links that connect all rows which are connected through pairs within the distance: breadth first, no pair listed."""
     left, a, b = np.arange(len(ids)), [], []
     while len(left):
-        front, left = left[:1], left[1:]
+        root, front, left = ids[left[0]], left[:1], left[1:]
         while len(front) and len(left):
-            at = front[0]
-            d = np.bitwise_count(prints[left] ^ prints[at]).sum(1)
-            hit = d <= distance
-            found = left[hit]
-            a.append(np.full(len(found), ids[at]))
+            close = np.bitwise_count(prints[left] ^ prints[front[0]]).sum(axis=1) <= distance
+            found = left[close]
+            a.append(np.full(len(found), root))
             b.append(ids[found])
-            front, left = np.r_[front[1:], found], left[~hit]
+            front, left = np.r_[front[1:], found], left[~close]
     empty = np.empty(0, np.int64)
     return pd.DataFrame({"a": np.concatenate([empty, *a]), "b": np.concatenate([empty, *b])})
 

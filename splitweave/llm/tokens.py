@@ -17,7 +17,7 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 
-CACHED = 1_500_000
+CACHED = 800_000
 LONGEST_CACHED = 48
 AT_ONCE = 2048
 JOINED = 256
