@@ -262,9 +262,9 @@ def count_match_query(spark, sf):
 # -- names -----------------------------------------------------------------------------------------------------------
 
 
-@query("filter_names", "SELECT p_partkey, lower(p_brand) AS brand FROM part WHERE p_brand IN ('Brand#2', 'Brand#17', 'Brand#9')")
+@query("filter_names", "SELECT p_partkey, p_brand AS brand FROM part WHERE p_brand IN ('Brand#2', 'Brand#17', 'Brand#9')")
 def filter_names_query(spark, sf):
-    part = read(spark, sf, "part").select("p_partkey", F.lower("p_brand").alias("brand"))
+    part = read(spark, sf, "part").select("p_partkey", F.col("p_brand").alias("brand"))
     return filter_names(part, "brand", " Brand#2, BRAND#17 ,brand#9,none")
 
 
@@ -316,7 +316,7 @@ def latest_snapshot_rows_query(spark, sf):
   ORDER BY name LIMIT 25""")
 def quota_topk_query(spark, sf):
     name = F.concat(F.lit("part_"), F.col("p_name"), F.lit("_"), F.col("p_partkey").cast("string")).alias("name")
-    return quota(read(spark, sf, "part").select("p_partkey", name), "name")
+    return quota(read(spark, sf, "part").select("p_partkey", name), "name", 25)
 
 
 @query("report_order", f"WITH {REGISTRY} SELECT table_name, associated FROM ready")

@@ -130,7 +130,7 @@ def schema_contract_query(spark, sf):
     return check_contract(spark, names).select("table_name", "table_type_ok", F.array_join("contract_problems", "; ").alias("problems"))
 
 
-@query("file_size_issues", f"WITH {WIDE}, {bucket_ctes('w', 'b')} SELECT DISTINCT id_bucket, 1::BIGINT AS issues FROM b ORDER BY 1 LIMIT 5")
+@query("file_size_issues", f"WITH {WIDE}, {bucket_ctes('w', 'b')} SELECT DISTINCT id_bucket, 1::BIGINT AS issues FROM b")
 def file_size_issues_query(spark, sf):
     issues = file_size_issues(file_inventory(spark, geo_parts(spark, sf)))
     return issues.groupBy(BUCKET).agg(F.count("*").alias("issues"))

@@ -146,8 +146,8 @@ def readiness_summary_query(spark, sf):
 
 
 @query("not_ready", f"""WITH {REGISTRY} SELECT table_name, concat_ws(', ', CASE WHEN NOT configured THEN 'Missing configured table' END,
-  CASE WHEN NOT has_rule THEN 'Missing analysis rule' END, CASE WHEN NOT associated THEN 'Not in collaboration' END,
-  CASE WHEN result_rule IS NULL THEN 'Missing collaboration rule' END) AS reasons FROM ready WHERE NOT ready""")
+  CASE WHEN NOT has_rule THEN 'Missing analysis rule' END, CASE WHEN has_rule AND len(providers) = 0 THEN 'No allowed providers' END,
+  CASE WHEN NOT associated THEN 'Not in collaboration' END, CASE WHEN result_rule IS NULL THEN 'Missing collaboration rule' END) AS reasons FROM ready WHERE NOT ready""")
 def not_ready_query(spark, sf):
     return not_ready(readiness(joined(spark, sf)))
 

@@ -9,7 +9,6 @@ from splitweave.functions.keys import BUCKET, BUCKETS, KEY, as_column, bucket_of
 from splitweave.functions.text import SNAPSHOT_COLUMN, join_path, schema_name
 from splitweave.sources.mapping import mapping_columns
 
-MAX_COLUMNS = 100
 
 
 def canonical_key(df: DataFrame, key: str = KEY) -> DataFrame:
@@ -47,19 +46,19 @@ def vertical_split(wide: DataFrame, mapping: DataFrame | dict[str, list[str]], k
     }
 
 
-def capped_projection(df: DataFrame, key: str = KEY, max_cols: int = MAX_COLUMNS) -> DataFrame:
-    """Key first, the other columns in order, at most ``max_cols`` in total."""
+def capped_projection(df: DataFrame, key: str = KEY, max_cols: int | None = None) -> DataFrame:
+    """Key first, the other columns in order; all of them, or at most ``max_cols`` in total where a cap is asked for."""
     rest = [c for c in df.columns if c != key]
     ordered = [key, *rest] if key in df.columns else rest
     return df.select(*ordered[:max_cols])
 
 
 def registered_columns(
-    df: DataFrame, max_cols: int = MAX_COLUMNS, key: str = KEY, partition: str = BUCKET
+    df: DataFrame, max_cols: int | None = None, key: str = KEY, partition: str = BUCKET
 ) -> tuple[list[str], list[str]]:
-    """(kept, dropped) column names. The key and the partition column never fall to the cap."""
+    """(kept, dropped) column names; nothing is dropped without a cap, and the key and the partition column never are."""
     attributes = [c for c in df.columns if c not in (key, partition)]
-    room = max_cols - (key in df.columns)
+    room = len(attributes) if max_cols is None else max(0, max_cols - (key in df.columns))
     kept = set(attributes[:room]) | {key, partition}
     return [c for c in df.columns if c in kept], attributes[room:]
 
@@ -83,11 +82,15 @@ def allowed_projection(
     exclude: list[str] = (),
     partition_keys: list[str] = (),
     add_partition_keys: bool = True,
-    max_cols: int = MAX_COLUMNS,
+    max_cols: int | None = None,
 ) -> DataFrame:
-    """Only the columns that may be exposed: data columns without the excluded ones, then the partition keys."""
+    """Only the columns that may be exposed: data columns without the excluded ones, then the partition keys.
+
+    A cap counts both, and cuts data columns; partition keys stay.
+    """
     data = [c for c in df.columns if c not in exclude and c not in partition_keys]
-    return df.select(*(data + (list(partition_keys) if add_partition_keys else []))[:max_cols])
+    keys = list(partition_keys) if add_partition_keys else []
+    return df.select(*(data if max_cols is None else data[: max(0, max_cols - len(keys))]), *keys)
 
 
 def with_input_source(

@@ -13,7 +13,7 @@ def filter_names(df: DataFrame, column: str, names: str | None) -> DataFrame:
     """Rows whose name is in a comma-separated list (spaces and case ignored); empty or ``_NONE_`` keeps all."""
     if names is None or names.strip() in ("", "_NONE_"):
         return df
-    return df.where(F.col(column).isin([n.strip().lower() for n in names.split(",")]))
+    return df.where(F.lower(column).isin([n.strip().lower() for n in names.split(",")]))
 
 
 def registry_filter(df: DataFrame, prefix: str, exclude: list[str] = (), name: str = "name", id_col: str = "id") -> DataFrame:

@@ -19,7 +19,7 @@ from splitweave.functions.text import (
 from splitweave.operators.columns import with_input_source
 from splitweave.operators.joins import count_match, pair_counts
 from splitweave.operators.quality import key_quality, row_counts, union_all
-from splitweave.operators.ranking import cap_per_group, first_per_group
+from splitweave.operators.ranking import first_per_group
 from splitweave.operators.tables import add_missing, repair_partitions
 from splitweave.sources.catalog import (
     catalog_partitions, describe_table, location, partition_names, properties, table_names,
@@ -103,15 +103,17 @@ def check_contract(spark: SparkSession, tables: list[str], key: str = KEY, is_pa
 
 
 def file_size_issues(
-    inventory: DataFrame, low_mb: float = 64, high_mb: float = 1024, partitions: int = 5, issues: int = 20
+    inventory: DataFrame, low_mb: float = 64, high_mb: float = 1024, sample: int | None = None
 ) -> DataFrame:
-    """(directory, id_bucket, path, issue) in the first partitions of each directory, at most ``issues`` each."""
-    looked_at = cap_per_group(
-        inventory.where(F.col(BUCKET).isNotNull()).select("directory", BUCKET).distinct(), ["directory"], [BUCKET], partitions
-    )
-    bad = inventory.where(size_out_of_range("bytes", low_mb, high_mb)).join(looked_at, ["directory", BUCKET], "left_semi")
+    """(directory, id_bucket, path, issue, issues) of every file in a bucket whose size is out of range.
+
+    ``issues`` is the number of such files in the directory; ``sample`` keeps so many rows of each directory for a report.
+    """
+    bad = inventory.where(F.col(BUCKET).isNotNull() & size_out_of_range("bytes", low_mb, high_mb))
+    bad = bad.join(bad.groupBy("directory").agg(F.count("*").alias("issues")), "directory")
     text = F.format_string("id_bucket=%d object %s size=%.1fMB", BUCKET, "path", F.col("bytes") / (1024.0 * 1024.0))
-    return first_per_group(bad.withColumn("issue", text), ["directory"], [F.asc(BUCKET), F.asc("path")], issues)
+    bad = bad.withColumn("issue", text)
+    return bad if sample is None else first_per_group(bad, ["directory"], [F.asc(BUCKET), F.asc("path")], sample)
 
 
 def alert_rows(
@@ -199,7 +201,7 @@ def _with_file_issues(spark: SparkSession, detail: DataFrame, places: list[str],
         return F.regexp_replace(path, r"^file:/+|/+$", "")
 
     ordered = F.array_sort(F.collect_list(F.struct(BUCKET, "path", "issue")))
-    issues = file_size_issues(file_inventory(spark, places), *size_mb).groupBy(bare("directory").alias("_place")).agg(
+    issues = file_size_issues(file_inventory(spark, places), *size_mb, sample=20).groupBy(bare("directory").alias("_place")).agg(
         F.transform(ordered, lambda x: x["issue"]).alias("file_issues")
     )
     return detail.join(issues, bare("location") == F.col("_place"), "left").drop("_place")

@@ -11,6 +11,11 @@ from pyspark.sql import SparkSession
 JOBS_AT_ONCE = 4
 
 
+def failure(e: Exception) -> str:
+    """The status of a table whose step raised an error; the other tables go on."""
+    return "failed: " + (str(e).strip().splitlines() or [type(e).__name__])[0]
+
+
 def at_once(spark: SparkSession, work: Callable[[str], object], names: Iterable[str]) -> dict[str, object]:
     """``{name: work(name)}``. One table's last tasks then do not leave the cluster idle; Spark does the scheduling."""
     names = list(names)

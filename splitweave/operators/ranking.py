@@ -34,7 +34,8 @@ def latest_per_key(df: DataFrame, key: str, order: str, tie: str) -> DataFrame:
     return first_per_group(df, [key], [F.desc(order), F.desc(tie)])
 
 
-def quota(df: DataFrame, order: str, k: int = 25) -> DataFrame:
+def quota(df: DataFrame, order: str, k: int) -> DataFrame:
+    """The first ``k`` rows in order; ``k`` is a quota of the receiving service and has no default."""
     return df.orderBy(order).limit(k)
 
 

@@ -73,6 +73,8 @@ def not_ready(ready: DataFrame) -> DataFrame:
         lacks(F.col("has_rule"), "Missing analysis rule"),
         lacks(F.col("associated"), "Not in collaboration"),
     ]
+    if "providers" in ready.columns:
+        reasons.insert(2, lacks(~F.col("has_rule") | (F.size("providers") > 0), "No allowed providers"))
     if "result_rule" in ready.columns:
         reasons.append(lacks(F.col("result_rule").isNotNull(), "Missing collaboration rule"))
     return ready.where(~F.col("ready")).select(

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from splitweave.functions.keys import BUCKET, BUCKETS, KEY
 from splitweave.functions.text import join_path
-from splitweave.operators.columns import MAX_COLUMNS, capped_projection, identity_projection, registered_columns
+from splitweave.operators.columns import capped_projection, identity_projection, registered_columns
 from splitweave.operators.layout import write_bucketed
 from splitweave.operators.parallel import at_once
 from splitweave.sources.catalog import describe_table, location, partition_names, properties, registered_type, table_exists
@@ -60,7 +60,7 @@ def snapshot_comment(dt: str | None) -> str:
 
 
 def register_external(
-    spark: SparkSession, db: str, root: str, prefix: str, max_cols: int = MAX_COLUMNS, key: str = KEY
+    spark: SparkSession, db: str, root: str, prefix: str, max_cols: int | None = None, key: str = KEY
 ) -> DataFrame:
     """Register every table directory under ``root``; (table_name, status, dropped_columns) per table."""
     dt = read_marker_under(spark, root)
@@ -138,7 +138,7 @@ def create_bucketed(
     key: str = KEY,
     n: int = BUCKETS,
     dt: str | None = None,
-    max_cols: int = MAX_COLUMNS,
+    max_cols: int | None = None,
 ) -> None:
     """Bucketed copy: key first, column cap, comment with the snapshot date; an older table is dropped first."""
     spark.sql(f"DROP TABLE IF EXISTS {table}")

@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from splitweave.functions.keys import BUCKETS, KEY, bucket_of
 from splitweave.functions.text import IDENTITY_SUFFIX, SOURCE_PREFIX, TABLE_PREFIX, join_path, utc_text
 from splitweave.operators.columns import (
-    MAX_COLUMNS, canonical_key, mapped_fields, schema_documents, versioned_path, vertical_split,
+    canonical_key, mapped_fields, schema_documents, versioned_path, vertical_split,
 )
 from splitweave.operators.joins import registry_join
 from splitweave.operators.layout import TARGET_MB, file_plan, slot_counts, write_clustered, write_parts
 from splitweave.operators.monitor import REPORT_COLUMNS, alert_rows, auto_repair, monitor, report_rows
-from splitweave.operators.parallel import at_once
-from splitweave.operators.quality import row_counts, union_all
+from splitweave.operators.parallel import at_once, failure
+from splitweave.operators.quality import union_all
 from splitweave.operators.registry import not_ready, readiness, readiness_report, readiness_summary
 from splitweave.operators.reports import write_report_csv, write_report_json
 from splitweave.operators.tables import (
@@ -141,24 +141,29 @@ def split_and_bucket(
 
 
 def register_and_prepare(
-    spark: SparkSession, db: str, root: str, prefix: str = TABLE_PREFIX, max_cols: int = MAX_COLUMNS, key: str = KEY
+    spark: SparkSession, db: str, root: str, prefix: str = TABLE_PREFIX, max_cols: int | None = None, key: str = KEY
 ) -> DataFrame:
-    """Register the tables under ``root``, partition and repair them: status, partitions and rows per table."""
+    """Register the tables under ``root``, partition and repair them: status, partitions and rows per table.
+
+    A table whose step fails gets the status ``failed: …``; the others are prepared and counted all the same.
+    """
     registered = {r.table_name: r for r in register_external(spark, db, root, prefix, max_cols, key).collect()}
 
     def prepare(name: str) -> tuple:
         r, table = registered[name], f"{db}.{name}"
         if r.status != "registered":
-            return name, r.status, 0, r.dropped_columns
-        status = ensure_partitioned(spark, table)
-        strip_properties(spark, table)
-        return name, status, repair_partitions(spark, table), r.dropped_columns
+            return name, r.status, 0, r.dropped_columns, None
+        try:
+            status = ensure_partitioned(spark, table)
+            strip_properties(spark, table)
+            partitions = repair_partitions(spark, table)
+            rows = None if status.startswith("failed") else spark.table(table).count()
+            return name, status, partitions, r.dropped_columns, rows
+        except Exception as e:
+            return name, failure(e), 0, r.dropped_columns, None
 
     done = list(at_once(spark, prepare, registered).values())
-    state = rows_frame(spark, done, "table_name string, status string, partitions int, dropped_columns array<string>")
-    ok = [t for t, status, _, _ in done if not status.startswith("failed")]
-    counts = row_counts({t: spark.table(f"{db}.{t}") for t in ok}) if ok else rows_frame(spark, [], "table_name string, rows bigint")
-    return state.join(counts, "table_name", "left")
+    return rows_frame(spark, done, "table_name string, status string, partitions int, dropped_columns array<string>, rows bigint")
 
 
 def bucketed_build(
@@ -204,13 +209,19 @@ def identity_build(
     namespace: str = "",
     match_key: str = "AXM",
 ) -> DataFrame:
-    """Identity copies of the part tables with their schema document: (table_name, status, schema_name, document)."""
+    """Identity copies of the part tables with their schema document: (table_name, status, schema_name, document).
+
+    A table whose copy fails gets the status ``failed: …``; the others are copied all the same.
+    """
     names = tables or table_names(spark, db, TABLE_PREFIX, not_suffix=IDENTITY_SUFFIX)
 
     def copy(t: str) -> str:
-        return create_identity_table(
-            spark, f"{db}.{t}", f"{db}.{t}{IDENTITY_SUFFIX}", join_path(base, t + IDENTITY_SUFFIX), force, key
-        )
+        try:
+            return create_identity_table(
+                spark, f"{db}.{t}", f"{db}.{t}{IDENTITY_SUFFIX}", join_path(base, t + IDENTITY_SUFFIX), force, key
+            )
+        except Exception as e:
+            return failure(e)
 
     done = at_once(spark, copy, names)
     state = rows_frame(spark, [(t + IDENTITY_SUFFIX, str(s)) for t, s in done.items()], "table_name string, status string")
@@ -326,9 +337,10 @@ def refresh(
     if "identity" not in skip:
         note("identity", identity_build(spark, db, join_path(base, "identity"), key=key))
     if "monitor" not in skip:
-        report, _ = monitor_and_report(spark, db, join_path(base, "monitor"), as_of, checked_at, n, key=key, **monitor_options)
-        good = F.col("table_type_ok") & F.col("contract_ok") & (F.col("missing_glue_count") == 0)
-        note("monitor", report.select(F.col("table").alias("table_name"), F.when(good, "ok").otherwise("alert").alias("status")))
+        report, alerts = monitor_and_report(spark, db, join_path(base, "monitor"), as_of, checked_at, n, key=key, **monitor_options)
+        alerted = alerts.select("table_name").distinct().withColumn("status", F.lit("alert"))
+        seen = report.select(F.col("table").alias("table_name")).join(alerted, "table_name", "left")
+        note("monitor", seen.select("table_name", F.coalesce("status", F.lit("ok")).alias("status")))
     if registry is not None:
         ready = readiness_and_report(spark, db, join_path(base, "readiness"), **registry)
         note("readiness", ready.select("table_name", F.when(F.col("ready_for_analysis") == "Yes", "ready").otherwise("not_ready").alias("status")))

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from splitweave.functions.keys import BUCKETS, KEY
 from splitweave.functions.text import SOURCE_PREFIX, TABLE_PREFIX
-from splitweave.operators.columns import MAX_COLUMNS
 from splitweave.operators.tables import register_external
 from splitweave.plans import pipelines
 from splitweave.sources.mapping import read_mapping
@@ -36,7 +35,7 @@ def _parser() -> argparse.ArgumentParser:
     for name, prefix in (("register", SOURCE_PREFIX), ("prepare", TABLE_PREFIX)):
         sub = command(name, database="catalog database", root="directory of the tables")
         sub.add_argument("--prefix", default=prefix)
-        sub.add_argument("--max-cols", type=int, default=MAX_COLUMNS)
+        sub.add_argument("--max-cols", type=int, default=None)
     sub = command("bucketed", database="staged tables", target="directory of the bucketed tables")
     sub.add_argument("--target-database")
     sub.add_argument("--tables", default="")
@@ -94,4 +93,10 @@ def run(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
 def main(arguments: list[str] | None = None) -> None:
     options = _parser().parse_args(arguments)
     spark = SparkSession.builder.appName(f"splitweave {options.command}").getOrCreate()
-    run(spark, options).show(200, truncate=False)
+    rows = run(spark, options)
+    failed = 0
+    for row in rows.toLocalIterator():  # a status or alert for each table, all of them
+        print("\t".join("" if v is None else str(v) for v in row), flush=True)
+        failed += any(isinstance(v, str) and v.startswith("failed") for v in row)
+    if failed:
+        raise SystemExit(f"{failed} failed")

@@ -49,10 +49,11 @@ def mapping_groups(mapping: DataFrame) -> DataFrame:
 
 
 def mapping_columns(mapping: DataFrame) -> dict[str, list[str]]:
-    rows = mapping.limit(MAX_MAPPING_ROWS + 1)
-    groups = mapping_groups(rows).orderBy("first_pos").collect()
-    if sum(len(g["columns"]) for g in groups) > MAX_MAPPING_ROWS:
+    """All columns by table; a mapping with more usable rows than MAX_MAPPING_ROWS is refused before any reach the driver."""
+    groups = mapping_groups(mapping)
+    if (groups.agg(F.sum(F.size("columns"))).first()[0] or 0) > MAX_MAPPING_ROWS:
         raise ValueError(f"more than {MAX_MAPPING_ROWS} mapping rows; this is not a mapping table")
+    groups = groups.orderBy("first_pos").collect()
     return {g["table_name"]: list(g["columns"]) for g in groups}
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from splitweave.checks.views import AS_OF, CHECKED_AT, N, id_snapshots, mapping, stored_wide, wide_snapshots
 from splitweave.functions.keys import bucket_of
 from splitweave.functions.text import join_path
-from splitweave.operators.columns import canonical_key, registered_columns, vertical_split, versioned_path
+from splitweave.operators.columns import allowed_projection, canonical_key, capped_projection, registered_columns, vertical_split, versioned_path
 from splitweave.operators.identity import map_identities
 from splitweave.operators.joins import reassemble
 from splitweave.operators.layout import write_parts
@@ -14,7 +14,7 @@ from splitweave.operators.monitor import monitor
 from splitweave.operators.quality import duplicate_rows
 from splitweave.operators.skew import hot_keys
 from splitweave.operators.tables import create_identity_table, ensure_partitioned, register_external
-from splitweave.plans.pipelines import bucketed_build, monitor_and_report, refresh, register_and_prepare, split_and_bucket, split_and_part
+from splitweave.plans.pipelines import bucketed_build, identity_build, monitor_and_report, refresh, register_and_prepare, split_and_bucket, split_and_part
 from splitweave.plans.submit import _parser, run
 from splitweave.sources.catalog import properties, registered_type, table_names
 from splitweave.sources.inventory import dir_bytes, discover_tables, file_inventory, storage_partitions
@@ -118,7 +118,7 @@ def test_mapping_file_with_any_headers(spark):
 
 def test_cap_keeps_key_and_partition(spark):
     df = spark.range(1).select(*[F.lit(i).alias(f"a{i}") for i in range(120)], F.col("id").alias("customer_user_id"), F.lit(1).alias("id_bucket"))
-    kept, dropped = registered_columns(df)
+    kept, dropped = registered_columns(df, 100)
     assert len(kept) == 101 and kept[-2:] == ["customer_user_id", "id_bucket"] and len(dropped) == 21
 
 
@@ -277,3 +277,36 @@ def test_string_keys(spark, db):
     found = map_identities(ids, ids.select("customer_user_id", F.col("row_id").alias("target_id")), "customer_user_id")
     assert {r["status"]: r["count"] for r in found.groupBy("status").count().collect()} == {"matched": 2000, "ambiguous": 1}
     assert hot_keys(back, "customer_user_id", min_rows=100, share=0.01) == ["hot"]
+
+
+def test_no_column_is_lost_without_a_cap(spark):
+    wide = spark.range(3).select(F.col("id").alias("customer_user_id"), *[F.lit(i).alias(f"a{i}") for i in range(130)], F.lit(0).alias("id_bucket"))
+    assert capped_projection(wide).columns == wide.columns
+    assert registered_columns(wide) == (wide.columns, [])
+    assert allowed_projection(wide, partition_keys=["id_bucket"]).columns == wide.columns
+    assert allowed_projection(wide, partition_keys=["id_bucket"], max_cols=10).columns == [*wide.columns[:9], "id_bucket"]
+
+
+def test_mapping_with_null_rows_is_read_whole(spark, monkeypatch):
+    rows = [(i, "T" if i % 3 else None, f"c{i}") for i in range(14)]
+    m = spark.createDataFrame(rows, "pos bigint, table_name string, column_name string")
+    monkeypatch.setattr("splitweave.sources.mapping.MAX_MAPPING_ROWS", 9)
+    assert mapping_columns(m) == {"T": [c for _, t, c in rows if t]}
+    monkeypatch.setattr("splitweave.sources.mapping.MAX_MAPPING_ROWS", 8)
+    with pytest.raises(ValueError):
+        mapping_columns(m)
+
+
+def test_one_broken_table_does_not_stop_the_others(spark, db, tmp_path):
+    root = tmp_path / "parts"
+    for t in ("good", "bad"):
+        write_parts(spark.range(40).select(F.col("id").alias("customer_user_id"), F.lit(1).alias("x")), str(root / t), n=4)
+    register_and_prepare(spark, db, str(root))
+    for f in (root / "bad").rglob("*.parquet"):
+        f.write_bytes(b"PAR1 no Parquet file PAR1")
+        f.with_name(f".{f.name}.crc").unlink(missing_ok=True)
+    spark.catalog.refreshTable(f"{db}.part_bad")
+    copies = {r["table_name"]: r["status"] for r in identity_build(spark, db, str(tmp_path / "ids")).collect()}
+    assert copies["part_bad_er"].startswith("failed") and not copies["part_good_er"].startswith("failed")
+    done = {r["table_name"]: (r["status"], r["rows"]) for r in register_and_prepare(spark, db, str(root)).collect()}
+    assert done["part_good"][1] == 40 and done["part_bad"][0].startswith("failed") and done["part_bad"][1] is None

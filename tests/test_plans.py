@@ -77,7 +77,7 @@ def test_keep_one_filters_before_the_shuffle(spark, sf):
 
 
 def test_quota_is_a_top_k(spark, sf):
-    assert "TakeOrderedAndProject" in plan(quota(read(spark, sf, "part"), "p_name"), "simple")
+    assert "TakeOrderedAndProject" in plan(quota(read(spark, sf, "part"), "p_name", 25), "simple")
 
 
 def test_reassemble_shuffles_each_table_once(spark, sf):
