@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from splitweave.checks.registered import query
@@ -19,7 +21,7 @@ from splitweave.operators.joins import (
     count_match, expected_partitions, first_match, join_attributes, join_parts, missing_partitions, pair_counts,
     registry_join, valid_receivers,
 )
-from splitweave.operators.privacy import aggregate_by_rule, list_by_rule, overlap_list, private_aggregate, private_overlap
+from splitweave.operators.privacy import aggregate_by_rule, list_by_rule, overlap_by_rule, overlap_list, private_aggregate, private_overlap
 from splitweave.operators.ranking import (
     cap_per_group, dedupe_keep, joined_issues, latest_per_key, quota, report_order, sample_partitions,
 )
@@ -145,22 +147,33 @@ def identity_ambiguous_query(spark, sf):
     return ambiguous(_identities(spark, sf), "customer_user_id")
 
 
-@query("identity_map_rules", """WITH a AS (SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_custkey END AS k, c_name AS mail FROM customer),
+@query("identity_map_rules", """WITH a AS (SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_custkey END AS k, c_name AS mail,
+    CASE WHEN c_custkey % 3 <> 0 THEN c_nationkey END AS n, c_acctbal AS b FROM customer),
   b AS (SELECT c_custkey, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_custkey END AS k,
-    CASE WHEN c_nationkey = 0 THEN 'same' ELSE c_name END AS mail FROM customer),
+    CASE WHEN c_nationkey < 5 THEN 'same' ELSE c_name END AS mail, c_nationkey AS n, c_acctbal AS b FROM customer),
   r1 AS (SELECT a.c_custkey AS source_id, b.c_custkey AS target_id, 'BY_KEY' AS rule_name FROM a JOIN b ON a.k = b.k),
   r2 AS (SELECT a.c_custkey AS source_id, b.c_custkey AS target_id, 'BY_MAIL' AS rule_name FROM a JOIN b ON a.mail = b.mail
-    WHERE a.c_custkey NOT IN (SELECT source_id FROM r1) AND b.c_custkey NOT IN (SELECT target_id FROM r1))
-  SELECT * FROM r1 UNION ALL SELECT * FROM r2""")
+    WHERE a.c_custkey NOT IN (SELECT source_id FROM r1) AND b.c_custkey NOT IN (SELECT target_id FROM r1)),
+  r AS (SELECT * FROM r1 UNION ALL SELECT * FROM r2),
+  a3 AS (SELECT n, b, count(*) AS rows, min(c_custkey) AS source_id FROM a WHERE n IS NOT NULL AND c_custkey NOT IN (SELECT source_id FROM r) GROUP BY n, b),
+  b3 AS (SELECT n, b, count(*) AS rows, min(c_custkey) AS target_id FROM b WHERE c_custkey NOT IN (SELECT target_id FROM r) GROUP BY n, b)
+  SELECT * FROM r UNION ALL
+  SELECT source_id, target_id, 'BY_NATION_AND_BALANCE' FROM a3 JOIN b3 ON a3.n = b3.n AND a3.b = b3.b WHERE a3.rows = 1 AND b3.rows = 1""")
 def identity_map_rules_query(spark, sf):
     customer, k = read(spark, sf, "customer"), F.col("c_custkey")
-    source = customer.select(k.alias("row_id"), F.when(F.col("c_acctbal") >= 0, k).alias("key"), F.col("c_name").alias("mail"))
+    nation, balance = F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("balance")
+    source = customer.select(
+        k.alias("row_id"), F.when(F.col("c_acctbal") >= 0, k).alias("key"), F.col("c_name").alias("mail"),
+        F.when(k % 3 != 0, F.col("c_nationkey")).alias("nation"), balance,
+    )
     target = customer.select(
         k.alias("target_id"),
         F.when(F.col("c_mktsegment") != "BUILDING", k).alias("key"),
-        F.when(F.col("c_nationkey") == 0, F.lit("same")).otherwise(F.col("c_name")).alias("mail"),
+        F.when(F.col("c_nationkey") < 5, F.lit("same")).otherwise(F.col("c_name")).alias("mail"),
+        nation, balance,
     )
-    return map_identities_by_rules(source, target, [("BY_KEY", "key"), ("BY_MAIL", "mail")])
+    rules = [("BY_KEY", "key"), ("BY_MAIL", "mail"), ("BY_NATION_AND_BALANCE", ["nation", "balance"])]
+    return map_identities_by_rules(source, target, rules)
 
 
 # -- shared-data queries ---------------------------------------------------------------------------------------------
@@ -194,6 +207,23 @@ def aggregate_by_rule_query(spark, sf):
     return aggregate_by_rule(read(spark, sf, "events"), rule, ["event_type"], aggs)
 
 
+@query("overlap_by_rule", """SELECT c_mktsegment, count(DISTINCT user_id) AS people, max(value) AS most
+  FROM customer JOIN events ON c_custkey = user_id GROUP BY c_mktsegment
+  HAVING count(DISTINCT user_id) >= 5 AND count(DISTINCT event_type) >= 2""")
+def overlap_by_rule_query(spark, sf):
+    rule = json.dumps({"v1": {"aggregation": {
+        "aggregateColumns": [{"columnNames": ["person"], "function": "COUNT_DISTINCT"}, {"columnNames": ["value"], "function": "MAX"}],
+        "dimensionColumns": ["c_mktsegment"], "joinColumns": ["user_id"], "scalarFunctions": [],
+        "outputConstraints": [
+            {"column": "person", "minimum": 5, "type": "COUNT_DISTINCT"}, {"column": "event_type", "minimum": 2, "type": "COUNT_DISTINCT"},
+        ],
+    }}})
+    customer = read(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_custkey").alias("person"), "c_mktsegment")
+    events = read(spark, sf, "events").select("user_id", "event_type", "value")
+    aggs = {"people": ("count_distinct", "person"), "most": ("max", "value")}
+    return overlap_by_rule(customer, events, rule, ["user_id"], ["c_mktsegment"], aggs)
+
+
 @query("list_by_rule", "SELECT DISTINCT c_name, c_mktsegment FROM customer WHERE c_custkey IN (SELECT user_id FROM events)")
 def list_by_rule_query(spark, sf):
     rule = analysis_rule("list", columns=["c_name", "c_mktsegment"], joins=["user_id"])

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from splitweave.functions.text import arn_part, arn_path, method_label, or_na
-from splitweave.operators.quality import union_all
+from splitweave.functions.text import arn_part, arn_path, join_path, method_label, or_na
 from splitweave.operators.ranking import first_per_group
+from splitweave.sources.paths import shared_scratch
 
 RULE = "ONE_SOURCE_TO_ONE_TARGET"
 
@@ -58,20 +60,37 @@ def ambiguous(mapped: DataFrame, on: str) -> DataFrame:
 
 
 def map_identities_by_rules(
-    source: DataFrame, target: DataFrame, rules: list[tuple[str, str]], source_id: str = "row_id", target_id: str = "target_id"
+    source: DataFrame, target: DataFrame, rules: list[tuple[str, str | list[str]]], source_id: str = "row_id", target_id: str = "target_id"
 ) -> DataFrame:
-    """(source_id, target_id, rule_name) for several (rule name, column) pairs; the first rule that matches wins.
+    """(source_id, target_id, rule_name) for several (rule name, column or columns) pairs; the first rule that matches wins.
 
-    Ids must be unique on their side. Rows already matched leave both sides before the next rule runs; they are
-    removed by id, which spreads evenly.
+    A rule of several columns matches rows that are equal in all of them; a NULL in any of them matches nothing. Ids
+    must be unique on their side. Rows already matched leave both sides before the next rule runs; they are removed by
+    id, which spreads evenly. Every rule's hits are written once to the shared folder, so that each rule reads either
+    side once, however many rules there are.
     """
-    found = []
-    for name, column in rules:
-        hits = matched(map_identities(source.where(F.col(column).isNotNull()), target, column, source_id, target_id, name))
-        found.append(hits)
-        source = source.join(hits.select(F.col("source_id").alias(source_id)), source_id, "left_anti")
-        target = target.join(hits.select(F.col("target_id").alias(target_id)), target_id, "left_anti")
-    return union_all(found)
+    if not rules:
+        raise ValueError("no rules")
+    spark, folder = source.sparkSession, shared_scratch(source.sparkSession, "identities")
+    places: list[str] = []
+    for i, (name, given) in enumerate(rules):
+        columns = [given] if isinstance(given, str) else list(given)
+        left, right = (_keyed(df, columns, one) for df, one in ((source, source_id), (target, target_id)))
+        if places:
+            taken = spark.read.parquet(*places)
+            left = left.join(taken.select(F.col("source_id").alias(source_id)), source_id, "left_anti")
+            right = right.join(taken.select(F.col("target_id").alias(target_id)), target_id, "left_anti")
+        hits = matched(map_identities(left, right, "_key", source_id, target_id, name))
+        places.append(join_path(folder, f"rule-{i}"))
+        hits.write.parquet(places[-1])
+    return spark.read.parquet(*places)
+
+
+def _keyed(df: DataFrame, columns: list[str], one: str) -> DataFrame:
+    """The id and the columns as one key, of the rows that have them all."""
+    known = df.where(reduce(Column.__and__, [F.col(c).isNotNull() for c in columns]))
+    key = F.col(columns[0]) if len(columns) == 1 else F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(columns)])
+    return known.select(one, key.alias("_key"))
 
 
 def namespace_rows(namespaces: DataFrame) -> DataFrame:

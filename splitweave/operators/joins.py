@@ -11,7 +11,7 @@ from splitweave.functions.keys import BUCKET, KEY, require_same_key_type
 from splitweave.functions.text import ASSOCIATION_PREFIX, SNAPSHOT_COLUMN
 from splitweave.operators.filters import at_snapshot
 from splitweave.operators.quality import key_quality
-from splitweave.operators.skew import hot_keys, is_hot, salted_join
+from splitweave.operators.skew import both_salted_join, hot_keys, is_hot
 
 
 def _only_new(b: DataFrame, a: DataFrame, keys: list[str]) -> DataFrame:
@@ -28,20 +28,23 @@ def join_attributes(a: DataFrame, b: DataFrame, key: str = KEY, dt: str | None =
     return left.join(_only_new(b, a, [key]), key, "inner")
 
 
-def join_bucketed(spark: SparkSession, left: str, right: str, key: str = KEY, hot: list | None = None) -> DataFrame:
+def join_bucketed(spark: SparkSession, left: str, right: str, key: str = KEY, hot: list | None = None, hot_right: list | None = None) -> DataFrame:
     """Join of two tables bucketed alike on the key: neither side is shuffled.
 
-    Adaptive execution cannot split a bucket, so keys that fill one are joined apart, salted.
+    Adaptive execution cannot split a bucket, so keys that fill one on either side are joined apart, the full side salted.
+    ``hot`` and ``hot_right`` are the frequent keys of the left and the right table; what is not given is measured.
     """
     a, b = spark.table(left), spark.table(right)
     require_same_key_type(a, b, key)
     b = _only_new(b, a, [key])
-    if hot is None:
-        hot = sorted(set(hot_keys(a, key)) | set(hot_keys(b, key)))
-    if not hot:
+    hot_left = hot_keys(a, key) if hot is None else hot
+    hot_right = hot_keys(b, key) if hot_right is None else hot_right
+    every = sorted({*hot_left, *hot_right})
+    if not every:
         return a.join(b, key, "inner")
-    usual = a.where(~is_hot(key, hot)).join(b.where(~is_hot(key, hot)), key, "inner")
-    return usual.unionByName(salted_join(a.where(is_hot(key, hot)), b.where(is_hot(key, hot)), key, "inner", hot))
+    usual = a.where(~is_hot(key, every)).join(b.where(~is_hot(key, every)), key, "inner")
+    apart = both_salted_join(a.where(is_hot(key, every)), b.where(is_hot(key, every)), key, hot_left, hot_right)
+    return usual.unionByName(apart)
 
 
 def join_parts(a: DataFrame, b: DataFrame, key: str = KEY, bucket: int | None = None) -> DataFrame:

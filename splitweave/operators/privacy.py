@@ -6,13 +6,13 @@ The minimum counts distinct persons on the joined rows. It does not protect agai
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from splitweave.operators.quality import union_all
-from splitweave.operators.skew import hot_keys, salted_join
+from splitweave.operators.skew import both_salted_join, hot_keys, salted_join
 
 ALLOWED = ("count", "count_distinct", "sum", "avg", "min", "max")
 Aggs = dict[str, tuple[str, str]]
@@ -48,22 +48,55 @@ def _outside(named: Iterable[str], allowed: list[str], what: str) -> None:
         raise ValueError(f"{what} not allowed: {refused}")
 
 
-def aggregate_by_rule(df: DataFrame, rule: str, dims: list[str], aggs: Aggs) -> DataFrame:
-    """``private_aggregate`` under an aggregation rule document: its columns, its minimum."""
+# Fixed value: the function of a rule's column group that allows every aggregate.
+ANY_FUNCTION = "ALLOWED"
+
+
+def _aggregation(rule: str, dims: list[str], aggs: Aggs) -> list[dict]:
+    """The output constraints of an aggregation rule document, after checking that it allows the dimensions and aggregates."""
     body = json.loads(rule)["v1"]["aggregation"]
     _outside(dims, body["dimensionColumns"], "dimensions")
-    _outside({c for _, c in aggs.values()}, [c for g in body["aggregateColumns"] for c in g["columnNames"]], "columns")
-    limits = body["outputConstraints"]
+    groups = body["aggregateColumns"]
+    _outside({c for _, c in aggs.values()}, [c for g in groups for c in g["columnNames"]], "columns")
+    allowed = {(f, c) for g in groups for c in g["columnNames"] for f in (ALLOWED if g["function"] == ANY_FUNCTION else [g["function"].lower()])}
+    refused = sorted(set(aggs.values()) - allowed)
+    if refused:
+        raise ValueError(f"aggregates not allowed: {refused}")
+    if not body["outputConstraints"]:
+        raise ValueError("the rule has no output constraint, so nobody's rows would be protected")
+    return body["outputConstraints"]
+
+
+def _constrained(aggregate: Callable[[Aggs, str, int], DataFrame], aggs: Aggs, limits: list[dict]) -> DataFrame:
+    """The aggregate under its first constraint, without the groups that fail one of the others."""
     hidden = {f"_limit{i}": ("count_distinct", c["column"]) for i, c in enumerate(limits[1:])}
-    out = private_aggregate(df, dims, {**aggs, **hidden}, limits[0]["column"], limits[0]["minimum"])
+    out = aggregate({**aggs, **hidden}, limits[0]["column"], limits[0]["minimum"])
     for name, c in zip(hidden, limits[1:]):
         out = out.where(F.col(name) >= c["minimum"])
     return out.drop(*hidden)
 
 
+def aggregate_by_rule(df: DataFrame, rule: str, dims: list[str], aggs: Aggs) -> DataFrame:
+    """``private_aggregate`` under an aggregation rule document: its columns, its functions for each, its minimum.
+
+    A rule without an output constraint is refused.
+    """
+    limits = _aggregation(rule, dims, aggs)
+    return _constrained(lambda all_, column, minimum: private_aggregate(df, dims, all_, column, minimum), aggs, limits)
+
+
+def overlap_by_rule(a: DataFrame, b: DataFrame, rule: str, on: list[str], dims: list[str], aggs: Aggs) -> DataFrame:
+    """``private_overlap`` under an aggregation rule document, which must allow the join columns too."""
+    _outside(on, json.loads(rule)["v1"]["aggregation"]["joinColumns"], "join columns")
+    limits = _aggregation(rule, dims, aggs)
+    return _constrained(lambda all_, column, minimum: private_overlap(a, b, on, dims, all_, column, minimum), aggs, limits)
+
+
 def list_by_rule(a: DataFrame, b: DataFrame, rule: str, join_cols: list[str], list_cols: list[str]) -> DataFrame:
-    """``overlap_list`` under a list rule document."""
+    """``overlap_list`` under a list rule document. Several join columns need OR among its join operators."""
     body = json.loads(rule)["v1"]["list"]
+    if len(join_cols) > 1 and "OR" not in body["allowedJoinOperators"]:
+        raise ValueError("the rule does not allow join columns to be combined with OR")
     return overlap_list(a, b, join_cols, list_cols, body["joinColumns"], body["listColumns"])
 
 
@@ -141,7 +174,7 @@ def overlap_list(
     """Distinct ``list_cols`` of the rows of ``a`` that have a partner in ``b`` on any of ``join_cols``.
 
     Several join columns combine with OR, as a union of equi-joins. Columns of ``b`` may be listed too. A side that
-    could multiply rows is made distinct before they meet, and keys frequent on the left are salted.
+    could multiply rows is made distinct before they meet, and keys frequent on either side are salted there.
     """
     _outside(join_cols, allowed_join, "join columns")
     _outside(list_cols, allowed_list, "list columns")
@@ -154,6 +187,6 @@ def overlap_list(
         hot = hot_keys(a, j)
         if not theirs:
             return salted_join(left, right, j, "left_semi", hot).select(*list_cols)
-        return salted_join(left.distinct(), right, j, "inner", hot).select(*list_cols)
+        return both_salted_join(left.distinct(), right, j, hot, hot_keys(b, j)).select(*list_cols)
 
     return union_all([on(j) for j in join_cols]).distinct()

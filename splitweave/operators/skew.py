@@ -78,3 +78,27 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, how: str, hot: list
     if not hot:
         return left.join(right, key, how)
     return spread_left(left, key, hot).join(repeat_right(right, key, hot), [key, "_salt"], how).drop("_salt")
+
+
+def both_salted_join(left: DataFrame, right: DataFrame, key: str, hot_left: list, hot_right: list, salts: int = SALTS) -> DataFrame:
+    """Inner join in which either side may hold hot keys.
+
+    A key hot on one side has that side's rows dealt over ``salts`` tasks and the other side's few rows repeated. A key hot
+    on both has either side dealt over the square root of it, and its rows repeated as often as the other side is dealt.
+    Rows of keys that are not hot are neither salted nor repeated.
+    """
+    both = sorted(set(hot_left) & set(hot_right))
+    if not hot_left and not hot_right:
+        return left.join(right, key, "inner")
+
+    def parts(hot: list) -> Column:
+        root = max(1, round(salts**0.5))
+        return F.when(is_hot(key, both), F.lit(root)).when(is_hot(key, hot), F.lit(salts)).otherwise(F.lit(1))
+
+    def salted(df: DataFrame, own: str, hot: list, other: str, hot_other: list) -> DataFrame:
+        dealt_out = df.withColumn(own, F.pmod(dealt(df), parts(hot)).cast("int"))
+        every = F.explode(F.sequence(F.lit(0), parts(hot_other) - 1)) if hot_other else F.lit(0)
+        return dealt_out.withColumn(other, every)
+
+    a, b = salted(left, "_salt_l", hot_left, "_salt_r", hot_right), salted(right, "_salt_r", hot_right, "_salt_l", hot_left)
+    return a.join(b, [key, "_salt_l", "_salt_r"], "inner").drop("_salt_l", "_salt_r")

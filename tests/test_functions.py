@@ -11,7 +11,7 @@ from splitweave.functions.sizes import size_out_of_range
 from splitweave.functions.text import association_name, bucket_in_path, is_stale, join_path, normalize_path, receiver_account
 from splitweave.operators.joins import count_match
 from splitweave.operators.layout import file_plan
-from splitweave.operators.privacy import aggregate_by_rule, list_by_rule, private_overlap
+from splitweave.operators.privacy import aggregate_by_rule, list_by_rule, overlap_by_rule, private_overlap
 
 
 def values(df, column):
@@ -130,6 +130,36 @@ def test_rules(spark):
         analysis_rule("other")
 
 
+def test_rule_functions_and_operators(spark):
+    a = spark.createDataFrame([(1, "x", 5), (2, "x", 7), (3, "y", 9)], "k int, g string, v int")
+    b = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+
+    def rule(**changed):
+        body = {
+            "aggregateColumns": [{"columnNames": ["k"], "function": "COUNT"}, {"columnNames": ["v"], "function": "SUM"}],
+            "dimensionColumns": ["g"], "joinColumns": ["k"], "scalarFunctions": [],
+            "outputConstraints": [{"column": "k", "minimum": 2, "type": "COUNT_DISTINCT"}],
+        }
+        return json.dumps({"v1": {"aggregation": {**body, **changed}}})
+
+    aggs = {"n": ("count", "k"), "total": ("sum", "v")}
+    assert [tuple(r) for r in aggregate_by_rule(a, rule(), ["g"], aggs).collect()] == [("x", 2, 12)]
+    assert [tuple(r) for r in overlap_by_rule(a, b, rule(), ["k"], ["g"], aggs).collect()] == [("x", 2, 12)]
+    for refused in ({"n": ("max", "k")}, {"n": ("count", "v")}):
+        with pytest.raises(ValueError, match="aggregates not allowed"):
+            aggregate_by_rule(a, rule(), ["g"], refused)
+    with pytest.raises(ValueError, match="no output constraint"):
+        aggregate_by_rule(a, rule(outputConstraints=[]), ["g"], aggs)
+    with pytest.raises(ValueError, match="no output constraint"):
+        aggregate_by_rule(a, analysis_rule("aggregation"), [], {})
+    with pytest.raises(ValueError, match="join columns not allowed"):
+        overlap_by_rule(a, b, rule(joinColumns=["v"]), ["k"], ["g"], aggs)
+    listing = json.dumps({"v1": {"list": {"joinColumns": ["k", "v"], "listColumns": ["g"], "allowedJoinOperators": []}}})
+    assert list_by_rule(a, b, listing, ["k"], ["g"]).count() == 2
+    with pytest.raises(ValueError, match="OR"):
+        list_by_rule(a, a, listing, ["k", "v"], ["g"])
+
+
 def test_count_of_pairs(spark):
     a = spark.createDataFrame([(1, "x"), (1, "y"), (2, "x")], "k int, d string")
     b = spark.createDataFrame([(1,), (1,), (2,)], "k int")

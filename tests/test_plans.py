@@ -7,6 +7,7 @@ from splitweave.checks.layout import geo_parts, narrow
 from splitweave.checks.views import N, order_snapshots, read, stored_wide, mapping
 from splitweave.operators.columns import vertical_split, with_id_bucket
 from splitweave.operators.filters import at_snapshot, lookup_key
+from splitweave.operators.identity import map_identities_by_rules
 from splitweave.operators.joins import join_attributes, join_bucketed, join_parts, reassemble
 from splitweave.operators.layout import write_bucketed
 from splitweave.operators.privacy import private_overlap
@@ -130,3 +131,20 @@ def test_skewed_partition_of_an_attribute_join_is_split(spark):
     finally:
         for k in settings:
             spark.conf.unset(k)
+
+
+def test_identity_rules_read_the_sides_once_per_rule(spark):
+    """Every rule is one job over written hits: the answer's plan is one scan, whatever the number of rules."""
+    a = spark.range(40).select(F.col("id").alias("row_id"), *[F.when(F.col("id") % 5 == i, F.col("id")).alias(f"k{i}") for i in range(5)])
+    b = a.withColumnRenamed("row_id", "target_id")
+    got = map_identities_by_rules(a, b, [(f"rule {i}", [f"k{i}"]) for i in range(5)])
+    assert count(got, "FileScan") == 1 and count(got, "Exchange") == 0
+    assert sorted((r["source_id"], r["target_id"], r["rule_name"]) for r in got.collect()) == [(i, i, f"rule {i % 5}") for i in range(40)]
+
+
+def test_identity_rule_of_several_columns(spark):
+    a = spark.createDataFrame([(1, "a", 1), (2, "a", 2), (3, "b", None), (4, "c", 3), (5, "c", 3)], "row_id int, n string, b int")
+    b = spark.createDataFrame([(11, "a", 1), (12, "a", 2), (13, "b", None), (14, "c", 3)], "target_id int, n string, b int")
+    got = map_identities_by_rules(a, b, [("by name", "n"), ("by both", ["n", "b"])])
+    assert sorted(map(tuple, got.collect())) == [(1, 11, "by both"), (2, 12, "by both"), (3, 13, "by name")]
+    assert map_identities_by_rules(a.limit(0), b, [("by name", "n")]).count() == 0

@@ -3,13 +3,14 @@
 import pytest
 from pyspark.sql import functions as F
 
+from plans import count
 from splitweave.operators.identity import ambiguous, map_identities, matched, unmatched
 from splitweave.operators.joins import join_attributes, join_bucketed
 from splitweave.operators.layout import spread, write_bucketed, write_clustered, write_parts
 from splitweave.operators.privacy import overlap_list, private_overlap
 from splitweave.operators.quality import bucket_histogram, key_quality
 from splitweave.operators.ranking import dedupe_keep, latest_per_key
-from splitweave.operators.skew import hot_keys, salted_join
+from splitweave.operators.skew import both_salted_join, hot_keys, salted_join
 from splitweave.sources.inventory import file_inventory
 from splitweave.sources.paths import shared_scratch
 
@@ -95,6 +96,32 @@ def test_bucketed_join_with_hot_key(spark, skewed, db):
     assert same(join_bucketed(spark, f"{db}.a", f"{db}.b"), skewed.join(one, "customer_user_id"))
 
 
+def test_bucketed_join_with_hot_key_on_the_right(spark, skewed, db):
+    one = spark.range(ROWS).select(F.col("id").alias("customer_user_id"), (F.col("id") * 2).alias("w"))
+    for name, df in (("one", one), ("many", skewed)):
+        write_bucketed(df, f"{db}.{name}", shared_scratch(spark, name), n=8)
+    joined = join_bucketed(spark, f"{db}.one", f"{db}.many", hot=[], hot_right=[7])
+    assert same(joined, one.join(skewed, "customer_user_id"))
+
+
+@pytest.mark.parametrize(("hot_left", "hot_right"), [([7], []), ([], [7]), ([7], [7]), ([7, 9], [8]), ([], [])])
+def test_both_salted_join(spark, hot_left, hot_right):
+    def side(name, rows):
+        key = F.when(F.col("id") < rows, F.lit(7)).when(F.col("id") > 280, F.lit(None)).otherwise(F.col("id")).cast("bigint")
+        return spark.range(0, 300, 1, 4).select(key.alias("k"), F.col("id").alias(name))
+
+    a, b = side("v", 100), side("w", 50)
+    assert same(both_salted_join(a, b, "k", hot_left, hot_right), a.join(b, "k"))
+
+
+def test_hot_side_is_not_repeated(spark, skewed):
+    """The rows of the hot side stay as many as they are; only the few rows of the other side are repeated."""
+    few = spark.createDataFrame([(7, 1)], "customer_user_id bigint, w bigint")
+    for hot_left, hot_right, a, b in (([7], [], skewed, few), ([], [7], few, skewed)):
+        joined = both_salted_join(a, b, "customer_user_id", hot_left, hot_right)
+        assert joined.count() == HOT and count(joined, "Generate") == 1
+
+
 def test_attribute_join_with_hot_key(spark, skewed):
     one = spark.range(ROWS).select(F.col("id").alias("customer_user_id"), (F.col("id") * 2).alias("w"))
     assert join_attributes(skewed, one).count() == ROWS
