@@ -6,6 +6,7 @@ partition; everything after that is joins and aggregates.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +18,8 @@ from splitweave.functions.text import (
     IDENTITY_SUFFIX, SOURCE_PREFIX, TABLE_PREFIX, base_name, is_stale, join_path, normalize_path, utc_text,
 )
 from splitweave.operators.columns import with_input_source
-from splitweave.operators.joins import count_match, pair_counts
+from splitweave.operators.joins import count_match
+from splitweave.operators.parallel import at_once, failure
 from splitweave.operators.quality import key_quality, row_counts, union_all
 from splitweave.operators.ranking import first_per_group
 from splitweave.operators.tables import add_missing, repair_partitions
@@ -139,13 +141,14 @@ def alert_rows(
     problems = F.array_join("contract_problems", ", ")
     files = F.array_join(F.slice("file_issues", 1, 3), ", ")
     stale = F.lit(strict_snapshot) & F.col("stale")
-    no_source = F.col("count_checked") & F.col("count_src").isNull()
+    no_source = F.col("count_checked") & ~F.col("source_found")
     checks = [
         (F.col("storage_partitions") != n, [name, ": storage has ", F.col("storage_partitions"), f"/{n} id_bucket partitions"]),
         (F.col("missing_count") > 0, [name, ": catalog misses ", F.col("missing_count"), " partitions (e.g., [", sample, "])"]),
         (~F.col("table_type_ok"), [name, ": schema mismatch (external/Parquet)"]),
         (F.size("contract_problems") > 0, [name, ": schema contract issues: ", problems]),
         (stale, [name, ": processed snapshot too old/missing (snap=", F.coalesce("snapshot_dt", F.lit("None")), ")"]),
+        (F.col("count_error").isNotNull(), [name, ": not counted, ", F.col("count_error")]),
         (no_source, [name, ": source table not found ", theirs, "; count match skipped"]),
         (
             F.col("count_mismatch"),
@@ -169,31 +172,32 @@ def alert_message(alerts: DataFrame, limit: int = MAX_ALERTS_IN_MESSAGE) -> Data
     )
 
 
+COUNTS_DDL = (
+    "table_name string, count_part bigint, pk_nulls bigint, pk_dupes bigint, count_src bigint, source_found boolean, count_error string"
+)
+
+
 def _counted(
     spark: SparkSession, db: str, names: list[str], prefix: str, source_db: str, source_prefix: str, key: str, tolerance_pct: float
 ) -> DataFrame:
-    """(table_name, counts, difference, key quality) of the tables that have the key column."""
-    tables = {t: spark.table(f"{db}.{t}") for t in names}
-    keyed = {t: df for t, df in tables.items() if key in df.columns}
-    quality = (
-        key_quality(keyed, key) if keyed
-        else rows_frame(spark, [], "table_name string, rows bigint, null_keys bigint, duplicate_rows bigint")
-    )
+    """(table_name, counts, difference, key quality) of every table, one job each: a table that fails has only its error.
+
+    A table without the key column is counted too; its key quality is unknown.
+    """
     known = set(table_names(spark, source_db, source_prefix))
-    bases = [t[len(prefix):] for t in names]
-    sources = {b: spark.table(f"{source_db}.{source_prefix}{b}") for b in bases if source_prefix + b in known}
-    source_counts = (
-        row_counts(sources).withColumnRenamed("table_name", "base_name") if sources
-        else rows_frame(spark, [], "base_name string, rows bigint")
-    )
-    counts = quality.select(
-        "table_name",
-        F.substring("table_name", len(prefix) + 1, 1000).alias("base_name"),
-        "rows",
-        F.col("null_keys").alias("pk_nulls"),
-        F.col("duplicate_rows").alias("pk_dupes"),
-    )
-    return count_match(pair_counts(counts, source_counts), tolerance_pct).drop("base_name")
+
+    def count(t: str) -> tuple:
+        source = source_prefix + t[len(prefix):]
+        found = source in known
+        try:
+            df = spark.table(f"{db}.{t}")
+            mine = (key_quality({t: df}, key) if key in df.columns else row_counts({t: df})).first().asDict()
+            theirs = row_counts({source: spark.table(f"{source_db}.{source}")}).first()["rows"] if found else None
+            return t, mine["rows"], mine.get("null_keys"), mine.get("duplicate_rows"), theirs, found, None
+        except Exception as e:
+            return t, None, None, None, None, found, failure(e)
+
+    return count_match(rows_frame(spark, list(at_once(spark, count, names).values()), COUNTS_DDL), tolerance_pct)
 
 
 def _with_file_issues(spark: SparkSession, detail: DataFrame, places: list[str], size_mb: tuple[float, float]) -> DataFrame:
@@ -223,8 +227,13 @@ def monitor(
     file_size_check: bool = False,
     file_size_mb: tuple[float, float] = (64, 1024),
     data_bucket: str = "",
+    before_counts: Callable[[list[str]], None] | None = None,
 ) -> DataFrame:
-    """One row per monitored table with every check's result; see ``report_rows`` and ``alert_rows``."""
+    """One row per monitored table with every check's result; see ``report_rows`` and ``alert_rows``.
+
+    ``before_counts`` is called with the tables that miss partitions, after these were noted and before anything is
+    counted: a repair there leaves the report telling what was missing, and the counts those of the repaired table.
+    """
     if source_prefix == prefix and source_db in (None, db):
         raise ValueError("a table would be compared with itself")
     names = table_names(spark, db, prefix, not_suffix=IDENTITY_SUFFIX, limit=max_tables)
@@ -236,15 +245,17 @@ def monitor(
     roots = {t: normalize_path(join_path(where[t], "..")) for t in names}
     dates = {root: read_marker_under(spark, root) for root in set(roots.values())}
     markers = rows_frame(spark, [(t, dates[roots[t]]) for t in names], "table_name string, snapshot_dt string")
-    detail = contract.join(
-        partition_integrity(contract.select("table_name", "virtual"), stored, registered, n), "table_name"
-    ).join(check_freshness(markers, window_days, as_of), "table_name")
+    integrity = partition_integrity(contract.select("table_name", "virtual"), stored, registered, n)
+    if before_counts is not None:
+        before_counts([r["table_name"] for r in integrity.where("missing_count > 0").select("table_name").collect()])
+    detail = contract.join(integrity, "table_name").join(check_freshness(markers, window_days, as_of), "table_name")
 
     if count_check:
         counted = _counted(spark, db, names, prefix, source_db or db, source_prefix, key, tolerance_pct)
         detail = detail.join(counted, "table_name", "left").na.fill(False, ["count_mismatch"])
     else:
         absent = {c: F.lit(None).cast("bigint") for c in ("count_part", "count_src", "pk_nulls", "pk_dupes")}
+        absent |= {"source_found": F.lit(None).cast("boolean"), "count_error": F.lit(None).cast("string")}
         detail = detail.withColumns({**absent, "count_diff_pct": F.lit(""), "count_mismatch": F.lit(False)})
     detail = detail.withColumn("count_checked", F.lit(count_check))
 

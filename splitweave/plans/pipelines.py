@@ -239,20 +239,23 @@ def monitor_and_report(
     """(report, alerts), also written below ``path`` as JSON lines and CSV.
 
     The checks run once: the result is written, and report and alerts read it back. With ``repair`` all or targeted
-    the tables that miss partitions are repaired afterwards; ``path/json/repairs`` tells what that changed.
+    the tables that miss partitions are repaired before they are counted; report and alerts tell what was missing,
+    the counts are those of the repaired tables, and ``path/json/repairs`` tells what the repair changed.
     """
     prefix = options.get("prefix", TABLE_PREFIX)
     key = options.get("key", KEY)
     window = options.get("window_days", 45)
     source_db = options.get("source_db") or db
     kept = join_path(path, "detail")
-    monitor(spark, db, n=n, as_of=as_of, **options).write.mode("overwrite").parquet(kept)
-    detail = spark.read.parquet(kept)
-    if repair != "off":
-        broken = [r["table_name"] for r in detail.where("missing_count > 0").select("table_name").collect()]
+
+    def mend(broken: list[str]) -> None:
         done = at_once(spark, lambda t: auto_repair(spark, f"{db}.{t}", repair, n), broken)
         if done:
             union_all(list(done.values())).write.mode("overwrite").json(join_path(path, "json", "repairs"))
+
+    found = monitor(spark, db, n=n, as_of=as_of, before_counts=None if repair == "off" else mend, **options)
+    found.write.mode("overwrite").parquet(kept)
+    detail = spark.read.parquet(kept)
     report = report_rows(detail, checked_at)
     alerts = alert_rows(detail, n, key, db, source_db, window, strict_snapshot, options.get("source_prefix", SOURCE_PREFIX))
     header = spark.range(1).select(

@@ -1,5 +1,7 @@
 """Defects, reruns, partial refresh, skipped steps."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -215,7 +217,7 @@ def test_readiness_of_the_catalog(spark, sf, db):
     assert spark.read.json(join_path(base, "readiness", "json", "summary")).first()["ready"] == 1
 
 
-def test_monitor_repairs_after_reporting(spark, sf, db):
+def test_monitor_repairs_before_counting(spark, sf, db):
     root = shared_scratch(spark, "repair")
     write_parts(vertical_split(stored_wide(spark, sf), mapping(spark))["SEG_01"], join_path(root, "seg_01"), n=4)
     register_external(spark, db, root, "part_")
@@ -223,6 +225,8 @@ def test_monitor_repairs_after_reporting(spark, sf, db):
     out = shared_scratch(spark, "repaired")
     report, alerts = monitor_and_report(spark, db, out, AS_OF, CHECKED_AT, 4, repair="targeted")
     assert report.first()["missing_glue_count"] == 4 and spark.table(f"{db}.part_seg_01").count() > 0
+    assert report.first()["count_part"] == str(spark.table(f"{db}.part_seg_01").count())
+    assert alerts.where("alert like '%catalog misses 4 partitions%'").count() > 0
     row = spark.read.json(join_path(out, "json", "repairs")).first()
     assert (row["registered_before"], row["registered_after"], row["stored"]) == (0, 4, 4)
     assert monitor_and_report(spark, db, out, AS_OF, CHECKED_AT, 4)[0].first()["missing_glue_count"] == 0
@@ -251,6 +255,33 @@ def test_managed_tables_are_not_redefined(spark, db):
     assert spark.table(f"{db}.part_m").count() == 3
 
 
+def test_monitor_goes_on_past_a_broken_table(spark, db):
+    """One table with a damaged file, one without the key, one good: the damaged one has an alert, the others their counts."""
+    root, source = shared_scratch(spark, "broken"), shared_scratch(spark, "broken-src")
+    rows = spark.range(50).select(F.col("id").alias("customer_user_id"), F.col("id").alias("v"))
+    for t, df in (("bad", rows), ("good", rows), ("nokey", rows.select(F.col("v").alias("other"), (F.col("v") % 2).cast("int").alias("id_bucket")))):
+        if t == "nokey":
+            df.write.partitionBy("id_bucket").parquet(join_path(root, t))
+        else:
+            write_parts(df, join_path(root, t), n=2)
+        df.write.parquet(join_path(source, t))
+    register_and_prepare(spark, db, root)
+    register_external(spark, db, source, "ext_")
+    for folder, _, files in os.walk(join_path(root, "bad").removeprefix("file:")):
+        for f in files:
+            if f.endswith(".parquet"):
+                with open(os.path.join(folder, f), "wb") as out:
+                    out.write(b"PAR1 damaged PAR1")
+                if os.path.exists(crc := os.path.join(folder, f".{f}.crc")):
+                    os.remove(crc)
+    report, alerts = monitor_and_report(spark, db, shared_scratch(spark, "out"), AS_OF, CHECKED_AT, 2)
+    counts = {r["table"]: (r["count_part"], r["count_src"], r["pk_nulls"], r["pk_dupes"]) for r in report.collect()}
+    assert counts == {"part_bad": ("", "", "", ""), "part_good": ("50", "50", "0", "0"), "part_nokey": ("50", "50", "", "")}
+    said = [(r["table_name"], r["alert"]) for r in alerts.collect()]
+    assert [t for t, a in said if "not counted, failed: " in a] == ["part_bad"]
+    assert not [a for _, a in said if "source table not found" in a] and "part_good" not in {t for t, _ in said}
+
+
 def test_monitor_without_counts_and_with_few_tables(spark, sf, db):
     root = shared_scratch(spark, "nocount")
     for t in ("a", "b"):
