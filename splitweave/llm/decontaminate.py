@@ -161,10 +161,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 13, ratio:
 
 
 def hits(h: np.ndarray, first: np.ndarray, masks: set[str], bits: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, int]]:
-    """For each mask: places and hashes of the windows that the bit map may know, and the mask's length.
-
-    Inside a run of hits at neighbouring places only every fourth is kept, besides the run's ends.
-    """
+    """For each mask: places and hashes of the windows that the bit map may know, and the mask's length."""
     out = []
     for m in sorted(masks):
         w = windows(h, m)
@@ -173,10 +170,6 @@ def hits(h: np.ndarray, first: np.ndarray, masks: set[str], bits: np.ndarray) ->
         at = at[((bits[b[at] >> 3] >> (b[at] & 7)) & 1).astype(bool)]
         end = first[np.searchsorted(first, at, "right")] if len(at) else at
         at = at[at + len(m) <= end]
-        inner = np.zeros(len(at), bool)
-        if len(at) > 2:
-            inner[1:-1] = (at[1:-1] - at[:-2] == 1) & (at[2:] - at[1:-1] == 1)
-        at = at[~inner | (at % 4 == 0)]
         out.append((at, w[at], len(m)))
     return out
 

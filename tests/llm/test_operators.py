@@ -390,6 +390,18 @@ def test_overlaps(spark):
     assert got.count() > 60
 
 
+def test_overlaps_inside_another(spark):
+    """An item that meets the document in one window only, amid the windows of another item."""
+    prose = [f"w{i}" for i in range(60)]
+    other = prose[20:33]
+    other[4], other[9] = "this", "that"
+    items = {1: " ".join(prose), 2: " ".join(other)}
+    docs = {d: " ".join([*["lead"] * d, *prose]) for d in range(4)}
+    got = decontaminate.overlaps(spark.createDataFrame(list(docs.items()), "doc_id long, text string"), spark.createDataFrame(list(items.items()), "item_id long, text string"))
+    assert {(x["doc_id"], x["item_id"]): x["matched"] for x in got.collect()} == brute_overlaps(docs, items)
+    assert got.count() == 8
+
+
 def test_overlaps_odd(spark):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "the same text of several words here"), (None, "no id but some words"), (4, "word " * 50)], "item_id long, text string")
     got = decontaminate.overlaps(odd(spark, ODD), items)
