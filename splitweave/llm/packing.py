@@ -217,7 +217,7 @@ def pack(
     dealt = pieces.withColumn("_g", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)))
     before = Window.partitionBy("length").orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
     base = dealt.groupBy("length", "_g").agg(F.count("*").alias("n")).select("length", "_g", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))
-    own = Window.partitionBy("length", "_g").orderBy("doc_id", "piece")
+    own = Window.partitionBy("length", "_g").orderBy("doc_id", "piece", "start", "ids_crc32")  # ties are equal rows: a rerun task numbers alike
     numbered = dealt.withColumn("_own", F.row_number().over(own) - 1).join(base, ["length", "_g"]).withColumn("_number", F.col("_own") + F.col("_base"))
     sent = docs.sparkSession.sparkContext.broadcast(at)
 
