@@ -341,6 +341,49 @@ def test_similar(spark):
     assert all(got[3 * i + 2] == 3 * i + 2 for i in range(120))
 
 
+def shingle_set(text, k=5):
+    w = re.findall(rb"[^\x20\x09-\x0d]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
+    return frozenset(tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1)))
+
+
+def plain_similar(texts, similarity=(4, 5)):
+    sets = {d: shingle_set(t) for d, t in texts.items()}
+    links = [(a, b) for a, b in itertools.combinations(sets, 2) if len(sets[a] & sets[b]) * similarity[1] >= len(sets[a] | sets[b]) * similarity[0]]
+    label = {d: d for d in sets}
+    while any(label[a] != label[b] for a, b in links):
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    return label
+
+
+def test_similar_is_exact(spark, docs, texts):
+    """Pairs just under 0.8, and unrelated texts that each repeat a word, don't link; pairs above do, also through others."""
+    r = random.Random(12)
+    prose = lambda n: ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 7))) for _ in range(n)]
+    made = {}
+    for i in range(150):
+        w = prose(r.randint(100, 300))
+        v = list(w)
+        tail = round(len(v) * (0.09, 0.14)[i % 2])
+        v[-tail:] = prose(tail)
+        made |= {2 * i: " ".join(w), 2 * i + 1: " ".join(v)}
+    for i in range(1000, 1002):
+        made[i] = " ".join([*prose(30), *["again"] * 500])
+    chain = prose(200)
+    for i in range(2000, 2006):
+        made[i] = " ".join(chain)
+        chain = [*chain[18:], *prose(18)]
+    got = simhash.similar(spark.createDataFrame(list(made.items()), "doc_id long, text string")).collect()
+    want = plain_similar(made)
+    assert 0 < sum(want[2 * i + 1] == 2 * i for i in range(150)) < 150 and {want[i] for i in range(2000, 2006)} == {2000}
+    found = {x["doc_id"]: x["component_id"] for x in got}
+    assert all(found[i] == i for i in made if want[i] == i)
+    assert sum(found[i] != want[i] for i in made) <= 3
+    found = {x["doc_id"]: x["component_id"] for x in simhash.similar(docs).collect()}
+    want = plain_similar(texts)
+    assert all(want[found[d]] == want[d] for d in found) and sum(found[d] != want[d] for d in found) <= 1
+
+
 def test_components_of_chains(spark):
     r = random.Random(2)
     order = r.sample(range(1, 300), 200)
