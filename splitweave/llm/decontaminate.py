@@ -4,6 +4,7 @@ words don't break a match; hits are verified along their alignment."""
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -12,8 +13,10 @@ from pyspark.sql import functions as F
 
 from splitweave.llm.common import ragged, slabs, small_batches, utf8, written
 
-# Which words of a window count. The first two let every fifth or fourth word differ, the others have irregular gaps.
-MASKS = ("111101111", "11101110111", "1101100111011", "111001011011")
+# Which words of a window count. Every stretch of 13 words or more of which 4 in 5 are equal has a place where one of MASKS fits.
+MASKS = ("11011111", "11010100111", "1110010010011", "11100011011", "111010010101", "10001110111")
+# The same for whole items of at most 6, 9 and 12 words.
+SHORT = {6: ("1111", "10111", "11011", "11101"), 9: ("11111", "110111", "111011"), 12: ("1101111", "11110011", "110011011", "10101111", "11110101")}
 LEAST_WORDS = 5
 FILTER_BITS = 26
 REACH = 64
@@ -66,8 +69,8 @@ def windows(hashes: np.ndarray, mask: str) -> np.ndarray:
 
 
 def seeds(n: int) -> list[str]:
-    """The masks for a test item of ``n`` words: those that fit, else the whole item; none below LEAST_WORDS."""
-    return [m for m in MASKS if len(m) <= n] or (["1" * n] if n >= LEAST_WORDS else [])
+    """The masks for a test item of ``n`` words; none below LEAST_WORDS."""
+    return [] if n < LEAST_WORDS else list(next((SHORT[most] for most in SHORT if n <= most), MASKS))
 
 
 def probes(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -111,10 +114,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 13, ratio:
     """(doc_id, item_id, matched, aligned, start): documents that hold a passage of a benchmark item, one row for each pair.
 
     A hit is a window of a document whose counted words equal those of a window of an item. Around a hit, document and item
-    are laid side by side; the stretch with the best score (1 for an equal word, −2 for another) must be at least
-    ``min_words`` words long, or as long as the item if that is shorter, and ``ratio`` of its words must be equal. ``start`` is the
-    stretch's first word in the document. An item shorter than every mask is one window of its own; items of fewer than
-    five words are no evidence and match nothing. Words are compared in lower case.
+    are laid side by side; a stretch of at least ``min_words`` words, or as long as the item if that is shorter, must have
+    ``ratio`` of its words equal. With the given limits no such stretch is without a hit; lower ones may miss some. Of the
+    stretches that meet both the one with the most equal words is told, the shortest and first of these; ``start`` is its first
+    word in the document. Items of fewer than five words are no evidence and match nothing. Words are compared in lower case.
 
     Null and empty texts and items match nothing, empty tables give no rows, rows without an id are left out, repeated
     rows of an id count once for each pair, other columns are ignored.
@@ -150,8 +153,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 13, ratio:
             (w, wa), (t, ta) = flat("words"), flat("item_words")
             rows = []
             for k, (doc, region, item, shift) in enumerate(zip(*(b.column(c).to_pylist() for c in ("doc_id", "region", "item_id", "shift")), strict=True)):
-                got = stretch(w[wa[k] : wa[k + 1]], t[ta[k] : ta[k + 1]], shift)
-                if got and got[2] >= min(min_words, ta[k + 1] - ta[k]) and got[1] >= ratio * got[2]:
+                got = stretch(w[wa[k] : wa[k + 1]], t[ta[k] : ta[k + 1]], shift, min_words, ratio)
+                if got:
                     rows.append((doc, item, got[1], got[2], region + got[0]))
             yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], pa.int64()) for j in range(5)], ["doc_id", "item_id", "matched", "aligned", "start"])
 
@@ -193,14 +196,25 @@ def regions(ids: np.ndarray, h: np.ndarray, first: np.ndarray, found: list[tuple
     return out
 
 
-def stretch(words_: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int] | None:
-    """(first word, equal words, length) of the best stretch of the item laid at ``shift``."""
+def stretch(words_: np.ndarray, item: np.ndarray, shift: int, min_words: int = 13, ratio: float = 0.8) -> tuple[int, int, int] | None:
+    """(first word, equal words, length) of the stretch of the item laid at ``shift`` that has the most equal words, if one is long and equal enough."""
     low, high = max(0, shift), min(len(words_), shift + len(item))
-    if low >= high:
+    least, share = min(min_words, len(item)), Fraction(str(ratio))
+    if high - low < least:
         return None
     equal = words_[low:high] == item[low - shift : high - shift]
-    total = np.r_[0, np.cumsum(np.where(equal, 1, -2))]
-    least = np.minimum.accumulate(total)
-    end = int(np.argmax(total - least))
-    start = int(np.argmin(total[: end + 1]))
-    return (low + start, int(equal[start:end].sum()), end - start) if end > start else None
+    count = np.r_[0, np.cumsum(equal)]
+    if count[-1] * share.denominator < least * share.numerator:
+        return None
+    over = count * share.denominator - np.arange(len(count)) * share.numerator
+    lowest = np.minimum.accumulate(over)
+    start = np.searchsorted(-lowest, -over)  # for each end, the first start from which enough is equal
+    end = np.arange(len(count))
+    start, end = start[end - start >= least], end[end - start >= least]
+    if not len(end):
+        return None
+    first = np.minimum.accumulate(np.where(np.r_[equal, True], np.arange(len(count)), len(count))[::-1])[::-1]  # the next equal word
+    start = np.minimum(first[start], end - least)
+    matched = count[end] - count[start]
+    best = np.lexsort((start, end - start, -matched))[0]
+    return low + int(start[best]), int(matched[best]), int(end[best] - start[best])

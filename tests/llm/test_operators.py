@@ -433,6 +433,52 @@ def test_overlaps(spark):
     assert got.count() > 60
 
 
+def stated_overlaps(docs, items, min_words=13, share=(4, 5)):
+    """Every pair with some alignment and some window that is long and equal enough; the most equal words of one."""
+    out = {}
+    for (d, w), (i, q) in itertools.product(docs.items(), items.items()):
+        least = min(min_words, len(q))
+        for shift in range(-len(q) + 1, len(w)) if len(q) >= 5 else []:
+            e = [w[p] == q[p - shift] for p in range(max(0, shift), min(len(w), shift + len(q)))]
+            n = [0, *itertools.accumulate(e)]
+            for a, b in itertools.combinations(range(len(n)), 2):
+                if b - a >= least and (n[b] - n[a]) * share[1] >= (b - a) * share[0]:
+                    out[d, i] = max(out.get((d, i), 0), n[b] - n[a])
+    return out
+
+
+def test_overlaps_as_stated(spark):
+    """Substitutions anywhere, also at the edges of a passage or item, and passages that a loosely similar text follows."""
+    r = random.Random(8)
+    items = {i: [f"i{i}w{j}" for j in range(n)] for i, n in enumerate([4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 20, 25, 40])}
+    docs = {}
+    for d in range(450):
+        q = items[d % 15]
+        n = r.randint(min(13, len(q)), min(len(q), 26))
+        low = r.randint(0, len(q) - n)
+        part = q[low : low + n]
+        for j in r.sample(range(n), min(n, n // 5 + (d % 4 == 0))):
+            part[j] = "other"
+        docs[d] = [*["lead"] * r.randint(0, 9), *part, *["tail"] * r.randint(0, 9)]
+    items[100] = [f"long{j}" for j in range(120)]
+    docs[1000] = [w if j < 20 or j % 4 else "other" for j, w in enumerate(items[100])]
+    items[101] = [f"edge{j}" for j in range(13)]
+    docs[1001] = ["edge0", "other", *items[101][2:]]
+    docs[1002] = ["lead", "other", *items[5][1:], "tail"]
+    lay = lambda rows, c: spark.createDataFrame([(k, " ".join(w)) for k, w in rows.items()], f"{c} long, text string")
+    got = {(x["doc_id"], x["item_id"]): x["matched"] for x in decontaminate.overlaps(lay(docs, "doc_id"), lay(items, "item_id")).collect()}
+    want = stated_overlaps(docs, items)
+    assert got == want and {(1000, 100), (1001, 101), (1002, 5)} <= got.keys() and 250 < len(got) < 450
+
+
+@pytest.mark.parametrize("n", range(5, 26))
+def test_masks_meet_every_stretch(n):
+    """Stretches of n words with as many others among them as may be; longer ones hold one of 13 to 25 words that is equal enough."""
+    masks = decontaminate.seeds(n)
+    for out in itertools.combinations(range(n), n // 5):
+        assert any(all(c == "0" or p + k not in out for k, c in enumerate(m)) for m in masks for p in range(n - len(m) + 1)), out
+
+
 def test_overlaps_inside_another(spark):
     """An item that meets the document in one window only, amid the windows of another item."""
     prose = [f"w{i}" for i in range(60)]
