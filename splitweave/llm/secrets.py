@@ -117,12 +117,12 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def all_spans(text: str) -> list[tuple[int, int, int]]:
-    """The base spans, and the lexer's that don't overlap one of them, by start and kind."""
+    """The base spans, and the lexer's that none of them holds wholly, by start and kind."""
     base = base_spans(text)
     low = text.lower()
     if not (any(s in low for s in STEMS) and ("=" in text or ":" in text)):
         return base
-    more = [(a, 3, b) for a, b in lexed(text) if not any(s < b and a < e for s, _, e in base)]
+    more = [(a, 3, b) for a, b in lexed(text) if not any(s <= a and b <= e for s, _, e in base)]
     return sorted(base + more)
 
 

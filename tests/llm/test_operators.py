@@ -642,6 +642,21 @@ def test_lexed(text, found):
     assert sorted(text[a:b] for a, b in secrets.lexed(text)) == sorted(found)
 
 
+@pytest.mark.parametrize(
+    ("text", "spans", "clean"),
+    [
+        ('password = "Tr0ub4dor&3xyzQ9"', ['password = "Tr0ub4dor', "Tr0ub4dor&3xyzQ9"], '[SECRET]"'),
+        ('x = 1; api_key: "abcdEF12#34!z"; y', ['api_key: "abcdEF12', "abcdEF12#34!z"], 'x = 1; [SECRET]"; y'),
+        ("db_pwd = '" + "0123456789abcdef" * 2 + "&Zz'", ["0123456789abcdef" * 2 + "&Zz", "0123456789abcdef" * 2], "db_pwd = '[SECRET]'"),
+        ('password = "Tr0ub4dor3xyzQ9"', ['password = "Tr0ub4dor3xyzQ9'], '[SECRET]"'),
+    ],
+)
+def test_literals_beyond_base_spans(spark, text, spans, clean):
+    assert sorted(text[a:b] for a, _, b in secrets.all_spans(text)) == sorted(spans)
+    assert {tuple(x) for x in secrets.base_spans(text)} <= set(secrets.all_spans(text))
+    assert secrets.redacted(spark.createDataFrame([(text,)], "text string")).first()["text"] == clean
+
+
 def test_secrets_odd(spark):
     rows = secrets.find_secrets(odd(spark, [*ODD, (9, "é token=abcdefgh1 " * 3, None)])).collect()
     assert len(rows) == len(ODD) + 1
