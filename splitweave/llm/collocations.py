@@ -201,14 +201,14 @@ def path_edges(paths: DataFrame, longest: int) -> DataFrame:
 
 def run_counts(docs: DataFrame, least: int = 30, longest: int = 4, group: str = "lang", text: str = "text", no_group: str = "und") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(counts, totals, paths): (group, phrase, size, n) of all phrases of at most ``longest`` words that occur ``least`` times or more
-    in a group; (group, n) of all words; the compacted graph."""
+    in a group; (group, n) of all words; the graph of the edges that occur so often, compacted."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(group).cast("string"), F.lit(no_group)).alias("group"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     found = written(runs(rows, frequent_pairs(rows, least), longest).withColumn("size", size("run")), "runs")
     totals = found.groupBy("group").agg(F.sum("n").alias("n"))
-    paths = written(compacted(found.where(F.col("size") == longest).select("group", "run", "n")), "paths")
-    level = path_edges(paths, longest)
-    kept = [level.select("group", F.col("run").alias("phrase"), F.lit(longest).alias("size"), "n").where(F.col("n") >= least)]
+    level = found.where(F.col("size") == longest).select("group", "run", "n")
+    paths = written(compacted(level.where(F.col("n") >= least)), "paths")  # rarer edges only flow into their nodes
+    kept = [path_edges(paths, longest).select("group", F.col("run").alias("phrase"), F.lit(longest).alias("size"), "n")]
     for k in range(longest - 1, 0, -1):
         flow = level.select("group", head("run", k).alias("run"), "n").union(found.where(F.col("size") == k).select("group", "run", "n"))
         level = written(flow.groupBy("group", "run").agg(F.sum("n").alias("n")), f"flow{k}")
