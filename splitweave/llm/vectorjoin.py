@@ -85,6 +85,7 @@ def near_vectors(
     if not 0 < threshold <= 1:
         raise ValueError("threshold must lie above 0 and be at most 1")
     spark, radius = vectors.sparkSession, math.sqrt(2 - 2 * threshold)
+    kind = "<f4" if vectors.schema[vector].dataType.elementType.typeName() == "float" else "<f8"  # what is shuffled; computed is in doubles
     small_batches(spark)
     usable = F.forall("_v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("_v", lambda x: x != 0)
     rows = vectors.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("_v")).where("vec_id is not null")
@@ -111,7 +112,7 @@ def near_vectors(
             mine = d[np.arange(len(d)), own]
             yield pa.RecordBatch.from_arrays(
                 [
-                    b.column(0), b.column(1), pa.array([v.tobytes() for v in x], pa.binary()), pa.array(own.astype(np.int32)), pa.array(mine),
+                    b.column(0), b.column(1), pa.array([v.tobytes() for v in x.astype(kind)], pa.binary()), pa.array(own.astype(np.int32)), pa.array(mine),
                     pa.array(2 * mine <= radius - SLACK), pa.ListArray.from_arrays(at, pa.array(cell.astype(np.int32))), pa.ListArray.from_arrays(at, pa.array(d[row, cell])),
                 ],
                 ["node", "w", "v", "cell", "far", "core", "cells", "fars"],
@@ -144,7 +145,7 @@ def near_vectors(
     work = held.select(*columns).union(beside.select(*columns)).union(guest.select(*columns))
     streamed = sum(b * (members[c]["rest"] + guests.get(c, 0)) for c, b in enumerate(blocks) if c in members)
     tasks = max(spark.sparkContext.defaultParallelism, math.ceil(streamed / STREAMED))
-    near = work.repartition(tasks, *order).sortWithinPartitions(*order, "held").mapInArrow(lambda batches: joined(batches, width, threshold), "a long, b long, n long")
+    near = work.repartition(tasks, *order).sortWithinPartitions(*order, "held").mapInArrow(lambda batches: joined(batches, width, threshold, kind), "a long, b long, n long")
     found = written(near, "found")
     core = places.where("core").groupBy("cell").agg(F.min("node").alias("least"), F.sum("w").alias("total"))
     within = places.where("core").select("node", "w", "cell").join(F.broadcast(core), "cell")  # one row for each pivot
@@ -239,7 +240,7 @@ def result(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.nulls(len(a), pa.int64())], ["a", "b", "n"])
 
 
-def joined(batches: Iterator[pa.RecordBatch], width: int, threshold: float) -> Iterator[pa.RecordBatch]:
+def joined(batches: Iterator[pa.RecordBatch], width: int, threshold: float, kind: str) -> Iterator[pa.RecordBatch]:
     """All blocks of a partition, one after the other: its members are held, then the others pass by in batches."""
     block: Block | None = None
     for b in batches:
@@ -247,7 +248,7 @@ def joined(batches: Iterator[pa.RecordBatch], width: int, threshold: float) -> I
             continue
         key = np.stack([np.asarray(b.column(i)) for i in range(3)], axis=1)
         held, mine, node, w = (np.asarray(b.column(i)) for i in range(3, 7))
-        x = np.frombuffer(b"".join(b.column(7).to_pylist()), np.float64).reshape(len(node), width)
+        x = np.frombuffer(b"".join(b.column(7).to_pylist()), kind).astype(np.float64).reshape(len(node), width)
         cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1) | (held[1:] != held[:-1])) + 1
         for s, e in zip([0, *cuts], [*cuts, len(node)], strict=True):
             if block is None or block.key != tuple(key[s]):
