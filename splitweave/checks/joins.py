@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 
 from splitweave.checks.registered import query
 from splitweave.checks.views import (
-    COPIES, DATED, N, REGISTRY, WIDE, bucket_ctes, copies, order_snapshots, mapping, read,
+    COPIES, DATED, N, REGISTRY, WIDE, bucket_ctes, copies, once, order_snapshots, mapping, read,
     registry, stored_wide,
 )
 from splitweave.functions.keys import BUCKET
 from splitweave.functions.policy import analysis_rule
-from splitweave.functions.text import receiver_account
+from splitweave.functions.text import join_path, receiver_account
 from splitweave.operators.columns import vertical_split, with_id_bucket
+from splitweave.operators.layout import write_parts
 from splitweave.operators.filters import filter_names, null_keys, registry_filter
 from splitweave.operators.identity import ambiguous, map_identities, map_identities_by_rules, matched, unmatched
 from splitweave.operators.joins import (
@@ -45,8 +46,14 @@ def attribute_join_query(spark, sf):
 @query("bucket_aligned_join", f"""WITH {WIDE}, {bucket_ctes('w', 'b')}
   SELECT id_bucket, customer_user_id, c_name, c_mktsegment, c_acctbal, n_name, r_name FROM b""")
 def bucket_aligned_join_query(spark, sf):
-    tables = _narrow(spark, sf)
-    return join_parts(with_id_bucket(tables["SEG_01"], n=N), with_id_bucket(tables["GEO_01"], n=N))
+    """Both sides as they lie in directories of buckets."""
+
+    def write(path):
+        for name, df in _narrow(spark, sf).items():
+            write_parts(df, join_path(path, name), n=N)
+
+    root = once(spark, sf, "aligned-parts", write)
+    return join_parts(*[spark.read.parquet(join_path(root, t)) for t in ("SEG_01", "GEO_01")])
 
 
 @query("missing_partitions", f"""WITH o AS (SELECT c_custkey AS customer_user_id FROM customer WHERE c_acctbal < 0),
@@ -231,6 +238,17 @@ def list_by_rule_query(spark, sf):
     return list_by_rule(customer, read(spark, sf, "events"), rule, ["user_id"], ["c_name", "c_mktsegment"])
 
 
+@query("private_overlap_distinct", """SELECT c_mktsegment, event_type, count(DISTINCT c_name) AS names, count(DISTINCT event_id) AS events,
+    count(*) AS pairs, max(value) AS most FROM customer JOIN events ON c_nationkey = user_id % 25
+  GROUP BY ALL HAVING count(DISTINCT c_name) >= 3""")
+def private_overlap_distinct_query(spark, sf):
+    """Both sides have a column whose distinct values are counted, and few keys."""
+    customer = read(spark, sf, "customer").select(F.col("c_nationkey").cast("bigint").alias("k"), "c_name", "c_mktsegment")
+    events = read(spark, sf, "events").select((F.col("user_id") % 25).alias("k"), "event_id", "event_type", "value")
+    aggs = {"names": ("count_distinct", "c_name"), "events": ("count_distinct", "event_id"), "pairs": ("count", "*"), "most": ("max", "value")}
+    return private_overlap(customer, events, ["k"], ["c_mktsegment", "event_type"], aggs, "c_name", minimum=3)
+
+
 @query("private_overlap", """SELECT c_mktsegment, event_type, count(*) AS pairs, count(DISTINCT c_custkey) AS people,
     CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, min(value) AS least,
     round(CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / count(*), 4) AS mean_balance

@@ -15,8 +15,8 @@ from splitweave.functions.keys import BUCKET
 from splitweave.functions.text import join_path
 from splitweave.operators.columns import vertical_split, versioned_path, with_id_bucket
 from splitweave.operators.filters import at_snapshot, lookup_key
-from splitweave.operators.joins import join_bucketed
-from splitweave.operators.layout import file_plan, refresh_parts, write_bucketed, write_clustered, write_parquet, write_parts
+from splitweave.operators.joins import join_bucketed, reassemble_bucketed
+from splitweave.operators.layout import file_plan, refresh_parts, write_bucketed, write_clustered, write_parquet, write_parts, write_ranges
 from splitweave.operators.quality import row_counts
 from splitweave.operators.tables import (
     add_missing, create_bucketed, create_identity_table, define_table, ensure_partitioned, point_table_at, register_external,
@@ -24,6 +24,7 @@ from splitweave.operators.tables import (
 )
 from splitweave.plans.pipelines import bucketed_build, identity_build, register_and_prepare, split_and_bucket, split_and_part
 from splitweave.sources.catalog import catalog_partitions, list_tables, location, properties
+from splitweave.sources.footers import footers, listed_files
 from splitweave.sources.inventory import discover_tables, file_inventory, size_by, storage_partitions
 from splitweave.sources.mapping import read_mapping
 from splitweave.sources.paths import shared_scratch
@@ -70,13 +71,14 @@ def at_snapshot_query(spark, sf):
     return rows.select("o_orderkey", "o_custkey", F.col("snapshot_dt").cast("string").alias("snapshot_dt"))
 
 
-@query("mapping_scan", "SELECT p_brand AS table_name, 'attr_' || p_partkey AS column_name FROM part")
+@query("mapping_scan", "SELECT p_partkey AS pos, p_brand AS table_name, 'attr_' || p_partkey AS column_name FROM part")
 def mapping_scan_query(spark, sf):
-    """A mapping in CSV with a row per part."""
+    """A mapping in CSV with a row per part, in five files and in the order of the parts, which are numbered from 0."""
 
     def write(path):
         (
             read(spark, sf, "part")
+            .repartitionByRange(5, "p_partkey").sortWithinPartitions("p_partkey")
             .select(
                 F.col("p_brand").alias("TARGET_TABLE"),
                 F.concat(F.lit("attr_"), F.col("p_partkey").cast("string")).alias("TARGET_COLUMN"),
@@ -85,7 +87,7 @@ def mapping_scan_query(spark, sf):
             .write.option("header", True).csv(path)
         )
 
-    return read_mapping(spark, once(spark, sf, "mapping-csv", write)).drop("pos")
+    return read_mapping(spark, once(spark, sf, "mapping-csv", write))
 
 
 @query("snapshot_marker", "SELECT strftime(max(o_orderdate), '%Y-%m-%d') AS snapshot_dt FROM orders")
@@ -131,6 +133,30 @@ def table_sizes_query(spark, sf):
     return size_by(files, "table_name").select("table_name", "files", (F.col("bytes") > 0).alias("filled"))
 
 
+@query("listed_files", "SELECT replace(p_brand, '#', '%23') AS brand, sum(octet_length(encode(p_name)) + 1)::BIGINT AS bytes FROM part GROUP BY 1")
+def listed_files_query(spark, sf):
+    """The bytes of text files with a name in each line, listed by tasks."""
+
+    def write(path):
+        read(spark, sf, "part").select("p_brand", F.col("p_name").alias("value")).repartition(3, "p_name").write.partitionBy("p_brand").text(path)
+
+    files = listed_files(spark, once(spark, sf, "brand-text", write), "*.txt", tasks=7)
+    brand = F.regexp_extract("path", "p_brand=([^/]*)", 1).alias("brand")
+    return files.groupBy(brand).agg(F.sum("bytes").alias("bytes"))
+
+
+COUNTED = "region nation customer supplier part orders lineitem events".split()
+
+
+@query("footer_columns", f"""WITH n AS ({" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in COUNTED)})
+  SELECT table_name, column_name, rows, true AS sized FROM n JOIN (SELECT DISTINCT table_name, column_name FROM duckdb_columns()) USING (table_name)""")
+def footer_columns_query(spark, sf):
+    """Rows and columns of given files, from their footers alone."""
+    found = footers(spark, [f"{sf}/{t}.parquet" for t in COUNTED])
+    name = F.regexp_extract("path", r"([^/]+)\.parquet", 1).alias("table_name")
+    return found.groupBy(name, "column_name").agg(F.sum("rows").alias("rows"), (F.sum("bytes") > 0).alias("sized"))
+
+
 @query("storage_partitions", f"WITH {WIDE}, {bucket_ctes('w', 'b')} SELECT DISTINCT id_bucket FROM b")
 def storage_partitions_query(spark, sf):
     return storage_partitions(spark, geo_parts(spark, sf))
@@ -168,6 +194,23 @@ def layout_clustered_query(spark, sf):
     return rows.join(spread, "customer_user_id")
 
 
+CUT = 70
+
+
+@query("clustered_manifest", f"""SELECT user_id AS key, count(*) AS rows, ceil(count(*) / {CUT}.0)::INTEGER AS files FROM events GROUP BY 1 HAVING count(*) > {CUT}""")
+def clustered_manifest_query(spark, sf):
+    """Users with more events than a file may hold: the keys that are cut, and into how many files."""
+    path = shared_scratch(spark, "ranges")
+    return write_ranges(read(spark, sf, "events"), path, "user_id", files=20, max_rows=CUT).drop("first_file")
+
+
+@query("clustered_ranges", "SELECT event_id, user_id, event_type FROM events")
+def clustered_ranges_query(spark, sf):
+    path = shared_scratch(spark, "ranges")
+    write_ranges(read(spark, sf, "events"), path, "user_id", files=20, max_rows=CUT)
+    return spark.read.parquet(path).select("event_id", "user_id", "event_type")
+
+
 def geo_parts(spark, sf):
     return once(spark, sf, "geo-parts", lambda path: write_parts(narrow(spark, sf, "GEO_01"), path, n=N))
 
@@ -225,13 +268,37 @@ def versioned_table_query(spark, sf):
     return spark.table(f"{db}.geo")
 
 
+@query("rebuild_keeps_old", f"WITH {WIDE} SELECT customer_user_id, c_name, c_mktsegment, c_acctbal, 'old' AS version FROM w")
+def rebuild_keeps_old_query(spark, sf):
+    """A rebuild that fails half way, by a row that cannot be computed, leaves the old table and its rows."""
+    db, path = fresh_db(spark), shared_scratch(spark, "rebuilt")
+    seg = narrow(spark, sf, "SEG_01")
+    create_bucketed(spark, seg.withColumn("version", F.lit("old")), f"{db}.seg", path, n=N)
+    bad = F.when(F.col("customer_user_id") % 100 == 99, F.raise_error(F.lit("cannot be computed")).cast("string")).otherwise(F.lit("new"))
+    try:
+        create_bucketed(spark, seg.withColumn("version", bad), f"{db}.seg", path, n=N)
+    except Exception as e:
+        if "cannot be computed" not in str(e):
+            raise
+    return spark.table(f"{db}.seg")
+
+
+@query("rebuild_swaps", f"WITH {WIDE} SELECT customer_user_id, c_name, c_mktsegment, c_acctbal, 'new' AS version FROM w")
+def rebuild_swaps_query(spark, sf):
+    """A rebuild into the same directory that succeeds is what the table reads from then on."""
+    db, path = fresh_db(spark), shared_scratch(spark, "rebuilt")
+    for version in ("old", "new"):
+        create_bucketed(spark, narrow(spark, sf, "SEG_01").withColumn("version", F.lit(version)), f"{db}.seg", path, n=N)
+    return spark.table(f"{db}.seg")
+
+
 def bucketed_db(spark, sf):
-    """Two narrow tables bucketed alike; the directory's name is that of the database."""
+    """The narrow tables bucketed alike; the directory's name is that of the database."""
 
     def write(path):
         db = path.split("/")[-1].replace("-", "_")
         spark.sql(f"CREATE DATABASE {db} LOCATION '{path}'")
-        for t in ("SEG_01", "GEO_01"):
+        for t in ("SEG_01", "GEO_01", "ORD_01"):
             write_bucketed(narrow(spark, sf, t), f"{db}.{t.lower()}", join_path(path, t), n=N)
 
     return once(spark, sf, "bucketed", write).split("/")[-1].replace("-", "_")
@@ -243,6 +310,13 @@ def bucketed_join_query(spark, sf):
     return join_bucketed(spark, f"{db}.seg_01", f"{db}.geo_01")
 
 
+@query("reassemble_bucketed", f"WITH {WIDE} {narrow_sql('ORD_01', extra=', c_name, c_mktsegment, c_acctbal, n_name, r_name')}")
+def reassemble_bucketed_query(spark, sf):
+    """The wide row from three tables bucketed alike, without a shuffle."""
+    db = bucketed_db(spark, sf)
+    return shown(reassemble_bucketed(spark, [f"{db}.{t}" for t in ("seg_01", "geo_01", "ord_01")]))
+
+
 @query("identity_table", f"WITH {WIDE} SELECT customer_user_id AS row_id, customer_user_id, n_name, r_name FROM w")
 def identity_table_query(spark, sf):
     db = registered(spark, sf)
@@ -348,6 +422,26 @@ def split_and_bucket_query(spark, sf):
     return shown(spark.read.parquet(join_path(path, "ORD_01")))
 
 
+@query("split_and_bucket_tables", f"WITH {WIDE} {narrow_sql('ORD_01', extra=', c_name, c_mktsegment, c_acctbal, n_name, r_name')}")
+def split_and_bucket_tables_query(spark, sf):
+    """All three tables, as they were written, put together again."""
+    path = shared_scratch(spark, "split-and-bucket")
+    split_and_bucket(spark, wide_snapshots(spark, sf), path, mapping=mapping(spark), n=N)
+    seg, geo, orders = (spark.read.parquet(join_path(path, t)) for t in ("SEG_01", "GEO_01", "ORD_01"))
+    return shown(orders.join(seg, "customer_user_id").join(geo, "customer_user_id"))
+
+
+@query("split_and_bucket_plan", """SELECT t AS table_name, 400 AS target_mb, 1 AS raw_files, 24 AS planned_files, least(count(*), 24) > 0 AS measured, true AS within, count(*) AS rows
+  FROM customer, unnest(['SEG_01', 'GEO_01', 'ORD_01']) u(t) GROUP BY ALL""")
+def split_and_bucket_plan_query(spark, sf):
+    """The plan from the footers, and rows and files that were written."""
+    path = shared_scratch(spark, "split-and-bucket")
+    plan = split_and_bucket(spark, wide_snapshots(spark, sf), path, mapping=mapping(spark), n=64)
+    counts = row_counts({t: spark.read.parquet(join_path(path, t)) for t in ("SEG_01", "GEO_01", "ORD_01")})
+    within = F.col("written_files") <= F.col("planned_files")
+    return plan.join(counts, "table_name").select("table_name", "target_mb", "raw_files", "planned_files", (F.col("bytes") > 0).alias("measured"), within.alias("within"), "rows")
+
+
 @query("register_and_prepare", f"""WITH {WIDE}, {bucket_ctes('w', 'b')}, c AS (SELECT count(DISTINCT id_bucket) AS p, count(*) AS r FROM b)
   SELECT 'part_' || t AS table_name, 'migrated' AS status, p::INTEGER AS partitions, r AS rows
   FROM c, unnest(['seg_01', 'geo_01', 'ord_01']) u(t)""")

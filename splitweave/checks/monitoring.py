@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from splitweave.checks.layout import fresh_db, geo_parts, registered, split_root
 from splitweave.checks.registered import query
 from splitweave.checks.views import (
-    AS_OF, CHECKED_AT, N, WIDE, bucket_ctes, id_snapshots, mapping, once, read, stored_wide, wide_snapshots,
+    AS_OF, CHECKED_AT, IDS, N, WIDE, bucket_ctes, id_snapshots, mapping, once, read, stored_wide, wide_snapshots,
 )
 from splitweave.functions.keys import BUCKET
 from splitweave.functions.text import join_path
@@ -19,7 +19,7 @@ from splitweave.operators.monitor import (
 from splitweave.operators.tables import add_missing, ensure_partitioned, register_external
 from splitweave.plans.pipelines import monitor_and_report, refresh, register_and_prepare
 from splitweave.sources.inventory import file_inventory
-from splitweave.sources.paths import shared_scratch
+from splitweave.sources.paths import remove, shared_scratch
 from splitweave.sources.snapshots import write_marker
 
 
@@ -180,3 +180,44 @@ def refresh_report_query(spark, sf):
         spark, fresh_db(spark), id_snapshots(spark, sf), wide_snapshots(spark, sf), mapping(spark), shared_scratch(spark, "refresh"),
         AS_OF, CHECKED_AT, n=4,
     )
+
+
+def _refreshed_with_defects(spark, sf):
+    """Attributes in which keys occur twice, an older id list, and a bucket that is lost between the split and the registration."""
+    root, db = shared_scratch(spark, "defects"), fresh_db(spark)
+    attributes, ids = join_path(root, "attributes"), join_path(root, "ids")
+    wide = stored_wide(spark, sf)
+    wide.unionByName(wide.where("Customer_User_id % 50 = 7")).write.parquet(join_path(attributes, "snapshot_dt=2001-06-01"))
+    read(spark, sf, "events").select(F.col("user_id").alias("Customer_User_id")).distinct().write.parquet(join_path(ids, "snapshot_dt=2001-04-01"))
+    given = (spark, db, ids, attributes, mapping(spark), join_path(root, "base"), AS_OF, CHECKED_AT)
+    refresh(*given, n=N, skip=("register", "identity", "monitor"))
+    remove(spark, join_path(root, "base", "parts", "GEO_01", f"{BUCKET}=3"))
+    return db, refresh(*given, n=N, skip=("ids", "attributes"), strict_snapshot=True), root
+
+
+DEFECTS = f"""WITH {WIDE}, {bucket_ctes('w', 'b')}, {IDS}, {bucket_ctes('ids', 'i')},
+  x AS (SELECT *, unnest(range(CASE WHEN customer_user_id % 50 = 7 THEN 2 ELSE 1 END)) AS copy FROM b),
+  t AS (SELECT 'part_seg_01' AS table_name, count(*) AS rows, count(*) FILTER (WHERE customer_user_id % 50 = 7) AS twice, count(DISTINCT id_bucket) AS buckets FROM x
+    UNION ALL SELECT 'part_ord_01', count(*), count(*) FILTER (WHERE customer_user_id % 50 = 7), count(DISTINCT id_bucket) FROM x
+    UNION ALL SELECT 'part_geo_01', count(*), count(*) FILTER (WHERE customer_user_id % 50 = 7), count(DISTINCT id_bucket) FROM x WHERE id_bucket <> 3
+    UNION ALL SELECT 'part_addressable_ids', count(*), 0, count(DISTINCT id_bucket) FROM i),
+  r AS (SELECT table_name, rows AS count_part, twice AS pk_dupes, buckets, CASE WHEN table_name = 'part_addressable_ids' THEN rows ELSE (SELECT count(*) FROM x) END AS count_src,
+    CASE WHEN table_name = 'part_addressable_ids' THEN '2001-04-01' ELSE '2001-06-01' END AS snapshot_dt FROM t)"""
+
+
+@query("refresh_defects", DEFECTS + f""" SELECT table_name, snapshot_dt, buckets AS s3_partitions, count_src::VARCHAR AS count_src, count_part::VARCHAR AS count_part,
+    pk_dupes::VARCHAR AS pk_dupes, CASE WHEN count_part <> count_src OR pk_dupes > 0 OR buckets <> {N} OR snapshot_dt < '2001-05-16' THEN 'alert' ELSE 'ok' END AS status FROM r""")
+def refresh_defects_query(spark, sf):
+    """Every defect is seen: repeated keys, rows lost with a bucket, an old snapshot of one table only."""
+    _, steps, root = _refreshed_with_defects(spark, sf)
+    report = spark.read.json(join_path(root, "base", "monitor", "json", "tables"))
+    state = steps.where("step = 'monitor'").select("table_name", "status")
+    return report.select(F.col("table").alias("table_name"), F.col("raw_input_snapshot_dt").alias("snapshot_dt"), "s3_partitions", "count_src", "count_part", "pk_dupes").join(state, "table_name")
+
+
+@query("alert_message", ALERTS + """, o AS (SELECT *, CASE WHEN alert LIKE '%storage has%' THEN 0 WHEN alert LIKE '%catalog misses%' THEN 1
+    WHEN alert LIKE '%too old%' THEN 4 WHEN alert LIKE '%not found%' THEN 6 WHEN alert LIKE '[COUNT%' THEN 7 WHEN alert LIKE '[PK_NULL%' THEN 8 ELSE 9 END AS k FROM a)
+  SELECT count(*) AS alerts, string_agg(alert, chr(10) ORDER BY table_name, k) AS message FROM o""")
+def alert_message_query(spark, sf):
+    """The whole text, every alert in it."""
+    return alert_message(_alerts(spark, sf))

@@ -18,6 +18,7 @@ ASSOCIATION_PREFIX = "acx_"
 SCHEMA_PREFIX = "ACX_SCHEMA_"
 SNAPSHOT_COLUMN = "snapshot_dt"
 MARKER_PATH = "metadata/snapshot_dt.txt"
+SOURCES_PATH = "metadata/sources"
 RECEIVER_RESOURCE = "arn:aws:cleanrooms:"
 
 

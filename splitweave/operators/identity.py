@@ -65,32 +65,60 @@ def map_identities_by_rules(
     """(source_id, target_id, rule_name) for several (rule name, column or columns) pairs; the first rule that matches wins.
 
     A rule of several columns matches rows that are equal in all of them; a NULL in any of them matches nothing. Ids
-    must be unique on their side. Rows already matched leave both sides before the next rule runs; they are removed by
-    id, which spreads evenly. Every rule's hits are written once to the shared folder, so that each rule reads either
-    side once, however many rules there are.
+    must be unique on their side. Rows already matched take no part in later rules.
+
+    Both sides are read once, whatever the number of rules: the keys of all rules become one written table of candidates
+    (rank of the rule, key, side, id). The ranks are then
+    resolved in order among the ids still open; each takes one anti-join by id, which spreads evenly, and one grouping
+    by key, both of its own candidates only.
     """
     if not rules:
         raise ValueError("no rules")
     spark, folder = source.sparkSession, shared_scratch(source.sparkSession, "identities")
+    columns = [[given] if isinstance(given, str) else list(given) for _, given in rules]
+    flat = list(dict.fromkeys(c for cs in columns for c in cs))
+    # One union, so that Spark brings the columns of both sides to common types.
+    both = source.select(F.lit(True).alias("_s"), F.col(source_id).cast("string").alias("_id"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(flat)]).unionAll(
+        target.select(F.lit(False).alias("_s"), F.col(target_id).cast("string").alias("_id"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(flat)])
+    )
+    at = {c: f"_c{i}" for i, c in enumerate(flat)}
+    keys = [_key([_text(both, at[c]) for c in cs]).alias(str(i)) for i, cs in enumerate(columns)]
+    offered = both.select("_s", "_id", F.posexplode(F.array(*keys)).alias("rank", "key")).where("key is not null")
+    # Text, rank and key in each file part in order of rank, so that a rank reads its own row groups.
+    offered.sortWithinPartitions("rank").write.parquet(join_path(folder, "candidates"))
+    candidates = spark.read.schema(offered.schema).parquet(join_path(folder, "candidates"))
+    pair = "_source string, _target string, rank int"
     places: list[str] = []
-    for i, (name, given) in enumerate(rules):
-        columns = [given] if isinstance(given, str) else list(given)
-        left, right = (_keyed(df, columns, one) for df, one in ((source, source_id), (target, target_id)))
+    for i in range(len(rules)):
+        mine = candidates.where(F.col("rank") == i)
         if places:
-            taken = spark.read.parquet(*places)
-            left = left.join(taken.select(F.col("source_id").alias(source_id)), source_id, "left_anti")
-            right = right.join(taken.select(F.col("target_id").alias(target_id)), target_id, "left_anti")
-        hits = matched(map_identities(left, right, "_key", source_id, target_id, name))
+            taken = spark.read.schema(pair).parquet(*places)
+            gone = taken.select(F.explode(F.array(F.struct(F.lit(True).alias("_s"), F.col("_source").alias("_id")), F.struct(F.lit(False).alias("_s"), F.col("_target").alias("_id")))).alias("t")).select("t.*")
+            mine = mine.join(gone, ["_s", "_id"], "left_anti")
+        one = mine.groupBy("key").agg(
+            F.count_if("_s").alias("s"), F.count_if(~F.col("_s")).alias("t"),
+            F.max(F.when(F.col("_s"), F.col("_id"))).alias("_source"), F.max(F.when(~F.col("_s"), F.col("_id"))).alias("_target"),
+        ).where("s = 1 and t = 1")
         places.append(join_path(folder, f"rule-{i}"))
-        hits.write.parquet(places[-1])
-    return spark.read.parquet(*places)
+        one.select("_source", "_target", F.lit(i).alias("rank")).write.parquet(places[-1])
+    names = F.element_at(F.lit([n for n, _ in rules]), F.col("rank") + 1)
+    return spark.read.schema(pair).parquet(*places).select(
+        F.col("_source").cast(source.schema[source_id].dataType).alias("source_id"), F.col("_target").cast(target.schema[target_id].dataType).alias("target_id"), names.alias("rule_name")
+    )
+
+
+def _text(df: DataFrame, column: str) -> Column:
+    """A column as text that is equal if and only if the values are: no negative zero, whole timestamps, bytes as digits."""
+    kind = df.schema[column].dataType
+    if kind.typeName() in ("float", "double"):
+        return F.when(F.col(column) == 0, "0").otherwise(F.col(column).cast("string"))
+    return F.hex(column) if kind.typeName() == "binary" else F.col(column).cast("string")
 
 
-def _keyed(df: DataFrame, columns: list[str], one: str) -> DataFrame:
-    """The id and the columns as one key, of the rows that have them all."""
-    known = df.where(reduce(Column.__and__, [F.col(c).isNotNull() for c in columns]))
-    key = F.col(columns[0]) if len(columns) == 1 else F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(columns)])
-    return known.select(one, key.alias("_key"))
+def _key(columns: list[Column]) -> Column:
+    """The columns as one text, equal if and only if all of them are; NULL if one is."""
+    known = reduce(Column.__and__, [c.isNotNull() for c in columns])
+    return F.when(known, F.to_json(F.struct(*[c.alias(f"k{i}") for i, c in enumerate(columns)])))
 
 
 def namespace_rows(namespaces: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from splitweave.functions.keys import BUCKET, KEY, require_same_key_type
@@ -12,6 +12,7 @@ from splitweave.functions.text import ASSOCIATION_PREFIX, SNAPSHOT_COLUMN
 from splitweave.operators.filters import at_snapshot
 from splitweave.operators.quality import key_quality
 from splitweave.operators.skew import both_salted_join, hot_keys, is_hot
+from splitweave.sources.catalog import describe_table
 
 
 def _only_new(b: DataFrame, a: DataFrame, keys: list[str]) -> DataFrame:
@@ -69,6 +70,33 @@ def reassemble(tables: list[DataFrame], key: str = KEY, check: bool = True) -> D
     return reduce(step, tables)
 
 
+def reassemble_bucketed(spark: SparkSession, tables: list[str], key: str = KEY) -> DataFrame:
+    """The wide row from narrow tables that are bucketed alike on the key: no table is shuffled, each bucket is one task.
+
+    That keys are unique is checked in the same pass: the rows of a bucket are sorted by key for the join, and a row whose key
+    repeats that of the row before it fails the query. NULL keys are refused first; the files' statistics tell where there
+    are any. Tables in other buckets than the first are refused, since Spark would have to shuffle them.
+    """
+    layouts = {t: describe_table(spark, t).details for t in tables}
+    how = {t: (d.get("Num Buckets"), d.get("Bucket Columns")) for t, d in layouts.items()}
+    if len(set(how.values())) > 1 or how[tables[0]][1] != f"[`{key}`]":
+        raise ValueError(f"not bucketed alike on {key}: {how}")
+    frames = [spark.table(t) for t in tables]
+    for name, df in zip(tables, frames):
+        require_same_key_type(frames[0], df, key)
+        if df.where(F.col(key).isNull()).select(key).take(1):
+            raise ValueError(f"keys are not unique: {name} has NULL keys")
+    order = Window.partitionBy(key).orderBy(key)
+
+    def unique(name: str, df: DataFrame) -> DataFrame:
+        again = F.row_number().over(order)
+        said = F.raise_error(F.concat(F.lit(f"keys are not unique: {name} repeats "), F.col(key).cast("string")))
+        return df.withColumn("_n", again).where(F.when(F.col("_n") > 1, said.cast("boolean")).otherwise(F.lit(True))).drop("_n")
+
+    checked = [unique(t, df) for t, df in zip(tables, frames)]
+    return reduce(lambda left, right: left.join(_only_new(right, left, [key]), key, "inner"), checked)
+
+
 def missing_partitions(expected: DataFrame, have: DataFrame) -> DataFrame:
     return expected.join(have, expected.columns, "left_anti")
 

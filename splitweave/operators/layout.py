@@ -7,6 +7,7 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from splitweave.functions.keys import BUCKET, BUCKETS, KEY, bucket_of
 from splitweave.functions.sizes import gigabytes, planned_file_count, raw_file_count, rows_per_file, target_mb
@@ -14,6 +15,7 @@ from splitweave.operators.columns import with_id_bucket
 from splitweave.operators.skew import dealt, hot_keys, is_hot
 
 TARGET_MB = 400
+SLOTS = 8192  # of the key's hash, whose weights decide where files are cut
 
 
 def slot_counts(df: DataFrame, slot: Column) -> dict[int, int]:
@@ -83,6 +85,52 @@ def write_clustered(
     write_parquet(spread(df, slot, files, limit, dict(enumerate(per_slot)), together=key), path)
 
 
+def write_ranges(df: DataFrame, path: str, key: str = KEY, files: int = 24, max_rows: int | None = None) -> DataFrame:
+    """Files of about equal size by ranges of the key's hash, and which keys had to be cut: (key, rows, first_file, files).
+
+    Keys are weighed: those with more rows than a file may hold (``max_rows``, by default a file's share of all rows, at least one
+    full file) are found exactly, by counting, and get as many files of their own as they need, over which their rows are dealt
+    evenly. The ranges of all other keys are cut where the files become even, never inside a key. Files are numbered in the
+    order of their names. Only weights of hash slots and the keys that are cut, fewer than there are files, reach the driver.
+    """
+    spark, slot = df.sparkSession, F.pmod(F.xxhash64(key), F.lit(SLOTS)).cast("int")
+    per_key = df.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("rows"))
+    total = df.count()
+    limit = max_rows or max(rows_per_file(df.schema, TARGET_MB), ceil(total / files))
+    cut = [(r["key"], r["rows"]) for r in per_key.where(F.col("rows") > limit).orderBy(F.desc("rows"), "key").collect()]
+    usual = df if not cut else df.join(F.broadcast(_cut_frame(df, key, cut)), F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+    weights = slot_counts(usual, slot)
+    share = min(limit, max(1, ceil(sum(weights.values()) / files)))
+    first, parts, now, held = [0] * SLOTS, [1] * SLOTS, 0, 0
+    for s in range(SLOTS):
+        w = weights.get(s, 0)
+        if held and held + w > share:
+            now, held = now + 1, 0
+        first[s], parts[s] = now, max(1, ceil(w / limit))
+        held += w
+        if parts[s] > 1:  # many keys of one slot: dealt by another hash of the key
+            now, held = now + parts[s], 0
+    own, start = [], now + 1
+    for k, rows in cut:
+        own.append((k, rows, start, ceil(rows / limit)))
+        start += own[-1][3]
+    at = slot + F.lit(1)
+    table = lambda values: F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")  # noqa: E731  a constant, folded once
+    file = F.element_at(table(first), at) + F.pmod(F.xxhash64(F.lit(1), key), F.element_at(table(parts), at))
+    out = df.withColumn("_file", file.cast("int"))
+    manifest = spark.createDataFrame(own, T.StructType([T.StructField("key", df.schema[key].dataType), *T.StructType.fromDDL("rows bigint, first_file int, files int").fields]))
+    if own:
+        cuts = F.broadcast(manifest.select(F.col("key").alias("_key"), "first_file", "files"))  # fewer rows than files
+        mine = (F.col("first_file") + F.pmod(dealt(df), F.col("files"))).cast("int")
+        out = out.join(cuts, F.col(key).eqNullSafe(F.col("_key")), "left").withColumn("_file", F.coalesce(mine, "_file")).drop("_key", "first_file", "files")
+    write_parquet(out.repartitionById(start, "_file").drop("_file"), path)
+    return manifest
+
+
+def _cut_frame(df: DataFrame, key: str, cut: list[tuple]) -> DataFrame:
+    return df.sparkSession.createDataFrame([(k,) for k, _ in cut], T.StructType([T.StructField("_key", df.schema[key].dataType)]))
+
+
 def write_parts(
     df: DataFrame,
     path: str,

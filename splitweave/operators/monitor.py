@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from splitweave.functions.keys import BUCKET, BUCKETS, KEY
 from splitweave.functions.sizes import size_out_of_range
 from splitweave.functions.text import (
-    IDENTITY_SUFFIX, SOURCE_PREFIX, TABLE_PREFIX, base_name, is_stale, join_path, normalize_path, utc_text,
+    IDENTITY_SUFFIX, SOURCE_PREFIX, TABLE_PREFIX, is_stale, join_path, normalize_path, utc_text,
 )
 from splitweave.operators.columns import with_input_source
 from splitweave.operators.joins import count_match
@@ -26,10 +26,11 @@ from splitweave.operators.tables import add_missing, repair_partitions
 from splitweave.sources.catalog import (
     catalog_partitions, describe_table, location, partition_names, properties, table_names,
 )
-from splitweave.sources.inventory import bucket_rows, file_inventory, storage_partitions
+from splitweave.sources.footers import listed_files
+from splitweave.sources.inventory import bucket_rows, storage_partitions
 from splitweave.sources.local import rows_frame
 from splitweave.sources.paths import child_names
-from splitweave.sources.snapshots import read_marker_under
+from splitweave.sources.snapshots import read_marker_under, read_sources
 
 # The report's columns, in order.
 REPORT_COLUMNS = [
@@ -37,7 +38,6 @@ REPORT_COLUMNS = [
     "missing_glue_count", "table_type_ok", "contract_ok", "count_src", "count_part", "count_diff_pct", "pk_nulls",
     "pk_dupes", "file_issues_sample", "checked_at",
 ]
-MAX_ALERTS_IN_MESSAGE = 50
 
 
 def check_freshness(markers: DataFrame, window_days: int, as_of: date | datetime | str) -> DataFrame:
@@ -90,16 +90,23 @@ def contract_problems(columns: list[str], partitions: list[tuple[str, str]], key
 
 
 def check_contract(spark: SparkSession, tables: list[str], key: str = KEY, is_part: bool = True) -> DataFrame:
-    """(table_name, location, virtual, table_type_ok, contract_problems) from the catalog alone."""
-    rows = []
-    for table in tables:
-        columns, partitions, details = describe_table(spark, table)
-        external_parquet = details.get("Type") == "EXTERNAL" and details.get("Provider", "").lower() == "parquet"
-        problems = contract_problems(columns, partitions, key, is_part)
-        virtual = properties(spark, table).get("projection.enabled", "false").lower() == "true"
-        rows.append((table.split(".")[-1], details["Location"], virtual, external_parquet, problems))
+    """(table_name, location, virtual, table_type_ok, contract_problems) from the catalog alone, several tables at once.
+
+    A table that cannot be described has that as its problem, and no location.
+    """
+
+    def check(table: str) -> tuple:
+        name = table.split(".")[-1]
+        try:
+            columns, partitions, details = describe_table(spark, table)
+            external_parquet = details.get("Type") == "EXTERNAL" and details.get("Provider", "").lower() == "parquet"
+            virtual = properties(spark, table).get("projection.enabled", "false").lower() == "true"
+            return name, details["Location"], virtual, external_parquet, contract_problems(columns, partitions, key, is_part)
+        except Exception as e:
+            return name, None, False, False, [failure(e)]
+
     return rows_frame(
-        spark, rows,
+        spark, list(at_once(spark, check, tables).values()),
         "table_name string, location string, virtual boolean, table_type_ok boolean, contract_problems array<string>",
     )
 
@@ -127,16 +134,19 @@ def alert_rows(
     window_days: int = 45,
     strict_snapshot: bool = False,
     source_prefix: str = SOURCE_PREFIX,
+    prefix: str = TABLE_PREFIX,
 ) -> DataFrame:
     """(table_name, position, alert): one row per problem of each table of ``monitor``."""
     name = F.col("table_name")
+    bare = F.when(name.startswith(prefix), F.substring(name, len(prefix) + 1, 1 << 20)).otherwise(name)
 
     def said(*parts: Column | str) -> Column:
         return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
     sample = F.array_join(F.col("missing_sample"), ", ")
     mine = said(db + "." if db else "", name)
-    theirs = said(source_db + "." if source_db else "", source_prefix, base_name(name))
+    named = F.coalesce(F.col("source_name"), said(source_prefix, bare))
+    theirs = F.when(named.contains("/"), named).otherwise(said(source_db + "." if source_db else "", named))
     percent = F.format_string("%.3f", F.col("count_diff_pct").try_cast("double"))
     problems = F.array_join("contract_problems", ", ")
     files = F.array_join(F.slice("file_issues", 1, 3), ", ")
@@ -150,6 +160,7 @@ def alert_rows(
         (stale, [name, ": processed snapshot too old/missing (snap=", F.coalesce("snapshot_dt", F.lit("None")), ")"]),
         (F.col("count_error").isNotNull(), [name, ": not counted, ", F.col("count_error")]),
         (no_source, [name, ": source table not found ", theirs, "; count match skipped"]),
+        (F.size("source_problems") > 0, [name, ": source ", theirs, " breaks the contract: ", F.array_join("source_problems", ", ")]),
         (
             F.col("count_mismatch"),
             ["[COUNT_MISMATCH] ", name, ": ", mine, "=", F.col("count_part"), " vs ", theirs, "=", F.col("count_src"), " (Δ=", percent, "%)"],
@@ -162,9 +173,9 @@ def alert_rows(
     return detail.select("table_name", F.posexplode(texts).alias("position", "alert"))
 
 
-def alert_message(alerts: DataFrame, limit: int = MAX_ALERTS_IN_MESSAGE) -> DataFrame:
-    """One row: number of alerts and the text of the first ``limit``."""
-    first = alerts.orderBy("table_name", "position").limit(limit)
+def alert_message(alerts: DataFrame, limit: int | None = None) -> DataFrame:
+    """One row: number of alerts and the text of all of them in order, or of the first ``limit``."""
+    first = alerts if limit is None else alerts.orderBy("table_name", "position").limit(limit)
     text = F.array_sort(F.collect_list(F.struct("table_name", "position", "alert")))
     total = alerts.agg(F.count("*").alias("n")).scalar()
     return first.agg(F.array_join(F.transform(text, lambda x: x["alert"]), "\n").alias("message")).select(
@@ -173,29 +184,46 @@ def alert_message(alerts: DataFrame, limit: int = MAX_ALERTS_IN_MESSAGE) -> Data
 
 
 COUNTS_DDL = (
-    "table_name string, count_part bigint, pk_nulls bigint, pk_dupes bigint, count_src bigint, source_found boolean, count_error string"
+    "table_name string, count_part bigint, pk_nulls bigint, pk_dupes bigint, count_src bigint, source_found boolean, count_error string, "
+    "source_name string, source_problems array<string>"
 )
 
 
+def _resolved(path: str) -> str:
+    return normalize_path(path).rstrip("/").removeprefix("file:").lstrip("/")
+
+
 def _counted(
-    spark: SparkSession, db: str, names: list[str], prefix: str, source_db: str, source_prefix: str, key: str, tolerance_pct: float
+    spark: SparkSession, db: str, where: dict[str, str], prefix: str, source_db: str, source_prefix: str, key: str, tolerance_pct: float,
+    origins: dict[str, str],
 ) -> DataFrame:
     """(table_name, counts, difference, key quality) of every table, one job each: a table that fails has only its error.
 
-    A table without the key column is counted too; its key quality is unknown.
+    A table is compared with its source table, unless both read the same files, which would always agree. It is then compared with
+    the snapshot it was split from (``origins``), whose rows Spark counts from the footers. A table without the key column is
+    counted too; its key quality is unknown. ``source_problems``: what the source table lacks.
     """
     known = set(table_names(spark, source_db, source_prefix))
 
     def count(t: str) -> tuple:
         source = source_prefix + t[len(prefix):]
-        found = source in known
+        told, problems, other = source, [], None
         try:
+            if source in known:
+                info = describe_table(spark, f"{source_db}.{source}")
+                if _resolved(info.details["Location"]) != _resolved(where[t]):
+                    other = spark.table(f"{source_db}.{source}")
+                problems = contract_problems(info.columns, info.partitions, key, False)
+            if other is None and t in origins:
+                told, other = origins[t], spark.read.parquet(origins[t])
             df = spark.table(f"{db}.{t}")
             mine = (key_quality({t: df}, key) if key in df.columns else row_counts({t: df})).first().asDict()
-            theirs = row_counts({source: spark.table(f"{source_db}.{source}")}).first()["rows"] if found else None
-            return t, mine["rows"], mine.get("null_keys"), mine.get("duplicate_rows"), theirs, found, None
+            theirs = None if other is None else row_counts({source: other}).first()["rows"]
+            return t, mine["rows"], mine.get("null_keys"), mine.get("duplicate_rows"), theirs, other is not None, None, told, problems
         except Exception as e:
-            return t, None, None, None, None, found, failure(e)
+            return t, None, None, None, None, other is not None, failure(e), told, problems
+
+    names = list(where)
 
     return count_match(rows_frame(spark, list(at_once(spark, count, names).values()), COUNTS_DDL), tolerance_pct)
 
@@ -205,7 +233,7 @@ def _with_file_issues(spark: SparkSession, detail: DataFrame, places: list[str],
         return F.regexp_replace(path, r"^file:/+|/+$", "")
 
     ordered = F.array_sort(F.collect_list(F.struct(BUCKET, "path", "issue")))
-    issues = file_size_issues(file_inventory(spark, places), *size_mb, sample=20).groupBy(bare("directory").alias("_place")).agg(
+    issues = file_size_issues(listed_files(spark, places), *size_mb, sample=20).groupBy(bare("directory").alias("_place")).agg(
         F.transform(ordered, lambda x: x["issue"]).alias("file_issues")
     )
     return detail.join(issues, bare("location") == F.col("_place"), "left").drop("_place")
@@ -238,24 +266,28 @@ def monitor(
         raise ValueError("a table would be compared with itself")
     names = table_names(spark, db, prefix, not_suffix=IDENTITY_SUFFIX, limit=max_tables)
     contract = check_contract(spark, [f"{db}.{t}" for t in names], key)
-    where = {r["table_name"]: r["location"] for r in contract.select("table_name", "location").collect()}
+    where = {r["table_name"]: r["location"] for r in contract.select("table_name", "location").collect() if r["location"]}
 
-    stored = bucket_rows(spark, {t: child_names(spark, where[t]) for t in names})
-    registered = bucket_rows(spark, {t: partition_names(spark, f"{db}.{t}") for t in names})
-    roots = {t: normalize_path(join_path(where[t], "..")) for t in names}
+    stored = bucket_rows(spark, {t: child_names(spark, p) for t, p in where.items()})
+    registered = bucket_rows(spark, {t: partition_names(spark, f"{db}.{t}") for t in where})
+    roots = {t: normalize_path(join_path(p, "..")) for t, p in where.items()}
     dates = {root: read_marker_under(spark, root) for root in set(roots.values())}
-    markers = rows_frame(spark, [(t, dates[roots[t]]) for t in names], "table_name string, snapshot_dt string")
+    written_from = {root: read_sources(spark, root) for root in set(roots.values())}
+    own = {t: written_from[roots[t]].get(normalize_path(where[t]).rstrip("/").split("/")[-1].lower()) if t in where else None for t in names}
+    markers = rows_frame(spark, [(t, own[t][0] if own[t] else dates.get(roots.get(t))) for t in names], "table_name string, snapshot_dt string")
     integrity = partition_integrity(contract.select("table_name", "virtual"), stored, registered, n)
     if before_counts is not None:
         before_counts([r["table_name"] for r in integrity.where("missing_count > 0").select("table_name").collect()])
     detail = contract.join(integrity, "table_name").join(check_freshness(markers, window_days, as_of), "table_name")
 
     if count_check:
-        counted = _counted(spark, db, names, prefix, source_db or db, source_prefix, key, tolerance_pct)
+        origins = {t: o[1] for t, o in own.items() if o}
+        counted = _counted(spark, db, where, prefix, source_db or db, source_prefix, key, tolerance_pct, origins)
         detail = detail.join(counted, "table_name", "left").na.fill(False, ["count_mismatch"])
     else:
         absent = {c: F.lit(None).cast("bigint") for c in ("count_part", "count_src", "pk_nulls", "pk_dupes")}
         absent |= {"source_found": F.lit(None).cast("boolean"), "count_error": F.lit(None).cast("string")}
+        absent |= {"source_name": F.lit(None).cast("string"), "source_problems": F.lit(None).cast("array<string>")}
         detail = detail.withColumns({**absent, "count_diff_pct": F.lit(""), "count_mismatch": F.lit(False)})
     detail = detail.withColumn("count_checked", F.lit(count_check))
 

@@ -100,10 +100,10 @@ def list_by_rule(a: DataFrame, b: DataFrame, rule: str, join_cols: list[str], li
     return overlap_list(a, b, join_cols, list_cols, body["joinColumns"], body["listColumns"])
 
 
-def _collapse(df: DataFrame, on: list[str], dims: list[str], aggs: Aggs, constraint: str, tag: str) -> DataFrame:
+def _collapse(df: DataFrame, on: list[str], dims: list[str], aggs: Aggs, tag: str) -> DataFrame:
     """One side with one row per join key, own dimensions and own distinct-counted columns."""
     own = [c for c in df.columns if c not in on]
-    distinct = {c for f, c in aggs.values() if f == "count_distinct"} | {constraint}
+    distinct = {c for f, c in aggs.values() if f == "count_distinct"}
     keys = on + [c for c in own if c in dims or c in distinct]
     measures = [F.count("*").alias(f"_n_{tag}")]
     for name, (f, c) in aggs.items():
@@ -136,13 +136,30 @@ def private_overlap(
 
     The pairs of a key are never formed: each side is collapsed first to partial counts and sums, and a row of one
     side then weighs as many times as the other side has rows. A frequent key is collapsed on the map side before
-    any shuffle. Column names other than ``on`` must differ between the sides.
+    any shuffle. Where both sides have distinct-counted columns, each side's are counted in a join of their own, against no
+    more than the other side's dimensions: a key with many values on both sides then never forms their product.
+    Column names other than ``on`` must differ between the sides.
     """
     _check(aggs, allowed)
     shared = sorted((set(a.columns) & set(b.columns)) - set(on))
     if shared:
         raise ValueError(f"columns on both sides: {shared}")
-    left, right = (_collapse(df, on, dims, aggs, constraint, t) for df, t in ((a, "a"), (b, "b")))
+    distinct = {n: c for n, (f, c) in aggs.items() if f == "count_distinct"} | {"_people": constraint}
+    theirs = {n: c for n, c in distinct.items() if c not in a.columns and c not in dims}
+    ours = {n: c for n, c in distinct.items() if c not in on and c not in dims and n not in theirs}
+    every = aggs | {"_people": ("count_distinct", constraint)}
+    if not (ours and theirs):
+        counted = _overlap(a, b, on, dims, every)
+    else:
+        first = _overlap(a, b, on, dims, {n: v for n, v in every.items() if n not in theirs})
+        second = _overlap(a, b, on, dims, {n: every[n] for n in theirs})
+        # Both have the same groups; as a union they meet by grouping, where NULL dimensions are equal.
+        counted = first.unionByName(second, allowMissingColumns=True).groupBy(*dims).agg(*[F.first(n, ignorenulls=True).alias(n) for n in every])
+    return counted.where(F.col("_people") >= minimum).select(*dims, *aggs)
+
+
+def _overlap(a: DataFrame, b: DataFrame, on: list[str], dims: list[str], aggs: Aggs) -> DataFrame:
+    left, right = (_collapse(df, on, dims, aggs, t) for df, t in ((a, "a"), (b, "b")))
     joined = left.join(right, on, "inner")
     pairs = F.col("_n_a") * F.col("_n_b")
 
@@ -161,11 +178,7 @@ def private_overlap(
         total = F.sum(F.col(c) * pairs) if collapsed else F.sum(F.col(f"_sum_{name}") * other)
         return total if f == "sum" else total / count
 
-    outputs = [output(n, f, c).alias(n) for n, (f, c) in aggs.items()]
-    return (
-        joined.groupBy(*dims).agg(*outputs, F.count_distinct(constraint).alias("_people"))
-        .where(F.col("_people") >= minimum).drop("_people")
-    )
+    return joined.groupBy(*dims).agg(*[output(n, f, c).alias(n) for n, (f, c) in aggs.items()])
 
 
 def overlap_list(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from splitweave.functions.keys import BUCKET, BUCKETS, KEY, bucket_of
 from splitweave.operators.columns import narrow_columns
+from splitweave.sources.local import rows_frame
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -85,28 +86,34 @@ def check_split(
 ) -> DataFrame:
     """Per narrow table: row counts, keys missing from it, keys it has too many of, attribute columns.
 
-    Per key, how often it occurs in the source and in the table. Only the key and two counts are shuffled.
+    Source and tables are one tagged union, so each is scanned and shuffled once, however many tables there are: per key, an
+    array with how often it occurs in the source and in every table. Keys and counts are all that is shuffled, after the map side
+    has added up what it has.
     """
-    source = wide.select(F.col(key).alias("k"), F.lit(1).alias("s"), F.lit(0).alias("t"))
+    names = list(tables)
 
-    def total(c: Column) -> Column:
-        return F.coalesce(F.sum(c), F.lit(0).cast("bigint"))
+    def tagged(df: DataFrame, tag: int) -> DataFrame:
+        return df.select(F.col(key).alias("k"), F.lit(tag).alias("tag"))
 
-    def one(name: str, df: DataFrame) -> DataFrame:
-        mine = df.select(F.col(key).alias("k"), F.lit(0).alias("s"), F.lit(1).alias("t"))
-        per_key = source.unionByName(mine).groupBy("k").agg(F.sum("s").alias("s"), F.sum("t").alias("t"))
-        ahead, zero = F.col("s") - F.col("t"), F.lit(0).cast("bigint")
-        return per_key.agg(
-            total(F.col("s")).alias("source_rows"),
-            total(F.col("t")).alias("rows"),
-            total(F.greatest(ahead, zero)).alias("missing_keys"),
-            total(F.greatest(-ahead, zero)).alias("extra_keys"),
-        ).select(
-            F.lit(name).alias("table_name"),
-            "*",
-            F.lit(len(narrow_columns(groups[name], key)) - 1).alias("mapped_columns"),
-            F.lit(len([c for c in df.columns if c not in (key, BUCKET)])).alias("found_columns"),
-        )
+    rows = union_all([tagged(wide, 0), *[tagged(tables[t], i) for i, t in enumerate(names, 1)]])
+    counts = [F.count_if(F.col("tag") == i).alias(f"n{i}") for i in range(len(names) + 1)]
+    per_key = rows.groupBy("k").agg(*counts)
+    ahead, zero = F.col("n0") - F.col("n"), F.lit(0).cast("bigint")
+
+    def total(c: Column | str) -> Column:
+        return F.coalesce(F.sum(c), zero)
 
+    each = per_key.select("n0", F.posexplode(F.array(*[F.col(f"n{i}") for i in range(1, len(names) + 1)])).alias("at", "n"))
+    found = each.groupBy("at").agg(
+        total("n0").alias("source_rows"), total("n").alias("rows"),
+        total(F.greatest(ahead, zero)).alias("missing_keys"), total(F.greatest(-ahead, zero)).alias("extra_keys"),
+    )
+    known = rows_frame(
+        wide.sparkSession,
+        [(i, t, len(narrow_columns(groups[t], key)) - 1, len([c for c in tables[t].columns if c not in (key, BUCKET)])) for i, t in enumerate(names)],
+        "at int, table_name string, mapped_columns int, found_columns int",
+    )
+    # Without any key no table has a row; they are listed all the same.
+    numbers = [F.coalesce(c, zero).alias(c) for c in ("source_rows", "rows", "missing_keys", "extra_keys")]
     ok = (F.col("missing_keys") == 0) & (F.col("extra_keys") == 0) & (F.col("mapped_columns") == F.col("found_columns"))
-    return union_all([one(n, df) for n, df in tables.items()]).withColumn("ok", ok)
+    return known.join(found, "at", "left").select("table_name", *numbers, "mapped_columns", "found_columns").withColumn("ok", ok)

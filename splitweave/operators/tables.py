@@ -5,6 +5,9 @@ Statements on names and properties run on the driver, one per table; rows are on
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -12,10 +15,11 @@ from splitweave.functions.keys import BUCKET, BUCKETS, KEY
 from splitweave.functions.text import join_path
 from splitweave.operators.columns import capped_projection, identity_projection, registered_columns
 from splitweave.operators.layout import write_bucketed
-from splitweave.operators.parallel import at_once
+from splitweave.operators.parallel import at_once, failure
 from splitweave.sources.catalog import describe_table, location, partition_names, properties, registered_type, table_exists
 from splitweave.sources.inventory import discover_tables
 from splitweave.sources.local import rows_frame
+from splitweave.sources.paths import child_names
 from splitweave.sources.snapshots import read_marker_under
 
 # Properties that describe virtual partitions.
@@ -77,7 +81,7 @@ def register_external(
             define_table(spark, f"{db}.{table}", found[name], fields, snapshot_comment(dt), props)
             return table, "registered", dropped
         except Exception as e:  # one broken directory must not stop the others
-            return table, f"failed: {str(e).splitlines()[0][:200]}", []
+            return table, failure(e), []
 
     done = list(at_once(spark, register, found).values())
     return rows_frame(spark, done, "table_name string, status string, dropped_columns array<string>")
@@ -130,6 +134,42 @@ def strip_properties(
     return gone
 
 
+def fresh_path(spark: SparkSession, path: str) -> str:
+    """The path if nothing is there yet, else a version of it beside it, so that no file of an older table is touched."""
+    return path if not (child_names(spark, path) or child_names(spark, path, directories=False)) else f"{path.rstrip('/')}-{uuid.uuid4().hex[:12]}"
+
+
+def swap_in(spark: SparkSession, table: str, rows: int, write: Callable[[str], None]) -> None:
+    """Let a table be what ``write(name)`` writes under another name, once it holds ``rows`` rows.
+
+    Until then the table stays as it was; a write that fails or loses rows leaves its old rows readable, and nothing else
+    behind but files. The old table's files stay where they are. A managed table is refused, since dropping it would delete them.
+    """
+    if table_exists(spark, table) and describe_table(spark, table).details.get("Type") == "MANAGED":
+        raise ValueError(f"{table} is a managed table")
+    mark = uuid.uuid4().hex[:12]
+    new, old = f"{table}__new_{mark}", f"{table}__old_{mark}"
+    try:
+        write(new)
+        found = spark.table(new).count()
+        if found != rows:
+            raise RuntimeError(f"{table}: {found} rows were written of {rows}")
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    had = table_exists(spark, table)
+    if had:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    except Exception:
+        if had:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        raise
+    if had:
+        spark.sql(f"DROP TABLE {old}")
+
+
 def create_bucketed(
     spark: SparkSession,
     source: DataFrame,
@@ -140,12 +180,16 @@ def create_bucketed(
     dt: str | None = None,
     max_cols: int | None = None,
 ) -> None:
-    """Bucketed copy: key first, column cap, comment with the snapshot date; an older table is dropped first."""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    write_bucketed(capped_projection(source, key, max_cols), table, path, key, n)
-    spark.sql(f"COMMENT ON TABLE {table} IS {_quoted(snapshot_comment(dt))}")
-    if dt:
-        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('snapshot_dt' = {_quoted(dt)})")
+    """Bucketed copy: key first, column cap, comment with the snapshot date. An older table is replaced when the new one is complete."""
+    rows, place = source.count(), fresh_path(spark, path)
+
+    def write(name: str) -> None:
+        write_bucketed(capped_projection(source, key, max_cols), name, place, key, n)
+        spark.sql(f"COMMENT ON TABLE {name} IS {_quoted(snapshot_comment(dt))}")
+        if dt:
+            spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('snapshot_dt' = {_quoted(dt)})")
+
+    swap_in(spark, table, rows, write)
 
 
 def point_table_at(spark: SparkSession, table: str, path: str) -> None:
@@ -157,15 +201,19 @@ def point_table_at(spark: SparkSession, table: str, path: str) -> None:
 def create_identity_table(
     spark: SparkSession, source: str, target: str, path: str, force: bool = False, key: str = KEY, all_columns: bool = True
 ) -> str:
-    """Copy of a table with ``row_id``, without the partition column: created, skipped or failed."""
+    """Copy of a table with ``row_id``, without the partition column: created, skipped or failed.
+
+    With ``force`` an older copy is replaced when the new one is complete.
+    """
     if not table_exists(spark, source) or (table_exists(spark, target) and not force):
         return "skipped"
     df = spark.table(source)
     if key not in df.columns:
         return "skipped"
-    spark.sql(f"DROP TABLE IF EXISTS {target}")
-    (
-        identity_projection(df, key, all_columns)
-        .write.mode("overwrite").format("parquet").option("path", path).option("compression", "snappy").saveAsTable(target)
-    )
+    place = fresh_path(spark, path)
+
+    def write(name: str) -> None:
+        identity_projection(df, key, all_columns).write.format("parquet").option("path", place).option("compression", "snappy").saveAsTable(name)
+
+    swap_in(spark, target, df.count(), write)
     return "created" if table_exists(spark, target) else "failed"

@@ -5,11 +5,11 @@ from __future__ import annotations
 from datetime import date, datetime
 from math import ceil
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from splitweave.functions.keys import BUCKETS, KEY, bucket_of
-from splitweave.functions.text import IDENTITY_SUFFIX, SOURCE_PREFIX, TABLE_PREFIX, join_path, utc_text
+from splitweave.functions.text import IDENTITY_SUFFIX, SNAPSHOT_COLUMN, SOURCE_PREFIX, TABLE_PREFIX, join_path, utc_text
 from splitweave.operators.columns import (
     canonical_key, mapped_fields, schema_documents, versioned_path, vertical_split,
 )
@@ -24,11 +24,12 @@ from splitweave.operators.tables import (
     create_bucketed, create_identity_table, ensure_partitioned, register_external, repair_partitions, strip_properties,
 )
 from splitweave.sources.catalog import describe_schema, registered_tables, table_names
-from splitweave.sources.inventory import file_inventory, size_by
+from splitweave.sources.footers import listed_files, narrow_sizes, tasks_can_list
+from splitweave.sources.inventory import size_by
 from splitweave.sources.local import rows_frame
 from splitweave.sources.mapping import mapping_columns, mapping_errors
-from splitweave.sources.paths import remove
-from splitweave.sources.snapshots import read_snapshot, resolve_snapshot, write_marker
+from splitweave.sources.paths import remove, shared_scratch
+from splitweave.sources.snapshots import read_snapshot, resolve_snapshot, write_marker, write_sources
 
 SHARE_STEPS = 10_000
 PLAN_DDL = "table_name string, bytes bigint, size_gb double, target_mb int, raw_files int, planned_files int"
@@ -83,6 +84,8 @@ def split_and_part(
     )
     if marker:
         write_marker(spark, target, dt)
+    leaf = join_path(source, f"{SNAPSHOT_COLUMN}={dt}")
+    write_sources(spark, target, id_table if mapping is None else "attributes", [(t, dt, leaf) for t in tables])
     return split_status(wide, mapping, tables, key)
 
 
@@ -90,49 +93,54 @@ def split_and_bucket(
     spark: SparkSession,
     source: str,
     target: str,
-    staging: str,
+    staging: str | None = None,
     mapping: DataFrame | None = None,
     snapshot_dt: str | None = None,
     key: str = KEY,
     n: int = BUCKETS,
     target_file_mb: int | None = None,
     id_table: str = "addressable_ids",
-    measured_share: float = 1.0,
+    measured_share: float | None = None,
 ) -> DataFrame:
-    """As above, but each table becomes a planned number of files clustered by key.
+    """As above, but each table becomes a planned number of files clustered by key. Returns the file plan.
 
-    Every narrow table is staged once; its size decides the file count, and the staged copy, not the wide
-    source, feeds the final write. Returns the file plan. ``staging`` must be a folder all executors reach.
+    The plan comes from the source's Parquet footers: the compressed sizes of a table's columns. Nothing is written to be measured,
+    every row is written once.
 
-    With ``measured_share`` below 1 only that share of the keys, chosen by hash, is staged and the sizes are scaled
-    up; the final write then reads the source. That saves a write of the whole data and plans from an estimate.
+    With ``measured_share`` that share of the keys, chosen by hash, is written to ``staging`` first and its size scaled up, which
+    also measures what the new row order does to compression. A whole staged copy (1.0) then feeds the final write. Sources
+    that only Spark's readers reach are measured whole. ``staging`` must be a folder all executors reach.
     """
     wide, dt = _snapshot(spark, source, snapshot_dt, key)
-    tables = vertical_split(wide, _groups(wide, mapping, id_table, key), key)
+    groups = _groups(wide, mapping, id_table, key)
+    tables = vertical_split(wide, groups, key)
     counts = slot_counts(wide, bucket_of(key, n))
-    staged = {t: join_path(staging, t) for t in tables}
-    whole = measured_share >= 1
-    measured = F.lit(True) if whole else bucket_of(key, SHARE_STEPS) < int(measured_share * SHARE_STEPS)
-    at_once(spark, lambda t: tables[t].where(measured).write.mode("overwrite").parquet(staged[t]), tables)
-    sizes = size_by(file_inventory(spark, list(staged.values())), "directory")
-    table = F.element_at(F.split("directory", "/"), -1).alias("table_name")
-    scaled = F.col("bytes") if whole else F.ceil(F.col("bytes") / measured_share)
-    plan = file_plan(sizes.select(table, scaled.alias("bytes")), target_file_mb)
+    leaf = join_path(source, f"{SNAPSHOT_COLUMN}={dt}")
+    if measured_share is None and not tasks_can_list(leaf):
+        measured_share = 1.0
+    staged: dict[str, str] = {}
+    if measured_share is None:
+        sizes = narrow_sizes(spark, leaf, {t: groups[t] for t in tables}, key)
+    else:
+        staging = staging or shared_scratch(spark, "staging")
+        staged = {t: join_path(staging, t) for t in tables}
+        sizes = _staged_sizes(spark, tables, staged, measured_share, key)
     # A few numbers per table decide how its job is planned.
-    planned = {r["table_name"]: r for r in plan.collect()}
+    planned = {r["table_name"]: r for r in file_plan(sizes, target_file_mb).collect()}
     rows = sum(counts.values())
 
     def write(t: str) -> None:
         p = planned[t]
         # The file counts end at 128; beyond that, and for a hot key, files of twice the target size are cut.
-        max_rows = max(1, ceil(rows * 2 * p["target_mb"] * 1024 * 1024 / p["bytes"]))
-        source_rows = spark.read.parquet(staged[t]) if whole else tables[t]
+        max_rows = max(1, ceil(rows * 2 * p["target_mb"] * 1024 * 1024 / max(1, p["bytes"])))
+        source_rows = spark.read.parquet(staged[t]) if measured_share is not None and measured_share >= 1 else tables[t]
         write_clustered(source_rows, join_path(target, t), key, n, p["planned_files"], counts, max_rows)
 
     at_once(spark, write, tables)
     write_marker(spark, target, dt)
-    written = size_by(file_inventory(spark, [join_path(target, t) for t in tables]), "directory").select(
-        table, F.col("bytes").alias("written_bytes"), F.col("files").alias("written_files")
+    write_sources(spark, target, id_table if mapping is None else "attributes", [(t, dt, leaf) for t in tables])
+    written = size_by(listed_files(spark, [join_path(target, t) for t in tables]), "directory").select(
+        _table_of_directory(), F.col("bytes").alias("written_bytes"), F.col("files").alias("written_files")
     )
     result = rows_frame(spark, [tuple(r) for r in planned.values()], PLAN_DDL).join(written, "table_name", "left")
     for path in staged.values():
@@ -140,6 +148,19 @@ def split_and_bucket(
     return result
 
 
+def _table_of_directory() -> Column:
+    return F.element_at(F.split("directory", "/"), -1).alias("table_name")
+
+
+def _staged_sizes(spark: SparkSession, tables: dict[str, DataFrame], staged: dict[str, str], share: float, key: str) -> DataFrame:
+    """(table_name, bytes) from a staged copy of a share of the keys."""
+    measured = F.lit(True) if share >= 1 else bucket_of(key, SHARE_STEPS) < int(share * SHARE_STEPS)
+    at_once(spark, lambda t: tables[t].where(measured).write.mode("overwrite").parquet(staged[t]), tables)
+    sizes = size_by(listed_files(spark, list(staged.values())), "directory")
+    scaled = F.col("bytes") if share >= 1 else F.ceil(F.col("bytes") / share)
+    return sizes.select(_table_of_directory(), scaled.alias("bytes"))
+
+
 def register_and_prepare(
     spark: SparkSession, db: str, root: str, prefix: str = TABLE_PREFIX, max_cols: int | None = None, key: str = KEY
 ) -> DataFrame:
@@ -192,7 +213,7 @@ def bucketed_build(
             )
             return "created"
         except Exception as e:
-            return f"failed: {str(e).splitlines()[0][:200]}"
+            return failure(e)
 
     done = at_once(spark, build, bases)
     rows = [(target_prefix + b, str(s)) for b, s in done.items()]
@@ -257,7 +278,7 @@ def monitor_and_report(
     found.write.mode("overwrite").parquet(kept)
     detail = spark.read.parquet(kept)
     report = report_rows(detail, checked_at)
-    alerts = alert_rows(detail, n, key, db, source_db, window, strict_snapshot, options.get("source_prefix", SOURCE_PREFIX))
+    alerts = alert_rows(detail, n, key, db, source_db, window, strict_snapshot, options.get("source_prefix", SOURCE_PREFIX), prefix)
     header = spark.range(1).select(
         F.lit(db).alias("database"), F.lit(prefix).alias("prefix"), F.lit(n).alias("bucket_count"),
         utc_text(F.lit(checked_at).cast("timestamp_ntz")).alias("generated_at"),

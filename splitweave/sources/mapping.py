@@ -6,7 +6,7 @@ driver, because table and column names are part of the plans that are built from
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from splitweave.functions.keys import KEY
@@ -20,7 +20,8 @@ def read_mapping(
 ) -> DataFrame:
     """(pos, table_name, column_name) of a CSV with a header; every value is text.
 
-    Without explicit names the first headers that end in TABLE and COLUMN are used.
+    ``pos`` numbers the rows from 0 in the order of the files' names and of the rows in them, for any number of files and of splits
+    of a file. Without explicit names the first headers that end in TABLE and COLUMN are used.
     """
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
 
@@ -30,11 +31,19 @@ def read_mapping(
             raise ValueError(f"no header ends in {word}: {raw.columns}")
         return hits[0]
 
-    return raw.select(
-        F.monotonically_increasing_id().alias("pos"),
+    rows = raw.select(
+        F.monotonically_increasing_id().alias("at"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
         F.col(table_col or ending("TABLE")).alias("table_name"),
         F.col(column_col or ending("COLUMN")).alias("column_name"),
     )
+    # The rows of a block lie together in one task: their place in it and the rows of all blocks before it make the number.
+    blocks = rows.groupBy("file", "start").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    before = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)  # one row for each block
+    offsets = blocks.select("file", "start", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    placed = rows.join(offsets, ["file", "start"])
+    return placed.select((F.col("offset") + F.col("at") - F.col("first")).alias("pos"), "table_name", "column_name")
 
 
 def mapping_groups(mapping: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from splitweave.functions.text import MARKER_PATH, SNAPSHOT_COLUMN, join_path, normalize_path
+from splitweave.functions.text import MARKER_PATH, SNAPSHOT_COLUMN, SOURCES_PATH, join_path, normalize_path
+from splitweave.sources.local import rows_frame
 from splitweave.sources.paths import child_names
 
 SNAPSHOT_DIR = re.compile(r"snapshot_dt=(\d{4}-\d{2}-\d{2})")
@@ -60,3 +61,19 @@ def read_marker_under(spark: SparkSession, root: str) -> str | None:
 def read_marker(spark: SparkSession, location: str) -> str | None:
     """Snapshot date kept next to a table's directory; None when nobody wrote it."""
     return read_marker_under(spark, normalize_path(join_path(location, "..")))
+
+
+def write_sources(spark: SparkSession, root: str, group: str, rows: list[tuple[str, str, str]]) -> None:
+    """(table, snapshot date, source directory) of tables under ``root``; a later call for the group replaces its rows."""
+    lowered = [(t.lower(), dt, path) for t, dt, path in rows]
+    sources = rows_frame(spark, lowered, "table_name string, snapshot_dt string, source string")
+    sources.coalesce(1).write.mode("overwrite").json(join_path(root, SOURCES_PATH, group))
+
+
+def read_sources(spark: SparkSession, root: str) -> dict[str, tuple[str, str]]:
+    """{table: (snapshot date, source directory)} of the tables under ``root``: a few words for each; none when nobody wrote them."""
+    places = [join_path(root, SOURCES_PATH, g) for g in child_names(spark, join_path(root, SOURCES_PATH))]
+    if not places:
+        return {}
+    rows = spark.read.schema("table_name string, snapshot_dt string, source string").json(places).collect()
+    return {r["table_name"]: (r["snapshot_dt"], r["source"]) for r in rows}
