@@ -214,6 +214,16 @@ def aggregate_by_rule_query(spark, sf):
     return aggregate_by_rule(read(spark, sf, "events"), rule, ["event_type"], aggs)
 
 
+@query("aggregate_by_rule_scalar", """SELECT upper(event_type) AS kind, count(user_id) AS events, max(floor(value)) AS most FROM events
+  GROUP BY 1 HAVING count(DISTINCT user_id) >= 2""")
+def aggregate_by_rule_scalar_query(spark, sf):
+    """Columns derived by scalar functions that the rule names."""
+    rule = analysis_rule("aggregation", columns=["user_id", "event_type", "value"], functions=["UPPER", "FLOOR"])
+    aggs = {"events": ("count", "user_id"), "most": ("max", "whole")}
+    out = aggregate_by_rule(read(spark, sf, "events"), rule, ["kind"], aggs, {"kind": ("upper", "event_type"), "whole": ("floor", "value")})
+    return out.withColumn("most", F.col("most").cast("double"))
+
+
 @query("overlap_by_rule", """SELECT c_mktsegment, count(DISTINCT user_id) AS people, max(value) AS most
   FROM customer JOIN events ON c_custkey = user_id GROUP BY c_mktsegment
   HAVING count(DISTINCT user_id) >= 5 AND count(DISTINCT event_type) >= 2""")

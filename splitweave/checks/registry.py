@@ -8,6 +8,7 @@ from splitweave.checks.registered import query
 from splitweave.checks.views import ACCOUNT_A, ACCOUNT_B, AS_OF, LABELS, REGISTRY, read, registry
 from splitweave.functions.policy import list_add, providers, receivers
 from splitweave.functions.text import (
+    join_path,
     account_list, arn_part, arn_path, association_name, base_name, file_safe, method_label, or_na, part_name, registered_name,
     schema_name, snapshot_in_path, source_name, utc_text, yes_no,
 )
@@ -17,6 +18,8 @@ from splitweave.operators.monitor import check_freshness
 from splitweave.operators.registry import (
     add_provider_plan, change_plan, not_ready, query_ready, readiness, readiness_report, readiness_summary,
 )
+from splitweave.plans.pipelines import identity_and_report
+from splitweave.sources.paths import shared_scratch
 from splitweave.operators.sets import column_drift, config_drift, drift_by_table, match_summary, state_check, status_counts
 
 
@@ -139,6 +142,13 @@ def readiness_report_query(spark, sf):
     return readiness_report(joined(spark, sf), LABELS)
 
 
+@query("readiness_report_named", f"""WITH {REGISTRY} SELECT 'Spring' AS collaboration_name, CASE WHEN configured THEN table_name ELSE 'N/A' END AS configured_table_name,
+  table_name, CASE WHEN ready THEN 'Yes' ELSE 'No' END AS ready_for_analysis FROM ready""")
+def readiness_report_named_query(spark, sf):
+    report = readiness_report(joined(spark, sf), LABELS, "Spring")
+    return report.select("collaboration_name", "configured_table_name", "table_name", "ready_for_analysis")
+
+
 @query("readiness_summary", f"""WITH {REGISTRY} SELECT count(*) AS tables, count(*) FILTER (WHERE configured) AS configured,
   count(*) FILTER (WHERE has_rule) AS with_rule, count(*) FILTER (WHERE associated) AS associated, count(*) FILTER (WHERE ready) AS ready FROM ready""")
 def readiness_summary_query(spark, sf):
@@ -309,3 +319,11 @@ def namespace_rows_query(spark, sf):
   CASE WHEN k % 7 = 0 OR k % 5 = 0 THEN 'N/A' WHEN k % 4 = 0 THEN 'AML' ELSE 'AXM' END AS match_key FROM ns""")
 def identity_report_query(spark, sf):
     return identity_report(_namespaces(spark, sf), _mappings(spark, sf))
+
+
+@query("identity_report_named", f"""WITH {NAMESPACES} SELECT 'Spring' AS collaboration_name, name, method, coalesce(lower(schema_name), 'N/A') AS schema_name FROM ns""")
+def identity_report_named_query(spark, sf):
+    """Read back from the CSV it was written to."""
+    path = shared_scratch(spark, "identity-report")
+    identity_and_report(spark, path, _namespaces(spark, sf), _mappings(spark, sf), "Spring")
+    return spark.read.option("header", True).csv(join_path(path, "csv")).select("collaboration_name", "name", "method", "schema_name")

@@ -149,12 +149,14 @@ def schema_fields(mappings: DataFrame) -> DataFrame:
     )
 
 
-def identity_report(namespaces: DataFrame, mappings: DataFrame) -> DataFrame:
-    """One row per namespace with the schema mapping of the same name in any case."""
+def identity_report(namespaces: DataFrame, mappings: DataFrame, collaboration: str | None = None) -> DataFrame:
+    """One row per namespace with the schema mapping of the same name in any case; with ``collaboration`` its name comes first."""
     fields = first_per_group(schema_fields(mappings), ["schema_upper"], [F.asc("mapping_name")])
     rows = namespace_rows(namespaces).withColumn("schema_upper", F.upper("schema_name"))
     joined = rows.join(fields, "schema_upper", "left")
+    named = [] if collaboration is None else [F.lit(collaboration).alias("collaboration_name")]
     return joined.select(
+        *named,
         "name",
         "method",
         *[or_na(c).alias(c) for c in ("source_db", "region", "table_name")],

@@ -150,6 +150,7 @@ def alert_rows(
     percent = F.format_string("%.3f", F.col("count_diff_pct").try_cast("double"))
     problems = F.array_join("contract_problems", ", ")
     files = F.array_join(F.slice("file_issues", 1, 3), ", ")
+    more = F.when(F.col("file_issue_count") > 3, said("]... of ", F.col("file_issue_count"))).otherwise(F.lit("]..."))
     stale = F.lit(strict_snapshot) & F.col("stale")
     no_source = F.col("count_checked") & ~F.col("source_found")
     checks = [
@@ -167,7 +168,7 @@ def alert_rows(
         ),
         (F.col("pk_nulls") > 0, ["[PK_NULL] ", name, f": {key} NULL rows=", F.col("pk_nulls")]),
         (F.col("pk_dupes") > 0, ["[PK_DUPES] ", name, f": {key} duplicate rows=", F.col("pk_dupes")]),
-        (F.size("file_issues") > 0, [name, ": file-size issues (sample): [", files, "]..."]),
+        (F.size("file_issues") > 0, [name, ": file-size issues (sample): [", files, more]),
     ]
     texts = F.array_compact(F.array(*[F.when(hit, said(*parts)) for hit, parts in checks]))
     return detail.select("table_name", F.posexplode(texts).alias("position", "alert"))
@@ -234,7 +235,7 @@ def _with_file_issues(spark: SparkSession, detail: DataFrame, places: list[str],
 
     ordered = F.array_sort(F.collect_list(F.struct(BUCKET, "path", "issue")))
     issues = file_size_issues(listed_files(spark, places), *size_mb, sample=20).groupBy(bare("directory").alias("_place")).agg(
-        F.transform(ordered, lambda x: x["issue"]).alias("file_issues")
+        F.transform(ordered, lambda x: x["issue"]).alias("file_issues"), F.max("issues").alias("file_issue_count")
     )
     return detail.join(issues, bare("location") == F.col("_place"), "left").drop("_place")
 
@@ -294,7 +295,7 @@ def monitor(
     if file_size_check:
         detail = _with_file_issues(spark, detail, list(where.values()), file_size_mb)
     else:
-        detail = detail.withColumn("file_issues", F.lit(None).cast("array<string>"))
+        detail = detail.withColumns({"file_issues": F.lit(None).cast("array<string>"), "file_issue_count": F.lit(None).cast("bigint")})
     detail = detail.withColumn("file_issues", F.coalesce("file_issues", F.array().cast("array<string>")))
     return with_input_source(detail, data_bucket)
 

@@ -52,9 +52,32 @@ def _outside(named: Iterable[str], allowed: list[str], what: str) -> None:
 ANY_FUNCTION = "ALLOWED"
 
 
-def _aggregation(rule: str, dims: list[str], aggs: Aggs) -> list[dict]:
-    """The output constraints of an aggregation rule document, after checking that it allows the dimensions and aggregates."""
+# Scalar functions of one column that a rule document may name, and the word that allows all of them.
+SCALARS = ("ABS", "CEILING", "FLOOR", "LN", "LOWER", "ROUND", "RTRIM", "SQRT", "TRIM", "UPPER")
+ANY_SCALAR = "ALL"
+Scalars = dict[str, tuple[str, str]]
+
+
+def _scalar(df: DataFrame, scalars: Scalars, allowed: list[str]) -> DataFrame:
+    """The derived columns that this side has the inputs of, after checking that the rule names their functions."""
+    named = {f.upper() for f, _ in scalars.values()}
+    _outside(named, SCALARS, "scalar functions")
+    if ANY_SCALAR not in allowed:
+        _outside(named, [f.upper() for f in allowed], "scalar functions")
+    for name, (f, c) in scalars.items():
+        if c in df.columns:
+            df = df.withColumn(name, F.call_function(f.lower(), F.col(c)))
+    return df
+
+
+def _aggregation(rule: str, dims: list[str], aggs: Aggs, scalars: Scalars | None = None) -> list[dict]:
+    """The output constraints of an aggregation rule document, after checking that it allows the dimensions and aggregates.
+
+    A derived column is allowed where the column it comes from is.
+    """
     body = json.loads(rule)["v1"]["aggregation"]
+    of = lambda c: (scalars or {}).get(c, (None, c))[1]
+    dims, aggs = [of(d) for d in dims], {n: (f, of(c)) for n, (f, c) in aggs.items()}
     _outside(dims, body["dimensionColumns"], "dimensions")
     groups = body["aggregateColumns"]
     _outside({c for _, c in aggs.values()}, [c for g in groups for c in g["columnNames"]], "columns")
@@ -76,20 +99,29 @@ def _constrained(aggregate: Callable[[Aggs, str, int], DataFrame], aggs: Aggs, l
     return out.drop(*hidden)
 
 
-def aggregate_by_rule(df: DataFrame, rule: str, dims: list[str], aggs: Aggs) -> DataFrame:
+def aggregate_by_rule(df: DataFrame, rule: str, dims: list[str], aggs: Aggs, scalars: Scalars | None = None) -> DataFrame:
     """``private_aggregate`` under an aggregation rule document: its columns, its functions for each, its minimum.
 
-    A rule without an output constraint is refused.
+    ``scalars`` is {new column: (function, column)}; the rule must name the function among its scalar functions. A rule without an
+    output constraint is refused.
     """
-    limits = _aggregation(rule, dims, aggs)
-    return _constrained(lambda all_, column, minimum: private_aggregate(df, dims, all_, column, minimum), aggs, limits)
+    limits = _aggregation(rule, dims, aggs, scalars)
+    rows = _scalar(df, scalars or {}, json.loads(rule)["v1"]["aggregation"].get("scalarFunctions", []))
+    return _constrained(lambda all_, column, minimum: private_aggregate(rows, dims, all_, column, minimum), aggs, limits)
+
 
+def overlap_by_rule(a: DataFrame, b: DataFrame, rule: str, on: list[str], dims: list[str], aggs: Aggs, scalars: Scalars | None = None) -> DataFrame:
+    """``private_overlap`` under an aggregation rule document, which must allow the join columns and scalar functions too.
 
-def overlap_by_rule(a: DataFrame, b: DataFrame, rule: str, on: list[str], dims: list[str], aggs: Aggs) -> DataFrame:
-    """``private_overlap`` under an aggregation rule document, which must allow the join columns too."""
-    _outside(on, json.loads(rule)["v1"]["aggregation"]["joinColumns"], "join columns")
-    limits = _aggregation(rule, dims, aggs)
-    return _constrained(lambda all_, column, minimum: private_overlap(a, b, on, dims, all_, column, minimum), aggs, limits)
+    Several join columns must all be equal; a rule that lists join operators must have AND among them then.
+    """
+    body = json.loads(rule)["v1"]["aggregation"]
+    _outside(on, body["joinColumns"], "join columns")
+    if len(on) > 1 and "AND" not in body.get("allowedJoinOperators", ["AND"]):
+        raise ValueError("the rule does not allow join columns to be combined with AND")
+    limits = _aggregation(rule, dims, aggs, scalars)
+    left, right = (_scalar(df, scalars or {}, body.get("scalarFunctions", [])) for df in (a, b))
+    return _constrained(lambda all_, column, minimum: private_overlap(left, right, on, dims, all_, column, minimum), aggs, limits)
 
 
 def list_by_rule(a: DataFrame, b: DataFrame, rule: str, join_cols: list[str], list_cols: list[str]) -> DataFrame:

@@ -22,10 +22,10 @@ def readiness(joined: DataFrame) -> DataFrame:
     ).withColumn("ready", F.col("configured") & F.col("has_rule") & F.col("associated") & (F.size("providers") > 0))
 
 
-def readiness_report(joined: DataFrame, account_labels: dict[str, str] | None = None) -> DataFrame:
+def readiness_report(joined: DataFrame, account_labels: dict[str, str] | None = None, collaboration: str | None = None) -> DataFrame:
     """The printed report: Yes/No and N/A cells, associated tables first, then by name.
 
-    ``column_count``, ``partition_keys``, ``allowed_columns_count``, ``analysis_method`` and ``result_rule`` are
+    With ``collaboration`` its name and that of the configured table are told too. ``column_count``, ``partition_keys``, ``allowed_columns_count``, ``analysis_method`` and ``result_rule`` are
     used when the registry has them.
     """
     has = set(joined.columns)
@@ -36,7 +36,12 @@ def readiness_report(joined: DataFrame, account_labels: dict[str, str] | None =
         "analysis_method": or_na("analysis_method") if "analysis_method" in has else F.lit("N/A"),
         "result_rule_exists": yes_no(F.col("result_rule").isNotNull()) if "result_rule" in has else F.lit("No"),
     }
+    named = [] if collaboration is None else [
+        F.lit(collaboration).alias("collaboration_name"),
+        or_na(F.when(F.col("configured"), F.col("table_name"))).alias("configured_table_name"),
+    ]
     report = readiness(joined).select(
+        *named,
         "table_name",
         yes_no(F.lit(True)).alias("registered"),
         yes_no(F.col("configured")).alias("configured_table_exists"),

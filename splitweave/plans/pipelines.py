@@ -13,6 +13,7 @@ from splitweave.functions.text import IDENTITY_SUFFIX, SNAPSHOT_COLUMN, SOURCE_P
 from splitweave.operators.columns import (
     canonical_key, mapped_fields, schema_documents, versioned_path, vertical_split,
 )
+from splitweave.operators.identity import identity_report
 from splitweave.operators.joins import registry_join
 from splitweave.operators.layout import TARGET_MB, file_plan, slot_counts, write_clustered, write_parts
 from splitweave.operators.monitor import REPORT_COLUMNS, alert_rows, auto_repair, monitor, report_rows
@@ -307,10 +308,11 @@ def readiness_and_report(
     prefix: str = TABLE_PREFIX,
     exclude: tuple[str, ...] = ("part_addressable_ids", "part_addressable_ids_er"),
     formats: tuple[str, ...] = ("json", "csv"),
+    collaboration: str | None = None,
 ) -> DataFrame:
     """Readiness of the registered tables against the registry, written as JSON lines and CSV below ``path``."""
     joined = registry_join(registered_tables(spark, db, prefix, list(exclude)), configured, rules, associations)
-    report = readiness_report(joined, account_labels)
+    report = readiness_report(joined, account_labels, collaboration)
     ready = readiness(joined)
     if "json" in formats:
         write_report_json(readiness_summary(ready), report, not_ready(ready), join_path(path, "json"))
@@ -319,6 +321,18 @@ def readiness_and_report(
     return report
 
 
+def identity_and_report(
+    spark: SparkSession, path: str, namespaces: DataFrame, mappings: DataFrame, collaboration: str | None = None, formats: tuple[str, ...] = ("json", "csv")
+) -> DataFrame:
+    """The identity report, written as JSON lines and CSV below ``path``."""
+    report = identity_report(namespaces, mappings, collaboration)
+    if "json" in formats:
+        report.write.mode("overwrite").json(join_path(path, "json"))
+    if "csv" in formats:
+        write_report_csv(report, join_path(path, "csv"))
+    return report
+
+
 def refresh(
     spark: SparkSession,
     db: str,

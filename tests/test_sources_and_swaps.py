@@ -1,5 +1,6 @@
 """Footers, listings, file order, swaps, count checks that can fail, one-scan checks."""
 
+import json
 import os
 
 import pytest
@@ -8,17 +9,19 @@ from pyspark.sql import functions as F
 from plans import count, plan
 from splitweave.checks.layout import narrow
 from splitweave.checks.monitoring import _refreshed_with_defects
-from splitweave.checks.views import N, mapping, read, stored_wide, wide_snapshots
+from splitweave.checks.views import N, id_snapshots, mapping, read, stored_wide, wide_snapshots
 from splitweave.functions.text import join_path
 from splitweave.operators.columns import vertical_split
 from splitweave.operators.identity import map_identities_by_rules
 from splitweave.operators.joins import reassemble_bucketed
 from splitweave.operators.layout import write_bucketed, write_ranges
 from splitweave.operators.monitor import contract_problems, monitor
-from splitweave.operators.privacy import private_overlap
+from splitweave.functions.policy import analysis_rule
+from splitweave.operators.privacy import aggregate_by_rule, overlap_by_rule, private_overlap
 from splitweave.operators.quality import check_split
 from splitweave.operators.tables import create_bucketed, create_identity_table, fresh_path, swap_in
 from splitweave.plans.pipelines import split_and_bucket
+from splitweave.plans.submit import _parser, run
 from splitweave.sources.footers import footers, listed_files, narrow_sizes, tasks_can_list
 from splitweave.sources.inventory import file_inventory
 from splitweave.sources.mapping import mapping_columns, read_mapping
@@ -279,3 +282,46 @@ def test_ranges_cut_only_keys_that_outgrow_a_file(spark):
     sizes = [r[1] for r in back.groupBy(F.col("_metadata.file_path")).count().collect()]
     assert max(sizes) <= 2600
     assert write_ranges(df.limit(0), shared_scratch(spark, "none")).count() == 0
+
+
+# -- rules, options
+
+
+def test_rules_enforce_scalar_functions_and_operators(spark):
+    rows = spark.createDataFrame([(i, f"x{i % 2}", -1.5) for i in range(6)], "k int, c string, v double")
+    aggs = {"n": ("count", "k")}
+    rule = analysis_rule("aggregation", columns=["k", "c", "v"], joins=["k", "c"], functions=["UPPER"])
+    assert rows_of_rule(aggregate_by_rule(rows, rule, ["u"], aggs, {"u": ("upper", "c")})) == [("X0", 3), ("X1", 3)]
+    for scalars in ({"u": ("lower", "c")}, {"u": ("reverse", "c")}):
+        with pytest.raises(ValueError, match="scalar functions not allowed"):
+            aggregate_by_rule(rows, rule, ["u"], aggs, scalars)
+    every = analysis_rule("aggregation", columns=["k", "c", "v"])
+    assert rows_of_rule(aggregate_by_rule(rows, every, ["a"], aggs, {"a": ("abs", "v")})) == [(1.5, 6)]
+    with pytest.raises(ValueError, match="dimensions not allowed"):
+        aggregate_by_rule(rows, analysis_rule("aggregation", columns=["k"]), ["u"], aggs, {"u": ("upper", "c")})
+    either = json.loads(rule)
+    either["v1"]["aggregation"]["allowedJoinOperators"] = ["OR"]
+    with pytest.raises(ValueError, match="AND"):
+        overlap_by_rule(rows, rows.select("k", "c"), json.dumps(either), ["k", "c"], ["c"], aggs)
+
+
+def rows_of_rule(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def test_command_line_of_refresh_readiness_and_monitor(spark, sf, db, tmp_path):
+    paths = {"mapping": str(tmp_path / "m.csv")}
+    (tmp_path / "m.csv").write_text("A_TABLE,A_COLUMN\nGEO_01,n_name\nGEO_01,r_name\n")
+    for name, line in (("configured", {"name": "part_geo_01", "id": "c1"}), ("rules", {"id": "c1", "document": "{}"}), ("associations", {"association_name": "acx_part_geo_01", "result_rule": None})):
+        paths[name] = str(tmp_path / f"{name}.json")
+        (tmp_path / f"{name}.json").write_text(json.dumps(line) + "\n")
+    registry = f"--configured {paths['configured']} --rules {paths['rules']} --associations {paths['associations']} --collaboration Spring"
+    target = shared_scratch(spark, "cli")
+    line = f"refresh --database {db} --ids {id_snapshots(spark, sf)} --attributes {wide_snapshots(spark, sf)} --mapping {paths['mapping']} --target {target} --bucket-count 4 {registry}"
+    done = {(r["step"], r["table_name"], r["status"]) for r in run(spark, _parser().parse_args(line.split())).collect()}
+    assert ("monitor", "part_geo_01", "ok") in done and ("readiness", "part_geo_01", "not_ready") in done
+    report = run(spark, _parser().parse_args(f"readiness --database {db} --target {target}_r {registry}".split()))
+    assert {(r["collaboration_name"], r["configured_table_name"]) for r in report.collect()} == {("Spring", "part_geo_01"), ("Spring", "N/A")}
+    line = f"monitor --database {db} --target {target}_m --bucket-count 4 --no-count-check --file-size-check --file-size-min-mb 0 --file-size-max-mb 0.000001 --source-prefix src_"
+    alerts = [r["alert"] for r in run(spark, _parser().parse_args(line.split())).collect()]
+    assert sum("file-size issues (sample)" in a and "]... of 4" in a for a in alerts) == 2 and not any("COUNT" in a or "not found" in a for a in alerts)
