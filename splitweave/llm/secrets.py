@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,10 +30,13 @@ KINDS = ("assign", "access", "hex", "literal")
 
 # What makes a name sensitive: one word of the first kind, or one of the second beside "key".
 TELLING = {"password", "passwd", "passphrase", "passcode", "pwd", "pass", "secret", "secrets", "token", "tokens", "credential", "credentials", "apikey", "privatekey", "secretkey", "accesskey", "authkey"}
+PASSES = {"password", "passwd", "passphrase", "passcode", "pwd", "pass"}
 BESIDE_KEY = {"api", "private", "access", "auth", "signing", "encryption", "master", "service", "account", "storage", "shared", "client", "deploy", "license", "session", "crypt", "hmac"}
 STEMS = ("pass", "pwd", "secret", "token", "credential", "key")
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|change_?me.*|your[_-].*|example.*|placeholder.*|todo|none|null|true|false|undefined|redacted|<.*>|\$\{.*\}|\{\{.*\}\}|%.*%|\$[a-z_]+)$")
 LEAST_LITERAL = 8
+LEAST_OPAQUE = 10  # characters of a quoted literal of one kind
+LEAST_WORDS = 4  # of a passphrase
 LEAST_SCORE = 1.0
 
 TOKEN = re.compile(r"""(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`(?:[^`\\\n]|\\.)*`)|(?P<op>:=|=>|==|!=|<=|>=|[=:+])|(?P<name>[A-Za-z_$][A-Za-z0-9_$]*(?:[.-][A-Za-z0-9_$]+)*)|(?P<end>\n|;|,|\#|//)|(?P<bare>[^\s"'`=:+,;\#(){}<>\[\]]+)""")
@@ -46,61 +51,128 @@ def name_score(name: str) -> float:
     return 0.9 if "key" in words and any(w in BESIDE_KEY for w in words) else 0.0
 
 
+def spread_score(counts: Counter, length: int) -> float:
+    """Grows with the kinds of characters and with their entropy; 0 for one kind."""
+    kinds = sum((any(c.islower() for c in counts), any(c.isupper() for c in counts), any(c.isdigit() for c in counts), any(not c.isalnum() for c in counts)))
+    entropy = -sum(n / length * math.log2(n / length) for n in counts.values())
+    return 0.0 if kinds < 2 else min(1.5, 0.25 * kinds + entropy / 4)
+
+
 def literal_score(text: str) -> float:
     """0 for placeholders, short and plain words; grows with the kinds of characters and with their entropy."""
     if len(text) < LEAST_LITERAL or PLACEHOLDER.match(text) or len(set(text)) < 4 or any(c.isspace() for c in text):
         return 0.0
-    kinds = sum((any(c.islower() for c in text), any(c.isupper() for c in text), any(c.isdigit() for c in text), any(not c.isalnum() for c in text)))
-    entropy = -sum(n / len(text) * math.log2(n / len(text)) for n in Counter(text).values())
-    return 0.0 if kinds < 2 else min(1.5, 0.25 * kinds + entropy / 4)
+    return spread_score(Counter(text), len(text))
+
+
+def opaque(name: str, text: str) -> bool:
+    """Whether a quoted literal of a name that tells by itself is a secret though it has one kind of character: no word of such names, many
+    different characters, or, for a password, plain words in a row."""
+    if PLACEHOLDER.match(text) or any(s in text.lower() for s in STEMS):
+        return False
+    if any(c.isspace() for c in text):
+        said = {w.lower() for w in WORD.findall(name)}
+        return bool(said & PASSES) and len(text.split()) >= LEAST_WORDS and all(w.isalpha() and w.islower() for w in text.split())
+    return len(text) >= LEAST_OPAQUE and len(set(text)) >= 7
 
 
 Literal = tuple[int, int, str]  # start and end of the text between the quotes; what it says
 
 
-def assignments(text: str) -> Iterator[tuple[str, list[Literal]]]:
-    """Every assigned name with the literals that reach it, constants followed."""
-    constants: dict[str, list[Literal]] = {}
+class Value:
+    """What is assigned: literals and earlier values, in order. An earlier value is shared, not copied, so that no chain of
+    assignments grows faster than the text; what its characters add up to is known at once."""
+
+    __slots__ = ("parts", "counts", "length", "blank", "many", "told")
+
+    def __init__(self):
+        self.parts: list[Literal | Value] = []
+        self.told = False
+
+    def close(self) -> None:
+        self.counts, self.length, self.blank, self.many = Counter(), 0, False, len(self.parts) > 1
+        for p in self.parts:
+            if isinstance(p, Value):
+                self.counts.update(p.counts)
+                self.length, self.blank, self.many = self.length + p.length, self.blank or p.blank, self.many or p.many
+            else:
+                self.counts.update(p[2])
+                self.length, self.blank = self.length + len(p[2]), self.blank or any(c.isspace() for c in p[2])
+
+    def score(self) -> float:
+        if self.many:
+            return 0.0 if self.blank or self.length < LEAST_LITERAL or len(self.counts) < 4 else spread_score(self.counts, self.length)
+        first = self.parts[0]
+        return first.score() if isinstance(first, Value) else literal_score(first[2])
+
+    def literals(self) -> Iterator[Literal]:
+        """Every literal that reaches the value and was not told before."""
+        todo = [self]
+        while todo:
+            v = todo.pop()
+            if not v.told:
+                v.told = True
+                for p in v.parts:
+                    if isinstance(p, Value):
+                        todo.append(p)
+                    else:
+                        yield p
+
+
+def assignments(text: str) -> Iterator[tuple[str, Value]]:
+    """Every assigned name with what is assigned, constants followed."""
+    constants: dict[str, Value] = {}
     name: str | None = None
     target: str | None = None
-    value: list[Literal] = []
+    value = Value()
+
+    def touches(start: int) -> bool:
+        return bool(value.parts) and not isinstance(value.parts[-1], Value) and value.parts[-1][1] == start
+
+    def longer(end: int, said: str) -> None:
+        start, _, before = value.parts[-1]
+        value.parts[-1] = (start, end, before + said)
+
     for m in TOKEN.finditer(text + "\n"):
         kind, said = m.lastgroup, m[0]
-        touches = bool(value) and value[-1][1] == m.start()
         if kind == "end":
-            if target is not None and value:
+            if target is not None and value.parts:
+                value.close()
                 constants[target] = value
                 yield target, value
-            name, target, value = None, None, []
+            name, target, value = None, None, Value()
         elif kind == "op" and target is None:
             target = name if said in ASSIGNS else None
             name = None
-        elif kind == "op" and touches:  # part of a bare value
-            value[-1] = (value[-1][0], m.end(), value[-1][2] + said)
+        elif kind == "op" and touches(m.start()):  # part of a bare value
+            longer(m.end(), said)
         elif kind == "op" and said in ("=", ":="):  # what stood before it was a type or a further name
-            value = []
+            value = Value()
         elif kind == "string" and target is not None:
-            value.append((m.start() + 1, m.end() - 1, said[1:-1]))
+            value.parts.append((m.start() + 1, m.end() - 1, said[1:-1]))
         elif kind == "string":
             name = said[1:-1]
         elif target is None:
             name = said if kind == "name" else name
         elif kind == "name" and said in constants:
-            value += constants[said]
-        elif touches:
-            value[-1] = (value[-1][0], m.end(), value[-1][2] + said)
-        elif not value:
-            value = [(m.start(), m.end(), said)]
+            value.parts.append(constants[said])
+        elif touches(m.start()):
+            longer(m.end(), said)
+        elif not value.parts:
+            value.parts = [(m.start(), m.end(), said)]
 
 
 def lexed(text: str) -> set[tuple[int, int]]:
     """Spans of the literals that reach a sensitive name and look like secrets."""
     out = set()
-    for name, literals in assignments(text):
+    for name, value in assignments(text):
         score = name_score(name)
-        if score:
-            whole = literal_score("".join(x[2] for x in literals))
-            out |= {(a, b) for a, b, t in literals if score * (whole if len(literals) > 1 else literal_score(t)) >= LEAST_SCORE}
+        if score and score * value.score() >= LEAST_SCORE:
+            out |= {(a, b) for a, b, _ in value.literals()}
+        elif score == 1.0 and len(value.parts) == 1 and not isinstance(value.parts[0], Value):
+            a, b, t = value.parts[0]
+            if text[a - 1 : a] in ("'", '"', "`") and opaque(name, t):
+                out.add((a, b))
     return out
 
 
@@ -122,8 +194,13 @@ def all_spans(text: str) -> list[tuple[int, int, int]]:
     low = text.lower()
     if not (any(s in low for s in STEMS) and ("=" in text or ":" in text)):
         return base
-    more = [(a, 3, b) for a, b in lexed(text) if not any(s <= a and b <= e for s, _, e in base)]
-    return sorted(base + more)
+    if not (found := sorted(lexed(text))):
+        return base
+    # Of the base spans that begin at or before a literal, the one that reaches farthest holds it if any does.
+    starts = [s for s, _, _ in base]
+    reach = list(accumulate((e for _, _, e in base), max))
+    held = lambda a, b: (k := bisect_right(starts, a)) > 0 and reach[k - 1] >= b
+    return sorted(base + [(a, 3, b) for a, b in found if not held(a, b)])
 
 
 SPANS = ArrayType(StructType([StructField("kind", StringType()), StructField("start", LongType()), StructField("end", LongType())]))
