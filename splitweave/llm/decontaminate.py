@@ -78,21 +78,31 @@ def probes(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def item_hashes(items: DataFrame) -> DataFrame:
-    """(item_id, words array<long>, hash, pos): a row for each window of each item."""
+    """(item_id, tie, hash, pos, mask): a row for each window of each item; tie tells items apart that share an id."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             h, first = words(*utf8(b.column(1)))
-            out: list[tuple] = []
-            for i, item in enumerate(b.column(0).to_pylist()):
+            for i, (item, tie) in enumerate(zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)):
                 own = h[first[i] : first[i + 1]]
                 for m in seeds(len(own)):
-                    out += [(item, own.view(np.int64), x, p, len(m), m) for p, x in enumerate(windows(own, m).view(np.int64).tolist())]
-            names = ["item_id", "words", "hash", "pos", "span", "mask"]
-            kinds = [pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int32(), pa.int32(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], t) for j, t in enumerate(kinds)], names)
+                    w = windows(own, m).view(np.int64)
+                    kinds = (pa.array([item] * len(w), pa.int64()), pa.array([tie] * len(w), pa.int64()), pa.array(w), pa.array(np.arange(len(w), dtype=np.int32)), pa.array([m] * len(w), pa.string()))
+                    yield pa.RecordBatch.from_arrays(list(kinds), ["item_id", "tie", "hash", "pos", "mask"])
 
-    return items.mapInArrow(work, "item_id long, words array<long>, hash long, pos int, span int, mask string")
+    return items.mapInArrow(work, "item_id long, tie long, hash long, pos int, mask string")
+
+
+def item_words(items: DataFrame) -> DataFrame:
+    """(item_id, tie, item_words array<long>): the hashed words of each item, once."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h, first = words(*utf8(b.column(1)))
+            own = pa.ListArray.from_arrays(pa.array(np.asarray(first, np.int32)), pa.array(h.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), own], ["item_id", "tie", "item_words"])
+
+    return items.mapInArrow(work, "item_id long, tie long, item_words array<long>").dropDuplicates(["item_id", "tie"])
 
 
 def presence(hashes: DataFrame, bits: int) -> np.ndarray:
@@ -110,7 +120,7 @@ def presence(hashes: DataFrame, bits: int) -> np.ndarray:
     return out.view(np.uint8)
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 13, ratio: float = 0.8, id_column: str = "doc_id", item_column: str = "item_id", text: str = "text") -> DataFrame:
+def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 13, ratio: float = 0.8, id_column: str = "doc_id", item_column: str = "item_id", text: str = "text", item_text: str | None = None) -> DataFrame:
     """(doc_id, item_id, matched, aligned, start): documents that hold a passage of a benchmark item, one row for each pair.
 
     A hit is a window of a document whose counted words equal those of a window of an item. Around a hit, document and item
@@ -124,8 +134,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 13, ratio:
     """
     spark = docs.sparkSession
     small_batches(spark)
-    prepared = lambda df, c: df.select(F.col(c).cast("long").alias("id"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("text")).where("id is not null")
-    tests = written(item_hashes(prepared(benchmark, item_column)), "tests")
+    prepared = lambda df, c, t: df.select(F.col(c).cast("long").alias("id"), F.lower(F.coalesce(F.col(t), F.lit(""))).alias("text")).where("id is not null")
+    items = prepared(benchmark, item_column, item_text or text).withColumn("tie", F.xxhash64("text"))
+    tests = written(item_hashes(items), "tests")
     shown = {r["mask"] for r in tests.select("mask").distinct().collect()}  # the fixed masks and at most one for each short length
     bitmap = spark.sparkContext.broadcast(presence(tests, FILTER_BITS))
 
@@ -141,11 +152,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 13, ratio:
             hit_kind = pa.list_(pa.struct([("at", pa.int32()), ("hash", pa.int64())]))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.list_(pa.int64()), hit_kind))], names)
 
-    found = written(prepared(docs, id_column).mapInArrow(scan, "doc_id long, region long, words array<long>, hits array<struct<at:int,hash:long>>"), "regions")
-    hit = found.select("doc_id", "region", F.explode("hits").alias("hit")).select("doc_id", "region", "hit.at", "hit.hash")
-    lined = hit.join(tests.select("hash", "item_id", "pos"), "hash").select("doc_id", "region", "item_id", (F.col("at") - F.col("pos")).alias("shift")).distinct()
-    items = tests.groupBy("item_id").agg(F.max("words").alias("item_words"))
-    both = lined.join(found.select("doc_id", "region", "words").dropDuplicates(["doc_id", "region"]), ["doc_id", "region"]).join(items, "item_id")
+    regions_ = prepared(docs, id_column, text).mapInArrow(scan, "doc_id long, region long, words array<long>, hits array<struct<at:int,hash:long>>")
+    # Rows that share an id are told apart by the words around their hits.
+    found = written(regions_.withColumn("own", F.xxhash64("words")), "regions")
+    place = ["doc_id", "region", "own"]
+    hit = found.select(*place, F.explode("hits").alias("hit")).select(*place, "hit.at", "hit.hash")
+    lined = hit.join(tests.select("hash", "item_id", "tie", "pos"), "hash").select(*place, "item_id", "tie", (F.col("at") - F.col("pos")).alias("shift")).distinct()
+    both = lined.join(found.select(*place, "words").dropDuplicates(place), place).join(item_words(items), ["item_id", "tie"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
