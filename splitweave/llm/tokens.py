@@ -39,7 +39,10 @@ class Encoder:
     def _encode(self, pieces: list[str], prefix: str, into: dict[str, bytes]) -> None:
         """Encode pieces one by one, or, those after a space, many in one text whose tokens are dealt out by their places."""
         if prefix or self.layout == "dropped":
-            plain = [p for p in pieces if p and not p[-1].isspace()]
+            words = [p for p in pieces if p.isalpha()]
+            for at in range(0, len(words), JOINED):
+                self._encode_words(words[at : at + JOINED], into)
+            plain = [p for p in pieces if p and not p[-1].isspace() and p not in into]
             for at in range(0, len(plain), JOINED):
                 self._encode_joined(plain[at : at + JOINED], into)
             pieces = [p for p in pieces if p not in into]
@@ -48,6 +51,17 @@ class Encoder:
             for piece, e in zip(part, self.tokenizer.encode_batch([p if p[:1] == "\n" else prefix + p for p in part], add_special_tokens=False), strict=True):
                 into[piece] = np.array(e.ids, "<u4").tobytes()
 
+    def _encode_words(self, pieces: list[str], into: dict[str, bytes]) -> None:
+        """Pieces of letters alone: the tokenizer makes each a word, and tells which word a token is of without its places in the text."""
+        before = " " if self.layout == "spaced" else ""
+        e = self.tokenizer.encode(before + " ".join(pieces), add_special_tokens=False)
+        owner, ids = np.array(e.word_ids, np.float64), np.array(e.ids, "<u4")
+        edges = np.r_[0, np.flatnonzero(np.diff(owner)) + 1, len(owner)].tolist()
+        if len(edges) != len(pieces) + 1 or not (np.diff(owner) >= 0).all():
+            return  # a word was cut, or a token is of no word: the caller encodes these by places
+        for k, p in enumerate(pieces):
+            into[p] = ids[edges[k] : edges[k + 1]].tobytes()
+
     def _encode_joined(self, pieces: list[str], into: dict[str, bytes]) -> None:
         whole = [p if p[0] == "\n" else " " + p for p in pieces]
         starts = np.cumsum([0, *map(len, whole[:-1])])
