@@ -11,32 +11,50 @@ from splitweave.llm.decontaminate import overlaps
 from splitweave.llm.language import UNKNOWN, identify
 from splitweave.llm.packing import pack
 from splitweave.llm.secrets import redacted
-from splitweave.llm.simhash import similar
+from splitweave.llm.simhash import near_duplicates
 
 LEAST_SHARE = 0.3
 
 
+def renamed(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The same columns under plain numbers, so that none has the name of a column which an operator adds; and their new names."""
+    new = {c: f"column_{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*new.values()), new
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose language is known, and is that of 3 in 10 of the text's letters at least; all labelled ones teach."""
-    found = identify(docs, F.lit(True))
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select(*docs.columns)
+    plain, new = renamed(docs)
+    found = identify(plain, F.lit(True), new["lang"], new["text"])
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select(*new.values()).toDF(*docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of every group of near duplicates (sets of five words, 0.8 or more alike).
+    """Keep the document with the smallest id of every group of near duplicates: SimHash of 4-word shingles, at most 4 bits apart.
 
-    Of rows that repeat an id one stays; rows without an id are not compared and stay.
+    Of rows equal in id and text one stays. Rows that share an id but not their text are documents like others, each in the
+    group that its text belongs to; of those in one group with the smallest id, one stays. Rows without an id are not compared and stay.
     """
-    groups = similar(docs).select(F.col("doc_id").alias("_id"), "component_id").distinct()
-    keep = groups.where("_id = component_id").select("_id")
-    kept = docs.join(keep, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    plain, new = renamed(docs)
+    doc_id, text = new["doc_id"], new["text"]
+    groups = near_duplicates(plain, 4, 4, doc_id, text).where("doc_id = component_id").groupBy("doc_id", "class_id", "text_hash").agg(F.count("*").alias("rows"))
+    one = groups.groupBy("doc_id", "class_id").agg(F.min(F.struct("text_hash", "rows")).alias("kept"))
+    keep = written(one.select(F.col("doc_id").alias("keep_id"), "kept.text_hash", "kept.rows"), "keep")
+    hashed = plain.withColumn("own_hash", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    same = (F.col(doc_id).cast("long") == F.col("keep_id")) & (F.col("own_hash") == F.col("text_hash"))
+    single = hashed.join(keep.where("rows = 1"), same, "left_semi")
+    repeated = hashed.join(keep.where("rows > 1"), same, "left_semi").dropDuplicates([doc_id, "own_hash"])
+    kept = single.unionByName(repeated).select(*new.values())
+    return kept.unionByName(plain.where(F.col(doc_id).cast("long").isNull())).toDF(*docs.columns)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a passage of the benchmark."""
-    found = overlaps(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
-    return docs.join(written(found, "contaminated"), "doc_id", "left_anti").select(*docs.columns)
+    """Drop documents that hold a passage of the benchmark. Rows count for themselves, also those that share an id or have none."""
+    plain, new = renamed(docs)
+    rows = plain.withColumn("row_hash", F.xxhash64(new["doc_id"], new["text"]))
+    found = overlaps(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_column="row_hash", text=new["text"], item_text="text")
+    found = written(found.select(F.col("doc_id").alias("row_hash")).distinct(), "contaminated")
+    return rows.join(found, "row_hash", "left_anti").select(*new.values()).toDF(*docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

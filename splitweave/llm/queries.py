@@ -68,7 +68,8 @@ def language_id(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op5_simhash_near_dedup")
 def simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf, "documents"), shingle=4, distance=4)
+    found = simhash.near_duplicates(table(spark, sf, "documents"), shingle=4, distance=4)
+    return found.select("doc_id", "fingerprint", "component_id")
 
 
 @query("op6_decontamination")

@@ -2,8 +2,7 @@
 
 The 64-bit form is exact: with m blocks and a distance of at most d, two fingerprints agree in at least m − d blocks, so a
 join on every choice of m − d blocks finds each pair. m grows with the number of fingerprints, which keeps the chance
-matches per fingerprint few. The long form (``similar``) is for word sets that differ more than any such choice allows:
-keys are fixed choices of bits, as many as the stated recall needs, and candidates are compared by their sets.
+matches per fingerprint few.
 """
 
 from __future__ import annotations
@@ -11,7 +10,6 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Iterator
-from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -27,7 +25,6 @@ SEED = 42
 PART = 8192  # shingles whose bits are counted at once
 FEW = 16  # largest group of one key that is compared beside others
 TILE = 2048  # rows of a larger group that meet in one task
-SETS = 256  # rows with their sets in a tile
 
 
 def shingle_hashes(text: bytes, k: int) -> np.ndarray:
@@ -67,7 +64,7 @@ def fingerprint(hashes: np.ndarray, words: int = 1) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, words: int = 1, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp array<long>) of every row with an id; null text counts as empty, its fingerprint is zero."""
+    """(doc_id, fp array<long>, text_hash) of every row with an id; null text counts as empty, its fingerprint is zero."""
     small_batches(docs.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,10 +73,11 @@ def fingerprints(docs: DataFrame, shingle: int = 4, words: int = 1, id_column: s
             prints = [fingerprint(shingle_hashes(data[s:e].tobytes(), shingle), words) for s, e in itertools.pairwise(at)]
             flat = np.concatenate(prints).view(np.int64) if prints else np.empty(0, np.int64)
             fp = pa.ListArray.from_arrays(pa.array(np.arange(len(prints) + 1, dtype=np.int32) * words), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([b.column(0), fp], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), fp, b.column(2)], ["doc_id", "fp", "text_hash"])
 
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).where("doc_id is not null")
-    return rows.mapInArrow(work, "doc_id long, fp array<long>")
+    whole = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), whole.alias("text"), F.xxhash64(whole).alias("text_hash")).where("doc_id is not null")
+    return rows.mapInArrow(work, "doc_id long, fp array<long>, text_hash long")
 
 
 def block_masks(blocks: int, distance: int) -> list[int]:
@@ -107,26 +105,6 @@ def exact_keys(rows: int, distance: int) -> Column:
     return F.array(*[F.xxhash64(F.lit(t), F.col("fp")[0].bitwiseAND(F.lit(signed(m)))) for t, m in enumerate(masks)])
 
 
-def chosen_keys(rows: int, words: int, distance: float, recall: float, least_bits: int = 16) -> Column:
-    """Array of keys: each is a hash of its table's number and of a fixed choice of bits of fp.
-
-    A pair at ``distance`` of all bits agrees in one key of b bits with probability (1 − distance/bits)^b; there are as many
-    tables as make the stated recall. b grows with the logarithm of the rows.
-    """
-    total = 64 * words
-    bits = max(least_bits, min(48, math.ceil(math.log2(max(2, rows))) - 2))
-    agree = (1 - distance / total) ** bits
-    tables = math.ceil(math.log(1 - recall) / math.log(1 - agree))
-    order = np.random.default_rng(SEED)
-    keys = []
-    for t in range(tables):
-        at = order.permutation(total)[:bits].tolist()
-        by_word = [(w, sum(1 << (i % 64) for i in at if i // 64 == w)) for w in range(words)]
-        picked = [F.col("fp")[w].bitwiseAND(F.lit(signed(m))) for w, m in by_word if m]
-        keys.append(F.xxhash64(F.lit(t), *picked))
-    return F.array(*keys)
-
-
 def links(prints: DataFrame, keys: Column, words: int, distance: int) -> DataFrame:
     """Links (a, b) that connect the ids of all fingerprints which pairs sharing a key and differing in at most ``distance`` bits connect.
 
@@ -198,129 +176,21 @@ def spanning(ids: np.ndarray, prints: np.ndarray, distance: int) -> pd.DataFrame
     return pd.DataFrame({"a": np.concatenate([empty, *a]), "b": np.concatenate([empty, *b])})
 
 
-def grouped(docs: DataFrame, shingle: int, distance: int, id_column: str, text: str) -> DataFrame:
-    prints = written(fingerprints(docs, shingle, 1, id_column, text), "prints")
-    classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("id")), "classes")
-    found = written(components(links(classes, exact_keys(classes.count(), distance), 1, distance)), "components")
-    labelled = classes.join(found, F.col("id") == F.col("node"), "left").select("fp", F.coalesce("component", "id").alias("component_id"))
-    return prints.join(labelled, "fp").select("doc_id", "fp", "component_id")
-
-
 def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every row with an id: exact 64-bit form.
+    """(doc_id, fingerprint, component_id, text_hash, class_id) of every row with an id: exact 64-bit form.
 
     The fingerprint is 16 lowercase hex digits, component_id the smallest doc_id reachable over links of at most ``distance``
     differing bits, the row's own included. Null and empty texts have fingerprint zero and are linked like any other. Fewer
-    words than a shingle form one shingle. Rows without an id are left out; repeated rows come back repeated; an empty table
-    gives no rows; other columns are ignored.
+    words than a shingle form one shingle. Rows without an id are left out; repeated rows come back repeated; rows that share an id
+    but not their fingerprint belong together only if links say so, and text_hash (XXH64 of the text, null as empty) tells them
+    apart; class_id numbers what is linked, also where ids repeat. An empty table gives no rows; other columns are ignored.
     """
-    rows = grouped(docs, shingle, distance, id_column, text)
-    return rows.select("doc_id", F.lpad(F.lower(F.hex(F.col("fp")[0])), 16, "0").alias("fingerprint"), "component_id")
-
-
-def shingle_sets(docs: DataFrame, shingle: int, words: int, id_column: str, text: str, sets: bool) -> DataFrame:
-    """(doc_id, node, fp or set) of every row with an id: a hash of its set of shingles, and the set's fingerprint or its sorted hashes."""
-    small_batches(docs.sparkSession)
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            data, at = utf8(b.column(1))
-            nodes, last = [], []
-            for s, e in itertools.pairwise(at):
-                own = np.unique(shingle_hashes(data[s:e].tobytes(), shingle))
-                nodes.append(signed(xxhash.xxh3_64_intdigest(own.tobytes())))
-                last.append(own.tobytes() if sets else fingerprint(own, words).view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(nodes, pa.int64()), pa.array(last, pa.binary() if sets else pa.list_(pa.int64()))], names)
-
-    names = ["doc_id", "node", "set" if sets else "fp"]
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).where("doc_id is not null")
-    return rows.mapInArrow(work, f"doc_id long, node long, {'set binary' if sets else 'fp array<long>'}")
-
-
-def alike(ids: list[int], prints: np.ndarray, sets: list[np.ndarray], distance: int, similarity: Fraction) -> list[tuple[int, int]]:
-    """Links that connect all rows which are connected through pairs within the distance whose sets are alike: breadth first."""
-    sizes = np.array([len(s) for s in sets], np.int64)
-    left, out = np.arange(len(ids)), []
-    while len(left):
-        root, front, left = ids[left[0]], left[:1], left[1:]
-        while len(front) and len(left):
-            at = front[0]
-            close = np.bitwise_count(prints[left] ^ prints[at]).sum(axis=1) <= distance
-            close &= np.minimum(sizes[left], sizes[at]) * similarity.denominator >= np.maximum(sizes[left], sizes[at]) * similarity.numerator
-            for k in np.flatnonzero(close):
-                both = shared(sets[at], sets[left[k]])
-                close[k] = both * similarity.denominator >= (sizes[at] + sizes[left[k]] - both) * similarity.numerator
-            found = left[close]
-            out += [(root, ids[k]) for k in found]
-            front, left = np.r_[front[1:], found], left[~close]
-    return out
-
-
-def shared(a: np.ndarray, b: np.ndarray) -> int:
-    """How many members two sorted sets have in common."""
-    if not len(a) or not len(b):
-        return 0
-    return int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
-
-
-def exact_links(members: DataFrame, words: int, distance: int, similarity: float) -> DataFrame:
-    """Links (a, b) inside the components of ``members`` (component, node, fp, set) between sets that are alike.
-
-    A component is dealt into tiles; each pair of tiles is compared in one task, which returns only enough links to connect
-    what is connected, so rows out don't grow with a component's square.
-    """
-    sizes = members.groupBy("component").agg(F.count("*").alias("n"))
-    tiles = F.ceil(F.col("n") / SETS).cast("int")
-    dealt = with_small(members, written(sizes, "sizes"), "component", "inner").withColumn("own", F.pmod(F.xxhash64("node"), tiles).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
-    columns = ["component", "i", "j", "node", *[f"f{w}" for w in range(words)], "set"]
-    dealt = dealt.select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", *[F.col("fp")[w].alias(f"f{w}") for w in range(words)], "set")
-    least = Fraction(str(similarity))
-
-    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
-        held: list[tuple] = []
-        for b in batches:
-            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if held and held[0][:3] != row[:3]:
-                    yield held
-                    held = []
-                held.append(row)
-        if held:
-            yield held
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in groups(batches):
-            prints = np.array([r[4 : 4 + words] for r in rows], np.int64).view(np.uint64)
-            got = alike([r[3] for r in rows], prints, [np.frombuffer(r[-1], np.uint64) for r in rows], distance, least)
-            if got:
-                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in got], pa.int64()) for k in (0, 1)], ["a", "b"])
-
-    return dealt.select(*columns).repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "node").mapInArrow(compare, "a long, b long")
-
-
-def similar(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, words: int = 4, recall: float = 0.99, spread: float = 5.0, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, component_id) of every row with an id: long form, for sets of ``shingle`` words at ``similarity`` (Jaccard) or more.
-
-    Fingerprints only find candidates. Two sets with Jaccard j have the cosine 2j/(1+j), and each bit differs with probability
-    arccos(cosine)/π. Candidates are at most that share of the bits plus ``spread`` standard deviations apart; ``recall`` is the
-    chance that a pair one deviation beyond the expected distance meets in a key. Of candidates that hang together the
-    sets themselves are compared, and only those with ``similarity`` or more link. component_id is the smallest doc_id reachable
-    over such links. Rows equal in their sets are one node, whatever their ids. Other edge cases as in ``near_duplicates``.
-    """
-    bits = 64 * words
-    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    mean, sd = p * bits, math.sqrt(p * (1 - p) * bits)
-    distance = int(mean + spread * sd)
-    prints = written(shingle_sets(docs, shingle, words, id_column, text, False), "prints")
-    classes = written(prints.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("fp").alias("fp")), "classes")
-    near = links(classes.select(F.col("node").alias("id"), "fp"), chosen_keys(classes.count(), words, mean + sd, recall), words, distance)
-    candidates = written(classes.join(components(near), "node"), "candidates")
-    # Sets are made anew for the candidates alone: all documents' sets would take more room than their texts.
-    texts = with_small(docs.withColumn("_id", F.col(id_column).cast("long")), candidates.select(F.col("doc_id").alias("_id")), "_id", "left_semi")
-    sets = shingle_sets(texts, shingle, words, "_id", text, True)
-    members = written(sets.join(candidates.withColumnRenamed("doc_id", "least"), "node").where("doc_id = least").dropDuplicates(["node"]).select("component", "node", "fp", "set"), "members")
-    found = written(components(exact_links(members, words, distance, similarity)), "components")
-    least = found.join(classes, "node").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    moved = found.join(least, "component").select("node", "component_id")
-    labelled = classes.join(moved, "node", "left").select("node", F.coalesce("component_id", "doc_id").alias("component_id"))
-    return prints.join(labelled, "node").select("doc_id", "component_id")
+    prints = written(fingerprints(docs, shingle, 1, id_column, text), "prints")
+    classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("doc_id")).select(F.col("fp")[0].alias("id"), "fp", "doc_id"), "classes")
+    found = written(components(links(classes.select("id", "fp"), exact_keys(classes.count(), distance), 1, distance)), "components")
+    joined = found.join(classes.select(F.col("id").alias("node"), "doc_id"), "node")
+    least = joined.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    moved = found.join(least, "component").select(F.col("node").alias("id"), "component", "component_id")
+    labelled = classes.join(moved, "id", "left").select("fp", F.coalesce("component", "id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    rows = prints.join(labelled, "fp")
+    return rows.select("doc_id", F.lpad(F.lower(F.hex(F.col("fp")[0])), 16, "0").alias("fingerprint"), "component_id", "text_hash", "class_id")

@@ -323,65 +323,17 @@ def test_near_duplicates_odd(spark):
     assert simhash.near_duplicates(odd(spark, ODD).limit(0)).collect() == []
 
 
-def test_similar(spark):
-    r = random.Random(11)
-    prose = lambda n: ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 7))) for _ in range(n)]
-    rows, pairs = [], []
-    for i in range(120):
-        w = prose(r.randint(60, 300))
-        v = list(w)
-        for j in r.sample(range(len(v)), max(1, len(v) // 50)):
-            v[j] = "changed"
-        rows += [(3 * i, " ".join(w)), (3 * i + 1, " ".join(v)), (3 * i + 2, " ".join(prose(r.randint(5, 300))))]
-        sets = [{tuple(x[k : k + 5]) for k in range(len(x) - 4)} for x in (w, v)]
-        pairs += [(3 * i, len(sets[0] & sets[1]) / len(sets[0] | sets[1]))]
-    got = {x["doc_id"]: x["component_id"] for x in simhash.similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    close = [got[i + 1] == i for i, j in pairs if j >= 0.8]
-    assert len(close) > 60 and sum(close) >= 0.94 * len(close)
-    assert all(got[3 * i + 2] == 3 * i + 2 for i in range(120))
-
-
-def shingle_set(text, k=5):
-    w = re.findall(rb"[^\x20\x09-\x0d]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
-    return frozenset(tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1)))
-
-
-def plain_similar(texts, similarity=(4, 5)):
-    sets = {d: shingle_set(t) for d, t in texts.items()}
-    links = [(a, b) for a, b in itertools.combinations(sets, 2) if len(sets[a] & sets[b]) * similarity[1] >= len(sets[a] | sets[b]) * similarity[0]]
-    label = {d: d for d in sets}
-    while any(label[a] != label[b] for a, b in links):
-        for a, b in links:
-            label[a] = label[b] = min(label[a], label[b])
-    return label
-
-
-def test_similar_is_exact(spark, docs, texts):
-    """Pairs just under 0.8, and unrelated texts that each repeat a word, don't link; pairs above do, also through others."""
-    r = random.Random(12)
-    prose = lambda n: ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 7))) for _ in range(n)]
-    made = {}
-    for i in range(150):
-        w = prose(r.randint(100, 300))
-        v = list(w)
-        tail = round(len(v) * (0.09, 0.14)[i % 2])
-        v[-tail:] = prose(tail)
-        made |= {2 * i: " ".join(w), 2 * i + 1: " ".join(v)}
-    for i in range(1000, 1002):
-        made[i] = " ".join([*prose(30), *["again"] * 500])
-    chain = prose(200)
-    for i in range(2000, 2006):
-        made[i] = " ".join(chain)
-        chain = [*chain[18:], *prose(18)]
-    got = simhash.similar(spark.createDataFrame(list(made.items()), "doc_id long, text string")).collect()
-    want = plain_similar(made)
-    assert 0 < sum(want[2 * i + 1] == 2 * i for i in range(150)) < 150 and {want[i] for i in range(2000, 2006)} == {2000}
-    found = {x["doc_id"]: x["component_id"] for x in got}
-    assert all(found[i] == i for i in made if want[i] == i)
-    assert sum(found[i] != want[i] for i in made) <= 3
-    found = {x["doc_id"]: x["component_id"] for x in simhash.similar(docs).collect()}
-    want = plain_similar(texts)
-    assert all(want[found[d]] == want[d] for d in found) and sum(found[d] != want[d] for d in found) <= 1
+def test_near_duplicates_of_repeated_ids(spark):
+    """Texts that share an id are told apart: only what is linked belongs together."""
+    r = random.Random(3)
+    prose = lambda: " ".join("".join(r.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(60))
+    a, b, c = prose(), prose(), prose()
+    got = simhash.near_duplicates(spark.createDataFrame([(1, a), (1, b), (2, b), (0, c), (5, c), (1, a)], "doc_id long, text string")).collect()
+    by = collections.defaultdict(list)
+    for x in got:
+        by[x["class_id"]].append((x["doc_id"], x["component_id"]))
+    assert sorted(sorted(v) for v in by.values()) == [[(0, 0), (5, 0)], [(1, 1), (1, 1)], [(1, 1), (2, 1)]]
+    assert len({x["text_hash"] for x in got}) == 3
 
 
 def test_components_of_chains(spark):
@@ -498,6 +450,21 @@ def test_overlaps_odd(spark):
     assert decontaminate.overlaps(odd(spark, ODD), items.limit(0)).collect() == [] == decontaminate.overlaps(odd(spark, ODD).limit(0), items).collect()
 
 
+def test_overlaps_of_long_items_and_repeated_ids(spark):
+    """An item of 20,000 words takes a row for each window, not its words in each; rows that share an id keep their own words."""
+    import time
+
+    r = random.Random(6)
+    prose = lambda n: " ".join("".join(r.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(n))
+    long, other, third = prose(20_000), prose(40), prose(40)
+    items = spark.createDataFrame([(1, long), (2, other), (2, third)], "item_id long, text string")
+    part = " ".join(long.split()[15_000:15_020])
+    docs = spark.createDataFrame([(1, f"{prose(30)} {part} {prose(30)}"), (1, f"{prose(30)} {other} {prose(5)}"), (2, prose(200)), (3, third)], "doc_id long, text string")
+    start = time.time()
+    got = sorted((x["doc_id"], x["item_id"], x["matched"]) for x in decontaminate.overlaps(docs, items).collect())
+    assert got == [(1, 1, 20), (1, 2, 40), (3, 2, 40)] and time.time() - start < 60
+
+
 # -- token file
 
 
@@ -642,6 +609,35 @@ def test_lexed(text, found):
     assert sorted(text[a:b] for a, b in secrets.lexed(text)) == sorted(found)
 
 
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ('passphrase = "correct horse battery staple"', ["correct horse battery staple"]),
+        ('db_pwd = "qwertyuiopas"', ["qwertyuiopas"]),
+        ('client_credential = "839201756283"', ["839201756283"]),
+        ('token = "the next word in it"', []),
+        ('password: "Enter your password here now"', []),
+        ("db_pwd = qwertyuiopas", []),
+    ],
+)
+def test_literals_of_one_kind(text, found):
+    assert sorted(text[a:b] for a, b in secrets.lexed(text)) == found
+
+
+def test_lexing_is_linear():
+    """Sums of sums, long chains of constants and very many literals take seconds at most."""
+    import time
+
+    start = time.time()
+    doubled = 'a0 = "Ab3$xY9_"\n' + "".join(f"a{i + 1} = a{i} + a{i}\n" for i in range(2000)) + "db_password = a2000\n"
+    assert [doubled[a:b] for a, k, b in secrets.all_spans(doubled) if k == 3] == ["Ab3$xY9_"]
+    chain = 'x0 = "a1B_"\n' + "".join(f'x{i + 1} = x{i} + "Qz{i}"\nmy_token_{i} = x{i + 1}\n' for i in range(5000))
+    assert len(secrets.all_spans(chain)) == 5001
+    many = "".join(f'token_{i} = "Zx{i}9aQ{i * 7}b_"\n' for i in range(30_000))
+    assert len(secrets.all_spans(many)) == 30_000
+    assert time.time() - start < 30
+
+
 @pytest.mark.parametrize(
     ("text", "spans", "clean"),
     [
