@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from splitweave.llm.common import written
+from splitweave.llm.common import scratch_of, written
 from splitweave.llm.decontaminate import overlaps
 from splitweave.llm.language import UNKNOWN, identify
 from splitweave.llm.packing import pack
 from splitweave.llm.secrets import redacted
 from splitweave.llm.simhash import near_duplicates
+from splitweave.sources.paths import remove
 
 LEAST_SHARE = 0.3
 
@@ -79,7 +80,12 @@ ORACLE_SQL = None  # SQL expresses none of the stages; tests compare them with b
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's rows. What a stage wrote on its way is removed when its result is written; so is that result, when the next one's is."""
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with scratch_of() as places:
+            docs = written(stage(spark, docs, sf_dir), name)
+        for place in [*last, *places[:-1]]:
+            remove(spark, place)
+        last = places[-1:]
     return docs

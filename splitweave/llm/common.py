@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -20,10 +23,26 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+_noted: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch_of() -> Iterator[list[str]]:
+    """The places that ``written`` fills inside, in order, for a caller who knows when nothing reads them any more."""
+    places: list[str] = []
+    _noted.append(places)
+    try:
+        yield places
+    finally:
+        _noted[:] = [p for p in _noted if p is not places]
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: computed once, and safe from lost executors."""
     path = shared_scratch(df.sparkSession, name)
     df.write.parquet(path)
+    for places in _noted:
+        places.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

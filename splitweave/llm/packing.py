@@ -81,11 +81,16 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[Pattern]:
     return [(n, filled) for groups in room.values() for n, filled in groups]
 
 
-def completions(counts: dict[int, int], lengths: list[int], room: int) -> list[tuple[int, tuple[tuple[int, int], ...]]]:
+def completions(
+    counts: dict[int, int], lengths: list[int], room: int, fillings: int | None = FILLINGS, tries: int | None = TRIES
+) -> list[tuple[int, tuple[tuple[int, int], ...]]]:
     """Undominated fillings of ``room`` by the remaining pieces, as (waste, pieces), the least waste first.
 
-    A filling is dominated if it is not maximal, or if a single piece that fits is as large as all of it together.
+    A filling is dominated if it is not maximal, or if a single piece that fits is larger than all of it together. At most
+    ``fillings`` are returned, found in ``tries`` steps; with None for both it is all of them.
     """
+    every = fillings is None or tries is None
+    fillings, tries = (math.inf if x is None else x for x in (fillings, tries))
     fits = [x for x in lengths if x <= room and counts[x]]
     if not fits:
         return [(room, ())]
@@ -103,23 +108,34 @@ def completions(counts: dict[int, int], lengths: list[int], room: int) -> list[t
             return
         x = fits[i]
         for u in range(min(counts[x], left // x), -1, -1):
-            if steps > TRIES or len(found) >= 4 * FILLINGS or (found and min(found.values()) == 0 and len(found) >= FILLINGS):
+            if steps > tries or len(found) >= 4 * fillings or (len(found) >= fillings and min(found.values()) == 0):
                 return
             grow(i + 1, left - u * x, (*filled, (x, u)) if u else filled)
 
+    if every:
+        grow(0, room, ())
+        return sorted((w, f) for f, w in found.items())
     near = bisect.bisect_left([-x for x in fits], -room)
-    for start in [near, *range(near + 1, min(len(fits), near + FILLINGS))]:  # begin with the largest, then without it
+    for start in [near, *range(near + 1, min(len(fits), near + fillings))]:  # begin with the largest, then without it
         grow(start, room, ())
         for x in fits[start:]:  # pairs that fill the room
             if counts.get(room - x, 0) > (room - x == x) and room - x >= 1:
                 pair = ((x, 2),) if room - x == x else ((max(x, room - x), 1), (min(x, room - x), 1))
                 found[pair] = 0
                 break
-    return sorted((w, f) for f, w in found.items())[:FILLINGS]
+    return sorted((w, f) for f, w in found.items())[:fillings]
 
 
-def complete(counts: dict[int, int], capacity: int, incumbent: list[Pattern], bound: int, nodes: int) -> list[Pattern]:
-    """Depth-first bin completion. A step fills as many sequences alike as the counts allow; returns the best plan found."""
+def complete(
+    counts: dict[int, int], capacity: int, incumbent: list[Pattern], bound: int, nodes: int | None, fillings: int | None = FILLINGS, tries: int | None = TRIES
+) -> tuple[list[Pattern], bool]:
+    """Depth-first bin completion: the best plan found, and whether no other can be shorter.
+
+    A step fills as many sequences alike as the counts allow. Without any limit (None) it fills one at a time with every undominated
+    filling; when that search ends, its plan is proved.
+    """
+    every = nodes is None and fillings is None and tries is None
+    nodes = math.inf if nodes is None else nodes
     best, total = sum(n for n, _ in incumbent), sum(x * c for x, c in counts.items())
     plan, path = incumbent, []  # path: (remaining counts, wasted, sequences used, untried fillings, the pattern chosen)
     left, wasted, used = dict(counts), 0, 0
@@ -129,37 +145,41 @@ def complete(counts: dict[int, int], capacity: int, incumbent: list[Pattern], bo
             if used < best:
                 best, plan = used, [p[4] for p in path]
                 if best <= bound:
-                    return plan
+                    return plan, True
             options: list = []
         elif wasted > (best - 1) * capacity - total or used + (-(-sum(x * left[x] for x in lengths) // capacity)) >= best:
             options = []
         else:
             top = lengths[0]
             left[top] -= 1
-            options = [(w, f, top) for w, f in completions(left, lengths, capacity - top)]
+            options = [(w, f, top) for w, f in completions(left, lengths, capacity - top, fillings, tries)]
             left[top] += 1
         if options:
             path.append([left, wasted, used, options, None])
         while path and not path[-1][3]:
             path.pop()
         if not path:
-            return plan
+            return plan, every
         nodes -= 1
         before, wasted, used, options, _ = path[-1]
         w, filling, top = options.pop(0)
         need = dict(filling)
         need[top] = need.get(top, 0) + 1
-        times = min(before[x] // u for x, u in need.items())
+        times = 1 if every else min(before[x] // u for x, u in need.items())
         path[-1][4] = (times, tuple(sorted(need.items(), reverse=True)))
         left = {x: c - times * need.get(x, 0) for x, c in before.items() if c > times * need.get(x, 0)}
         wasted, used = wasted + times * w, used + times
-    return plan
+    return plan, False
 
 
-def plan_of(counts: dict[int, int], capacity: int, nodes: int = NODES) -> list[Pattern]:
-    """As few sequences as the search finds for so many pieces of each length."""
+def proved_plan(counts: dict[int, int], capacity: int, nodes: int | None = NODES, fillings: int | None = FILLINGS, tries: int | None = TRIES) -> tuple[list[Pattern], bool]:
+    """As few sequences as the search finds for so many pieces of each length, and whether there can be no fewer."""
     bound, plan = lower_bound(counts, capacity), best_fit(counts, capacity)
-    return plan if sum(n for n, _ in plan) <= bound else complete(counts, capacity, plan, bound, nodes)
+    return (plan, True) if sum(n for n, _ in plan) <= bound else complete(counts, capacity, plan, bound, nodes, fillings, tries)
+
+
+def plan_of(counts: dict[int, int], capacity: int, nodes: int | None = NODES, fillings: int | None = FILLINGS, tries: int | None = TRIES) -> list[Pattern]:
+    return proved_plan(counts, capacity, nodes, fillings, tries)[0]
 
 
 def places(plan: list[Pattern]) -> dict[str, np.ndarray]:
@@ -203,16 +223,17 @@ def token_pieces(docs: DataFrame, vocabulary: str, layout: str, end: tuple[int,
 
 def pack(
     docs: DataFrame, vocabulary: str, layout: str = "spaced", capacity: int = 2048, end: tuple[int, ...] = (0,), id_column: str = "doc_id", text: str = "text",
-    nodes: int = NODES, group_rows: int = GROUP_ROWS,
+    nodes: int | None = NODES, fillings: int | None = FILLINGS, tries: int | None = TRIES, group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset): all documents in as few sequences of ``capacity`` ids as found.
 
     Only documents longer than a sequence are cut. Null and empty texts are the end ids alone. Repeated rows are packed each
-    for itself, null ids are carried along, an empty table gives no rows, other columns are ignored.
+    for itself, null ids are carried along, an empty table gives no rows, other columns are ignored. ``nodes``, ``fillings`` and ``tries``
+    limit the search, not what is packed; without them (None) it goes on until the plan is proved, which takes long for many lengths.
     """
     pieces = written(token_pieces(docs, vocabulary, layout, end, capacity, id_column, text), "pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most ``capacity`` rows
-    at = places(plan_of(counts, capacity, nodes))
+    at = places(plan_of(counts, capacity, nodes, fillings, tries))
     groups = max(1, math.ceil(max(counts.values(), default=0) / group_rows))
     dealt = pieces.withColumn("_g", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)))
     before = Window.partitionBy("length").orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)

@@ -177,6 +177,20 @@ def test_plan_is_best():
     assert searched  # best fit alone was not enough everywhere
 
 
+def test_plan_without_limits_is_proved():
+    """Every undominated filling and every number of it is tried: what comes back is the fewest, and says so."""
+    r = random.Random(2)
+    for _ in range(200):
+        capacity = r.randint(20, 60)
+        lengths = [r.randint(max(1, capacity // 8), capacity // 2 + 3) for _ in range(r.randint(6, 12))]
+        plan, proved = packing.proved_plan(dict(collections.Counter(lengths)), capacity, None, None, None)
+        assert proved and sum(n for n, _ in plan) == fewest(lengths, capacity)
+    many = {x: 1 for x in range(8, 24)}
+    assert len(packing.completions(many, sorted(many, reverse=True), 60, None, None)) > 20 * packing.FILLINGS
+    lengths = [44, 24, 24, 22, 21, 17, 8, 8, 6, 6]
+    assert not packing.proved_plan(dict(collections.Counter(lengths)), 60, 0)[1]
+
+
 def test_packing(spark, docs, texts):
     tok = Tokenizer.from_file(BYTE)
     ids = {d: tok.encode(t, add_special_tokens=False).ids + [0] for d, t in texts.items()}

@@ -88,3 +88,13 @@ def test_contaminated_rows_go_and_others_with_their_id_stay(spark, sf):
     )
     left = corpus_pipeline.uncontaminated(spark, docs, sf).select(F.coalesce("text", F.lit("-"))).collect()
     assert sorted(r[0][:7] for r in left) == ["-", "a clean"]
+
+
+def test_run_leaves_its_result_only(spark, sf):
+    from splitweave.sources.paths import child_names
+
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = set(child_names(spark, root))
+    rows = corpus_pipeline.run(spark, sf)
+    assert rows.count() > 100
+    assert [n.rsplit("-", 1)[0] for n in set(child_names(spark, root)) - before] == ["best_fit_packing"]
