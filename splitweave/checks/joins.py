@@ -24,7 +24,7 @@ from splitweave.operators.joins import (
 )
 from splitweave.operators.privacy import aggregate_by_rule, list_by_rule, overlap_by_rule, overlap_list, private_aggregate, private_overlap
 from splitweave.operators.ranking import (
-    cap_per_group, dedupe_keep, joined_issues, latest_per_key, quota, report_order, sample_partitions,
+    cap_per_group, dedupe_keep, issues_with_total, joined_issues, latest_per_key, quota, report_order, sample_partitions,
 )
 from splitweave.sources.snapshots import latest_snapshot_rows
 
@@ -397,6 +397,14 @@ def cap_per_group_query(spark, sf):
     return cap_per_group(read(spark, sf, "events").select("user_id", "event_id", "event_type"), ["user_id"], ["event_id"], 3)
 
 
+@query("issues_with_total", """SELECT nullif(user_id % 10, 0) AS k, string_agg(event_type, ';' ORDER BY event_id) FILTER (WHERE r <= 3) AS issues, count(*) AS total
+  FROM (SELECT *, row_number() OVER (PARTITION BY nullif(user_id % 10, 0) ORDER BY event_id) AS r FROM events) GROUP BY 1""")
+def issues_with_total_query(spark, sf):
+    """The first three events of each group, also of the NULL one, and how many there are."""
+    events = read(spark, sf, "events").select(F.expr("nullif(user_id % 10, 0)").alias("k"), "event_id", "event_type")
+    return issues_with_total(events, ["k"], ["event_id"], "event_type", 3)
+
+
 @query("joined_issues", """SELECT user_id, string_agg(event_type, ';' ORDER BY event_id) AS issues FROM (SELECT *,
   row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r FROM events) WHERE r <= 3 GROUP BY user_id""")
 def joined_issues_query(spark, sf):

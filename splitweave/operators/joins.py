@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from splitweave.functions.keys import BUCKET, KEY, require_same_key_type
 from splitweave.functions.text import ASSOCIATION_PREFIX, SNAPSHOT_COLUMN
 from splitweave.operators.filters import at_snapshot
-from splitweave.operators.quality import key_quality
 from splitweave.operators.skew import both_salted_join, hot_keys, is_hot
 from splitweave.sources.catalog import describe_table
 
@@ -58,9 +57,12 @@ def join_parts(a: DataFrame, b: DataFrame, key: str = KEY, bucket: int | None =
 
 def reassemble(tables: list[DataFrame], key: str = KEY, check: bool = True) -> DataFrame:
     """The wide row from its narrow tables. With unique keys every table is shuffled once and no key is hot,
-    so NULL and repeated keys are refused first."""
+    so NULL and repeated keys are refused first: one shuffle of all tables' keys, with a count for each table."""
     if check:
-        bad = key_quality({str(i): t for i, t in enumerate(tables)}, key).where("null_keys + duplicate_rows > 0").take(1)
+        numbers = range(len(tables))
+        tagged = reduce(DataFrame.unionAll, [t.select(F.col(key).alias("k"), F.lit(i).alias("tag")) for i, t in enumerate(tables)])
+        per_key = tagged.groupBy("k").agg(*[F.count_if(F.col("tag") == i).alias(f"n{i}") for i in numbers])
+        bad = per_key.where(F.col("k").isNull() | reduce(Column.__or__, [F.col(f"n{i}") > 1 for i in numbers])).take(1)
         if bad:
             raise ValueError(f"keys are not unique: {bad[0]}")
 

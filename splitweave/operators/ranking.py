@@ -57,3 +57,13 @@ def joined_issues(df: DataFrame, group: list[str], order: list[str], text: str,
     capped = cap_per_group(df, group, order, k)
     cell = F.array_sort(F.collect_list(F.struct(*order, F.col(text).alias("_text"))))
     return capped.groupBy(*group).agg(F.array_join(F.transform(cell, lambda x: x["_text"]), ";").alias("issues"))
+
+
+def issues_with_total(df: DataFrame, group: list[str], order: list[str], text: str, k: int) -> DataFrame:
+    """As ``joined_issues``, with the number of all texts of the group, also of those that were left out.
+
+    Both are counted before the shuffle: of a group with a third of all rows a task sends ``k`` texts and a number.
+    """
+    total = df.groupBy(*group).agg(F.count("*").alias("total"))
+    both = joined_issues(df, group, order, text, k).unionByName(total, allowMissingColumns=True)  # a union, so that NULL groups meet too
+    return both.groupBy(*group).agg(F.max("issues").alias("issues"), F.max("total").alias("total"))
