@@ -16,7 +16,7 @@ MIN_HOT_ROWS = 1_000_000
 HOT_SHARE = 0.001
 TRACKED = 8
 SKETCH_GROUPS = 256
-# Key types the frequent-items sketch accepts; keys of other types are left to adaptive execution.
+# Key types the frequent-items sketch accepts; timestamps without zone and bytes go as text, nested keys are left to adaptive execution.
 SKETCHED = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.BooleanType)
 
 
@@ -27,11 +27,18 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS, share: float
     splits are merged in two steps, so no task gets them all. At most 1/share values can qualify, which bounds what
     reaches the driver. The sketch tracks several times as many, so it misses none of them.
     """
-    if not isinstance(df.schema[key].dataType, SKETCHED):
+    kind = df.schema[key].dataType
+    if isinstance(kind, T.TimestampNTZType):
+        sketched, value = F.col(key).cast("string"), str  # compared as text by ``is_hot``
+    elif isinstance(kind, T.BinaryType):
+        sketched, value = F.hex(key), bytes.fromhex
+    elif isinstance(kind, SKETCHED):
+        sketched, value = F.col(key), lambda v: v
+    else:
         return []
     limit = int(1 / share)
     tracked = limit * TRACKED
-    per_group = df.select(F.col(key).alias("k")).where("k is not null").groupBy(
+    per_group = df.select(sketched.alias("k")).where("k is not null").groupBy(
         F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g")
     ).agg(F.count("*").alias("n"), F.expr(f"approx_top_k_accumulate(k, {tracked})").alias("sketch"))
     # One group for all, and not no group: an empty partition then has no sketch to merge.
@@ -42,11 +49,12 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS, share: float
     if top is None:
         return []
     floor = max(min_rows, int(top["n"] * share))
-    return [t["item"] for t in top["top"] if t["count"] >= floor]
+    return [value(t["item"]) for t in top["top"] if t["count"] >= floor]
 
 
 def is_hot(key: str, hot: list) -> Column:
-    return F.col(key).isin(hot)
+    """Whether the key is one of ``hot``; text stands for what reads so, such as a timestamp without zone."""
+    return (F.col(key).cast("string") if hot and isinstance(hot[0], str) else F.col(key)).isin(hot)
 
 
 def dealt(df: DataFrame) -> Column:

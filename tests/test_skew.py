@@ -10,7 +10,7 @@ from splitweave.operators.layout import spread, write_bucketed, write_clustered,
 from splitweave.operators.privacy import overlap_list, private_overlap
 from splitweave.operators.quality import bucket_histogram, key_quality
 from splitweave.operators.ranking import dedupe_keep, latest_per_key
-from splitweave.operators.skew import both_salted_join, hot_keys, salted_join
+from splitweave.operators.skew import both_salted_join, hot_keys, is_hot, salted_join
 from splitweave.sources.inventory import file_inventory
 from splitweave.sources.paths import shared_scratch
 
@@ -208,3 +208,19 @@ def test_file_inventory_counts(spark, skewed):
     files = file_inventory(spark, path)
     assert {r["id_bucket"] for r in files.collect()} == {0, 1, 2, 3}
     assert files.select("directory").distinct().count() == 1
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "binary", "date", "string"])
+def test_hot_keys_of_other_types(spark, kind):
+    """A key with a third of the rows is found and salted whatever its type; the join loses and repeats nothing."""
+    made = {
+        "timestamp_ntz": F.timestamp_seconds(F.col("n")).cast("timestamp_ntz"), "binary": F.col("n").cast("string").cast("binary"),
+        "date": F.date_add(F.lit("2001-01-01").cast("date"), F.col("n").cast("int")), "string": F.col("n").cast("string"),
+    }[kind]
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("n"), "id").select(made.alias("k"), "id")
+    other = spark.range(3000).select(F.col("id").alias("n")).select(made.alias("k"), (F.col("n") + 1).alias("w"))
+    hot = hot_keys(rows, "k", min_rows=500)
+    assert len(hot) == 1
+    assert rows.where(is_hot("k", hot)).count() == 1000 + (0 if 7 % 3 == 0 else 1)
+    assert sorted(map(tuple, salted_join(rows, other, "k", "inner", hot).select("id", "w").collect())) == sorted(map(tuple, rows.join(other, "k").select("id", "w").collect()))
+    assert hot_keys(rows.select(F.struct("k").alias("k")), "k", min_rows=500) == []
