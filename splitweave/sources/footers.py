@@ -87,7 +87,7 @@ def listed_files(spark: SparkSession, paths: str | list[str], pattern: str = "*"
 
 def footers(spark: SparkSession, paths: str | list[str], tasks: int = TASKS) -> DataFrame:
     """(path, column_name, rows, bytes) of every Parquet file and top-level column: compressed size, from the footers alone."""
-    tasks = min(tasks, 4 * spark.sparkContext.defaultParallelism)
+    tasks = min(tasks, spark.sparkContext.defaultParallelism)
     files = listed_files(spark, paths, "*.parquet", tasks).select("path").repartition(tasks)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
