@@ -5,17 +5,20 @@ from __future__ import annotations
 from itertools import accumulate
 from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from splitweave.functions.keys import BUCKET, BUCKETS, KEY, bucket_of
 from splitweave.functions.sizes import gigabytes, planned_file_count, raw_file_count, rows_per_file, target_mb
 from splitweave.operators.columns import with_id_bucket
 from splitweave.operators.skew import dealt, hot_keys, is_hot
+from splitweave.sources.paths import shared_scratch
+from splitweave.sources.small_files import tasks_can_write, write_numbered
 
 TARGET_MB = 400
 SLOTS = 8192  # of the key's hash, whose weights decide where files are cut
+SMALL_ROWS = 10_000  # in a file that doesn't deserve a task of its own
+FILES_PER_TASK = 256
 
 
 def slot_counts(df: DataFrame, slot: Column) -> dict[int, int]:
@@ -91,15 +94,18 @@ def write_ranges(df: DataFrame, path: str, key: str = KEY, files: int = 24, max_
     Keys are weighed: those with more rows than a file may hold (``max_rows``, by default a file's share of all rows, at least one
     full file) are found exactly, by counting, and get as many files of their own as they need, over which their rows are dealt
     evenly. The ranges of all other keys are cut where the files become even, never inside a key. Files are numbered in the
-    order of their names. Only weights of hash slots and the keys that are cut, fewer than there are files, reach the driver.
+    order of their names. A task writes one file, or ``FILES_PER_TASK`` of at most ``SMALL_ROWS`` rows where tasks can open the
+    path. Only weights of hash slots reach the driver; the keys that are cut, many if ``max_rows`` is low, are a table in the
+    shared folder.
     """
-    spark, slot = df.sparkSession, F.pmod(F.xxhash64(key), F.lit(SLOTS)).cast("int")
-    per_key = df.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("rows"))
-    total = df.count()
+    spark, total = df.sparkSession, df.count()
     limit = max_rows or max(rows_per_file(df.schema, TARGET_MB), ceil(total / files))
-    cut = [(r["key"], r["rows"]) for r in per_key.where(F.col("rows") > limit).orderBy(F.desc("rows"), "key").collect()]
-    usual = df if not cut else df.join(F.broadcast(_cut_frame(df, key, cut)), F.col(key).eqNullSafe(F.col("_key")), "left_anti")
-    weights = slot_counts(usual, slot)
+    heavy = df.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("rows")).where(F.col("rows") > limit)
+    heavy, found = heavy.withColumn("files", F.ceil(F.col("rows") / limit).cast("int")), shared_scratch(spark, "cut-keys")
+    write_parquet(heavy, found)
+    cut = spark.read.schema(heavy.schema).parquet(found)
+    taken = {r["s"]: r for r in cut.groupBy(_range_slot("key").alias("s")).agg(F.sum("rows").alias("rows"), F.sum("files").alias("files")).collect()}
+    weights = {s: w - (taken[s]["rows"] if s in taken else 0) for s, w in slot_counts(df, _range_slot(key)).items()}
     share = min(limit, max(1, ceil(sum(weights.values()) / files)))
     first, parts, now, held = [0] * SLOTS, [1] * SLOTS, 0, 0
     for s in range(SLOTS):
@@ -110,25 +116,31 @@ def write_ranges(df: DataFrame, path: str, key: str = KEY, files: int = 24, max_
         held += w
         if parts[s] > 1:  # many keys of one slot: dealt by another hash of the key
             now, held = now + parts[s], 0
-    own, start = [], now + 1
-    for k, rows in cut:
-        own.append((k, rows, start, ceil(rows / limit)))
-        start += own[-1][3]
-    at = slot + F.lit(1)
+    *own, end = accumulate((taken[s]["files"] if s in taken else 0 for s in range(SLOTS)), initial=now + 1)  # then the files of cut keys
     table = lambda values: F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")  # noqa: E731  a constant, folded once
+    at = _range_slot("key") + F.lit(1)
+    before = Window.partitionBy(at).orderBy(F.desc("rows"), "key").rowsBetween(Window.unboundedPreceding, -1)
+    manifest = cut.select("key", "rows", (F.element_at(table(own), at) + F.coalesce(F.sum("files").over(before), F.lit(0))).cast("int").alias("first_file"), "files")
+    at = _range_slot(key) + F.lit(1)
     file = F.element_at(table(first), at) + F.pmod(F.xxhash64(F.lit(1), key), F.element_at(table(parts), at))
     out = df.withColumn("_file", file.cast("int"))
-    manifest = spark.createDataFrame(own, T.StructType([T.StructField("key", df.schema[key].dataType), *T.StructType.fromDDL("rows bigint, first_file int, files int").fields]))
-    if own:
-        cuts = F.broadcast(manifest.select(F.col("key").alias("_key"), "first_file", "files"))  # fewer rows than files
-        mine = (F.col("first_file") + F.pmod(dealt(df), F.col("files"))).cast("int")
-        out = out.join(cuts, F.col(key).eqNullSafe(F.col("_key")), "left").withColumn("_file", F.coalesce(mine, "_file")).drop("_key", "first_file", "files")
-    write_parquet(out.repartitionById(start, "_file").drop("_file"), path)
+    if taken:
+        mine = (F.col("_first") + F.pmod("_deal", "_files")).cast("int")
+        cuts = manifest.select(F.col("key").alias("_key"), F.col("first_file").alias("_first"), F.col("files").alias("_files"))
+        out = out.withColumn("_deal", dealt(df)).join(cuts, F.col(key).eqNullSafe(F.col("_key")), "left").withColumn("_file", F.coalesce(mine, "_file"))
+        out = out.drop("_key", "_first", "_files", "_deal")
+    small = limit <= SMALL_ROWS and total > limit and tasks_can_write(df, path)
+    each = FILES_PER_TASK if small else 1
+    tasks = out.withColumn("_task", F.floor(F.col("_file") / each).cast("int")).repartitionById(ceil(end / each), "_task").drop("_task")
+    if small:
+        write_numbered(tasks.sortWithinPartitions("_file"), path, "_file")
+    else:
+        write_parquet(tasks.drop("_file"), path)
     return manifest
 
 
-def _cut_frame(df: DataFrame, key: str, cut: list[tuple]) -> DataFrame:
-    return df.sparkSession.createDataFrame([(k,) for k, _ in cut], T.StructType([T.StructField("_key", df.schema[key].dataType)]))
+def _range_slot(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(SLOTS)).cast("int")
 
 
 def write_parts(

@@ -28,6 +28,12 @@ def _directory(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of the file system that Spark takes it from."""
+    fs, target = _directory(spark, path)
+    return str(fs.makeQualified(target).toString())
+
+
 def child_names(spark: SparkSession, path: str, directories: bool = True) -> list[str]:
     """Names of the direct child directories (or files), sorted. One listing call; file contents are not read."""
     fs, target = _directory(spark, path)

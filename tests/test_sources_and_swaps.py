@@ -284,6 +284,37 @@ def test_ranges_cut_only_keys_that_outgrow_a_file(spark):
     assert write_ranges(df.limit(0), shared_scratch(spark, "none")).count() == 0
 
 
+def test_small_files_of_ranges_share_tasks(spark):
+    key = F.when(F.col("id") % 4 == 0, F.concat(F.lit("k"), F.col("id") % 100)).otherwise(F.concat(F.lit("u"), F.floor(F.col("id") / 8)))
+    df = spark.range(12_000).select(
+        F.when(F.col("id") % 1000 == 3, F.lit(None)).otherwise(key).alias("customer_user_id"), "id",
+        F.timestamp_seconds(F.col("id") * 0.25).alias("t"), F.expr("timestamp_ntz'1500-01-01 00:00:00'").alias("n"), F.expr("date'1200-02-29'").alias("d"),
+        (F.col("id") / 7).cast("decimal(20,5)").alias("x"), F.struct(F.array("id").alias("a"), F.lit(None).cast("string").alias("b")).alias("s"),
+        F.expr("interval '1' day").alias("i"), F.encode(F.col("id").cast("string"), "utf-8").alias("y"), F.lit(1).cast("tinyint").alias("z"),
+    )
+    path = shared_scratch(spark, "ranges")
+    write_ranges(df, path, files=3, max_rows=9_000)
+    spark.sparkContext.setJobGroup("small-files", "")
+    try:
+        manifest = {r["key"]: r for r in write_ranges(df, path, files=10, max_rows=10).collect()}
+        jobs = [spark.sparkContext.statusTracker().getJobInfo(j) for j in spark.sparkContext.statusTracker().getJobIdsForGroup("small-files")]
+        tasks = max(spark.sparkContext.statusTracker().getStageInfo(s).numTasks for j in jobs for s in j.stageIds if spark.sparkContext.statusTracker().getStageInfo(s))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    back = spark.read.parquet(path)
+    assert back.dtypes == df.dtypes and back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
+    places = back.groupBy("customer_user_id").agg(F.collect_set(F.col("_metadata.file_name")).alias("f")).collect()
+    names = {n for r in places for n in r["f"]}
+    assert len(names) > 500 and tasks <= 20
+    assert {r["customer_user_id"] for r in places if len(r["f"]) > 1} == set(manifest) and None in manifest
+    for r in places:
+        numbers = {int(n.split("-")[1].split(".")[0]) for n in r["f"]}
+        cut = manifest.get(r["customer_user_id"])
+        assert len(numbers) == 1 if cut is None else numbers <= set(range(cut["first_file"], cut["first_file"] + cut["files"]))
+    own = [n for r in manifest.values() for n in range(r["first_file"], r["first_file"] + r["files"])]
+    assert len(own) == len(set(own)) and all(r["files"] == -(-r["rows"] // 10) for r in manifest.values())
+
+
 # -- rules, options
 
 
