@@ -1,7 +1,8 @@
 """Token ids by the tokenizers library, with a cache of word pieces.
 
 Splitting a long text into pieces where the tokenizer splits anyway gives the same ids as encoding it whole, and each distinct
-piece is encoded once. Two layouts of pieces are known:
+piece is encoded once. Latin words and the marks behind them go to the model of a tokenizer known to split and normalise them so;
+other pieces, and those of other tokenizers, go through all its steps. Two layouts of pieces are known:
 
 * ``spaced``: byte-level BPE whose words carry the space before them. Such a tokenizer never joins a character that isn't white
   space with white space after it, so a text may be cut before any space or line end that follows such a character.
@@ -10,6 +11,7 @@ piece is encoded once. Two layouts of pieces are known:
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -21,8 +23,14 @@ CACHED = 800_000
 LONGEST_CACHED = 48
 AT_ONCE = 2048
 JOINED = 256
+DROPPED_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 DOUBLE_SPACE = re.compile(r"\s[ \n]")
 SAFE_CUT = re.compile(r"(?<=\S)(?=[ \n\t\r])")
+# A word of Latin letters (of which each is lower-cased to one) and the marks behind it; an apostrophe may belong to what follows.
+LETTERS, MARKS = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]", r"[!-&(-/:-@\[-`{-~]"
+LATIN = re.compile(f"({LETTERS}+)({MARKS}*)")
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = {b: 256 + k for k, b in enumerate(sorted({*range(256)} - {*_PRINTED}))}  # the public alphabet of byte-level BPE
 _loaded: dict[tuple[str, str], Encoder] = {}
 
 
@@ -35,10 +43,42 @@ class Encoder:
         self.tokenizer, self.layout = Tokenizer.from_file(vocabulary), layout
         self.after_space: dict[str, bytes] = {}  # of pieces with the space before them left out
         self.literal: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}  # of runs of marks behind words
+        self.lowers = _cuts_words(json.loads(self.tokenizer.to_str()), layout)
+        if self.lowers is not None:
+            self.model, self.id_bytes = self.tokenizer.model, [i.to_bytes(4, "little") for i in range(1 + max(self.tokenizer.get_vocab().values()))]
+
+    def _encode_latin(self, pieces: list[str], into: dict[str, bytes]) -> list[str]:
+        """Latin words, with marks behind them or not, by the tokenizer's model, without the steps before it; returns the other pieces."""
+        tokenize, id_bytes, match, others = self.model.tokenize, self.id_bytes, LATIN.fullmatch, []
+        before = "\u0120" if self.layout == "spaced" else ""
+        for p in pieces:
+            if p.isascii() and p.isalpha():
+                word, marks = p, ""
+            elif m := match(p):
+                word, marks = m.groups()
+            else:
+                others.append(p)
+                continue
+            if (ids := into.get(word)) is None:
+                low = word.lower() if self.lowers else word
+                letters = low if low.isascii() else low.encode().decode("latin-1").translate(BYTE_LETTERS)
+                ids = b"".join([id_bytes[t.id] for t in tokenize(before + letters)])
+                if not marks or len(word) <= LONGEST_CACHED:
+                    into[word] = ids
+            if marks:
+                if (more := self.marks.get(marks)) is None:
+                    more = b"".join([id_bytes[t.id] for t in tokenize(marks)])
+                    if len(marks) <= LONGEST_CACHED and len(self.marks) < CACHED:
+                        self.marks[marks] = more
+                into[p] = ids + more
+        return others
 
     def _encode(self, pieces: list[str], prefix: str, into: dict[str, bytes]) -> None:
         """Encode pieces one by one, or, those after a space, many in one text whose tokens are dealt out by their places."""
         if prefix or self.layout == "dropped":
+            if self.lowers is not None:
+                pieces = self._encode_latin(pieces, into)
             words = [p for p in pieces if p.isalpha()]
             for at in range(0, len(words), JOINED):
                 self._encode_words(words[at : at + JOINED], into)
@@ -85,7 +125,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        split = [self._split(t) for t in texts]
+        split, long = [self._split(t) for t in texts], []
         for pieces, prefix, known in ((0, "", self.literal), (1, " " if self.layout == "spaced" else "", self.after_space)):
             if len(known) > CACHED:
                 known.clear()
@@ -94,13 +134,29 @@ class Encoder:
                 missing = [m for m in missing if m]
                 known[""] = b""
             self._encode(missing, prefix, known)
+            long += [(known, p) for p in missing if len(p) > LONGEST_CACHED]
         out = [b"".join([*map(self.literal.__getitem__, a), *map(self.after_space.__getitem__, b)]) for a, b in split]
-        for known in (self.literal, self.after_space):
-            for long in [p for s in split for side in s for p in side if len(p) > LONGEST_CACHED]:
-                known.pop(long, None)
+        for known, p in long:
+            known.pop(p, None)
         return out
 
 
+def _cuts_words(parts: dict, layout: str) -> bool | None:
+    """Whether the tokenizer lower-cases, if it is known to give its BPE model Latin words and runs of marks as they are; else None."""
+    added = any(re.fullmatch(f"{LETTERS}*{MARKS}*", t["content"].strip()) for t in parts["added_tokens"])  # may lie in such a piece
+    bpe = parts["model"]["type"] == "BPE" and not parts["model"].get("dropout") and not added
+    cut = parts["pre_tokenizer"] or {}
+    if bpe and layout == "spaced" and parts["normalizer"] is None and cut.get("type") == "ByteLevel" and cut["use_regex"] and not cut["add_prefix_space"]:
+        return False
+    steps, normal = cut.get("pretokenizers", []), [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])]
+    if bpe and layout == "dropped" and normal == ["NFC", "Replace", "Lowercase"] and [c["type"] for c in steps] == ["Split", "ByteLevel"]:
+        space, (split, level) = parts["normalizer"]["normalizers"][1], steps
+        known = split["pattern"] == {"Regex": DROPPED_WORDS} and split["behavior"] == "Removed" and split["invert"]
+        if known and space["pattern"] == {"Regex": r"\s+"} and space["content"] == " " and not level["use_regex"] and not level["add_prefix_space"]:
+            return True
+    return None
+
+
 def encoder(vocabulary: str, layout: str) -> Encoder:
     """One for each Python worker."""
     if (vocabulary, layout) not in _loaded:

@@ -237,6 +237,23 @@ def test_ids_do_not_depend_on_pieces(path, layout, texts):
         assert np.frombuffer(got, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+@pytest.mark.parametrize(("path", "layout"), [(BYTE, "spaced"), (WORD, "dropped")])
+def test_latin_words_need_only_the_model(path, layout):
+    tok, enc = Tokenizer.from_file(path), tokens.Encoder(path, layout)
+    letters = [c for c in map(chr, range(0x41, 0x250)) if re.fullmatch(tokens.LETTERS, c)]
+    marks = [c for c in map(chr, range(33, 127)) if re.fullmatch(tokens.MARKS, c)]
+    assert all(c.isalpha() for c in letters) and len(letters) == 52 + 397 and len(marks) == 31
+    r = random.Random(5)
+    words = ["".join(r.choices(letters, k=r.randint(1, 9))) for _ in range(3000)] + ["house", "House", "HOUSE", "x" * 60, "x" * 60 + ",", "y" * 60 + "!", "y" * 60]
+    words += [w + "".join(r.choices(marks, k=r.randint(1, 5))) for w in [*words, *letters]] + ["a" + "#" * 70]
+    want = [tok.encode("a " + w, add_special_tokens=False).ids for w in words]
+    enc.encode(["a"])
+    enc.tokenizer = None
+    for _ in range(2):
+        assert [np.frombuffer(g, "<u4").tolist() for g in enc.encode(["a " + w for w in words])] == want
+    assert not any(len(p) > tokens.LONGEST_CACHED for p in [*enc.after_space, *enc.marks])
+
+
 # -- language
 
 
