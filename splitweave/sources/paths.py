@@ -29,9 +29,10 @@ def _directory(spark: SparkSession, path: str):
 
 
 def qualified(spark: SparkSession, path: str) -> str:
-    """The path with the scheme of the file system that Spark takes it from."""
+    """The directory, created if missing, with the scheme of the file system that holds it: mounts (``viewfs``) are followed."""
     fs, target = _directory(spark, path)
-    return str(fs.makeQualified(target).toString())
+    fs.mkdirs(target)
+    return str(fs.resolvePath(target).toString())
 
 
 def child_names(spark: SparkSession, path: str, directories: bool = True) -> list[str]:

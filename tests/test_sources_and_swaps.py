@@ -315,6 +315,22 @@ def test_small_files_of_ranges_share_tasks(spark):
     assert len(own) == len(set(own)) and all(r["files"] == -(-r["rows"] // 10) for r in manifest.values())
 
 
+def test_small_files_share_tasks_on_a_mounted_folder(spark):
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.small.link./shared", "file://" + shared_scratch(spark, "mounted"))
+    df = spark.range(3_000).select(F.floor(F.col("id") / 8).alias("customer_user_id"), "id")
+    path = "viewfs://small/shared/ranges"
+    spark.sparkContext.setJobGroup("mounted-files", "")
+    try:
+        assert write_ranges(df, path, files=10, max_rows=10).count() == 0
+        jobs = [spark.sparkContext.statusTracker().getJobInfo(j) for j in spark.sparkContext.statusTracker().getJobIdsForGroup("mounted-files")]
+        tasks = max(spark.sparkContext.statusTracker().getStageInfo(s).numTasks for j in jobs for s in j.stageIds if spark.sparkContext.statusTracker().getStageInfo(s))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    back = spark.read.parquet(path)
+    assert back.dtypes == df.dtypes and back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
+    assert back.select("_metadata.file_name").distinct().count() > 200 and tasks <= 20
+
+
 # -- rules, options
 
 
