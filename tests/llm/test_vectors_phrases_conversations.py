@@ -3,8 +3,10 @@
 import collections
 import hashlib
 import itertools
+import os
 import random
 import re
+import urllib.parse
 
 import numpy as np
 import pyarrow as pa
@@ -88,6 +90,70 @@ def test_cells_that_are_not_visited_hold_nothing_near():
     assert to.mean() < 0.4
 
 
+def test_vectors_are_written_once_whatever_the_cells(spark, monkeypatch):
+    """Random directions visit most cells; neither that nor the number of blocks multiplies what goes to disk."""
+    x = np.random.default_rng(3).normal(size=(3000, 16))
+    x[1] = x[0]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
+    tables = {}
+
+    def noted(df, name):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        out = written(df, name)
+        tables.setdefault(name, (plan, sum(os.path.getsize(urllib.parse.urlparse(f).path) for f in out.inputFiles())))
+        return out
+
+    written = vectorjoin.written
+    monkeypatch.setattr(vectorjoin, "written", noted)
+    monkeypatch.setattr(vectorjoin, "HELD", 64)
+    monkeypatch.setattr(vectorjoin, "STREAMED", 1024)
+    got = vectorjoin.near_vectors(df, cell_rows=30).collect()
+    u = vectorjoin.directions(np.float32(x).astype(float))
+    assert [(g.vec_id, g.n_links) for g in sorted(got)] == list(enumerate((u @ u.T >= 0.95).sum(axis=1) - 1))
+    assert "Exchange" not in tables["found"][0]  # pairs of blocks are read, not shuffled
+    assert sum(size for _, size in tables.values()) < 6 * 4 * x.size
+    assert sum(plan.count("hashpartitioning") + plan.count("rangepartitioning") for _, (plan, _) in tables.items() if "v#" in plan) <= 2
+
+
+def test_ordered_bytes_sort_as_vectors_do():
+    r = np.random.default_rng(6)
+    for kind in ("<f4", "<f8"):
+        rows = [r.choice([-2.5, -1.0, -0.0, 0.0, 1e-30, 1.0, 3e8], size=n).tolist() for n in r.integers(0, 6, size=300)]
+        bad = [[1.0, None], [float("nan")], [1.0, float("-inf")], None, [], [0.0, -0.0]]
+        column = pa.array(rows + bad, pa.list_(pa.float32() if kind == "<f4" else pa.float64()))
+        told, size = vectorjoin.ordered_bytes(column, kind)
+        told, usable = told.to_pylist(), [any(v) for v in rows]
+        assert [v is not None for v in told] == usable + [False] * len(bad)
+        known = [([np.dtype(kind).type(x) + 0.0 for x in v], b) for v, b, ok in zip(rows, told, usable, strict=False) if ok]
+        assert [v for v, _ in sorted(known, key=lambda x: x[1])] == sorted(v for v, _ in known)
+        back = vectorjoin.of_ordered(pa.array([b for _, b in known], pa.binary()), 6, kind)
+        assert back.tolist() == [v + [0.0] * (6 - len(v)) for v, _ in known]
+        assert size.to_pylist() == [len(v) if ok else 0 for v, ok in zip(rows, usable, strict=True)] + [0] * len(bad)
+
+
+@pytest.mark.parametrize("few", [200_000, 0])
+def test_repeated_ids_keep_their_largest_vector(spark, few):
+    rows = [(1, b"a"), (2, b"b"), (2, b"c"), (3, None), (4, None), (4, b"d"), (4, b""), (5, None), (5, None), (6, b"e"), (6, b"e")]
+    got = vectorjoin.one_row_each(spark.createDataFrame([(i, None if v is None else bytearray(v)) for i, v in rows], "vec_id long, v binary"), few).collect()
+    assert sorted((i, v if v is None else bytes(v)) for i, v in got) == [(1, b"a"), (2, b"c"), (3, None), (4, b"d"), (5, None), (6, b"e")]
+
+
+@pytest.mark.parametrize(("width", "spread"), [(8, 0.1), (64, 0.1), (64, 1.0), (200, 0.02)])
+def test_pairs_of_blocks(width, spread):
+    r = np.random.default_rng(9)
+    x = np.float32(clusters(r, 30, 20, width, spread) + r.normal(size=(300, width)).tolist())[r.permutation(900)]
+    u = vectorjoin.directions(x.astype(float))
+    pivots, basis = u[:1], vectorjoin.narrow_basis(u[:400], 0.95)
+    assert (basis is None) == (width == 8)
+    part = lambda at, k: vectorjoin.Block((k, 0, 0.0, 2.0, np.array(at).tobytes(), np.ones(len(at), np.int64).tobytes(), x[at].tobytes()), width, "<f4", pivots, basis)
+    a, b = part(list(range(500)), 0), part(list(range(500, 900)), 1)
+    rows, cols = np.arange(1, 500, 3), np.arange(399)
+    got = {(i, k) for row, col in vectorjoin.near_pairs(a, rows, b, cols, 0.95, basis) for i, k in zip(row.tolist(), col.tolist(), strict=True)}
+    assert got == {(int(rows[i]), int(cols[k])) for i, k in zip(*np.nonzero(u[:500][rows] @ u[500:][cols].T >= 0.95), strict=True)}
+    flags = r.random(1003) < 0.01
+    assert sorted(vectorjoin.found_true(flags)) == np.flatnonzero(flags).tolist()
+
+
 # -- phrases
 
 
