@@ -199,7 +199,9 @@ def near_vectors(
     near = left.hint("shuffle_replicate_nl").join(right, meet)  # no shuffle: a task reads two files of blocks
     compared = [c for c in mine if c not in ("core", "lows")]
     near = near.select(*compared, *(other + c for c in compared)).mapInArrow(lambda batches: joined(batches, width, threshold, kind, pivots, between, basis), "a long, b long, n long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 4)  # pairs of blocks, some MB each
     found = written(near, "found")
+    small_batches(spark)
     members = blocks.select("cell", "core", "node", "w", "more", "of").mapInArrow(unpacked, "vec_id long, node long, w long, cell int, core boolean")
     core = blocks.where("core").groupBy("cell").agg(F.min("least").alias("least"), F.sum("total").alias("total"))
     within = members.where("core and vec_id = node").select("node", "w", "cell").join(F.broadcast(core), "cell")  # one row for each pivot
